@@ -1,0 +1,88 @@
+"""Tables that change: each state is a list of parquet folders never written again.
+
+A small log names the folders of each state. Publishing a state is the commit of one log
+entry, so a reader sees the old or the new state and nothing between, and a pinned reader
+keeps its state however often the table changes. Appending writes the new rows only. A
+lost executor only re-runs its tasks; an unfinished write is never named by the log.
+One writer at a time changes a table.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+
+_LOG = "version long, folders array<string>"
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path
+
+    def _entry(self, version: int | None = None) -> Row | None:
+        """The log entry of a version, the newest by default; None if there is none."""
+        try:
+            log = self.spark.read.schema(_LOG).json(f"{self.path}/_states")
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+        wanted = log if version is None else log.filter(F.col("version") == version)
+        return wanted.orderBy(F.desc("version")).first()
+
+    def version(self) -> int | None:
+        """The current version, or None before the first write."""
+        entry = self._entry()
+        return entry and entry.version
+
+    def stage(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
+        """Write rows from ``df`` (which may read older states) without publishing them."""
+        folder = f"rows-{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.path}/{folder}", partitionBy=partition_by)
+        return folder
+
+    def staged(self, *folders: str) -> DataFrame:
+        return self.spark.read.parquet(*[f"{self.path}/{f}" for f in folders])
+
+    def publish(self, *folders: str) -> int:
+        """Make staged folders the current state."""
+        version = (self.version() or 0) + 1
+        entry = self.spark.range(1, numPartitions=1).select(
+            F.lit(version).cast("long").alias("version"),
+            F.array(*[F.lit(f) for f in folders]).alias("folders"),
+        )
+        entry.write.mode("append").json(f"{self.path}/_states")
+        return version
+
+    def write(self, df: DataFrame, partition_by: list[str] | None = None) -> int:
+        """Replace the whole table."""
+        return self.publish(self.stage(df, partition_by))
+
+    def append(self, new: DataFrame) -> int:
+        """Add rows; earlier rows are not rewritten."""
+        entry = self._entry()
+        return self.publish(*(entry.folders if entry else []), self.stage(new))
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """A state by number, the current one by default; the result never moves."""
+        entry = self._entry(version)
+        if entry is None:
+            what = "has not been populated" if version is None else f"has no version {version}"
+            raise LookupError(f"{self.path} {what}")
+        return self.staged(*entry.folders)
+
+
+def snapshot(df: DataFrame, path: str) -> DataFrame:
+    """A copy of ``df`` as it is now, unmoved by later changes to what it reads."""
+    table = VersionedTable(df.sparkSession, path)
+    table.write(df)
+    return table.read()
+
+
+def empty_like(df: DataFrame) -> DataFrame:
+    """Same columns and types, no rows."""
+    return df.filter(F.lit(False))

@@ -1,0 +1 @@
+"""Empty on purpose: every operation in scope reads whole tables, none reads a stream."""

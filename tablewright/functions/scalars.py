@@ -58,7 +58,14 @@ def average(c: ColumnOrName) -> Column:
 
 
 def ratio(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
-    """ROUND(numerator / denominator, 2); NULL when the denominator is zero."""
-    return F.round(F.try_divide(as_column(numerator), as_column(denominator)), 2).cast(
-        "decimal(38,2)"
-    )
+    """ROUND(numerator / denominator, 2) of an amount and a whole number.
+
+    Half away from zero; NULL when the denominator is zero. Worked out in whole cents:
+    dividing a wide decimal would round to six digits first, and twice is once too often.
+    """
+    cents = (as_column(numerator) * 100).cast("decimal(38,0)")
+    parts = as_column(denominator).cast("decimal(19,0)")
+    doubled = F.nullif(F.abs(parts) * 2, F.lit(0).cast("decimal(20,0)"))
+    rounded = F.call_function("div", F.abs(cents) * 2 + F.abs(parts), doubled)
+    sign = F.signum(cents) * F.signum(parts)
+    return (rounded * sign.cast("int") * F.expr("0.01")).cast("decimal(38,2)")

@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.scalars import total
+from tablewright.functions.scalars import average, total
 
 
 def per_key(child: DataFrame, key: str, **aggs: Column) -> DataFrame:
@@ -41,8 +41,8 @@ def fan_out_totals(
     child's own count and sum, so no repeated row is ever built. ``*_distinct`` columns
     hold the plain totals beside them.
     """
-    one = per_key(first, key, n1=F.count("*"), s1=total(first_value), a1=F.count(first_value))
-    two = per_key(second, key, n2=F.count("*"), s2=total(second_value), a2=F.count(second_value))
+    one = per_key(first, key, n1=F.count("*"), s1=total(first_value), m1=average(first_value))
+    two = per_key(second, key, n2=F.count("*"), s2=total(second_value))
     joined = parent.join(one, key, "left").join(two, key, "left")
     n1, n2 = (F.coalesce(F.col(c), F.lit(0)) for c in ("n1", "n2"))
     s1, s2 = (F.coalesce(F.col(c), F.lit(0).cast("decimal(38,2)")) for c in ("s1", "s2"))
@@ -59,8 +59,6 @@ def fan_out_totals(
         n2.alias("second_count_distinct"),
         s2.alias("second_sum_distinct"),
         # an average is not changed by repetition: sum and count grow alike
-        F.round(F.try_divide(s1, F.coalesce(F.col("a1"), F.lit(0))), 2)
-        .cast("decimal(18,2)")
-        .alias("first_average"),
-        (F.greatest(n1, F.lit(1)) * F.greatest(n2, F.lit(1))).alias("joined_rows"),
+        F.col("m1").alias("first_average"),
+        (times1 * times2).alias("joined_rows"),
     )

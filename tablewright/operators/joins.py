@@ -15,6 +15,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tablewright.plans.prefix import dense_keys
@@ -66,17 +67,18 @@ def left_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     A row with a NULL key joins nothing, so it may go to any task: ``spread`` is a column
     of ``left`` whose hash picks one of ``NULL_SPREAD``.
     """
-    salt, zero = "__salt", "__zero"
+    salt, right_salt = "__salt", "__right_salt"
     salted = left.withColumn(
         salt,
         F.when(F.col(left_key).isNull(), F.pmod(F.xxhash64(spread), F.lit(NULL_SPREAD))).otherwise(
             F.lit(0).cast("bigint")
         ),
     )
-    # NULL-key rows carry NULL in the key itself, so equal salts never pair them
-    plain = right.withColumn(zero, F.lit(0).cast("bigint"))
-    on = (F.col(left_key) == F.col(right_key)) & (F.col(salt) == F.col(zero))
-    return salted.join(plain, on, "left").drop(salt, zero)
+    # Rows with a key have salt 0 on both sides. The right one is computed from the key:
+    # a literal 0 would be folded out of the join keys, and the salt with it.
+    zero = F.xxhash64(right_key).bitwiseAND(F.lit(0).cast("bigint"))
+    on = (F.col(left_key) == F.col(right_key)) & (F.col(salt) == F.col(right_salt))
+    return salted.join(right.withColumn(right_salt, zero), on, "left").drop(salt, right_salt)
 
 
 def right_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -112,9 +114,12 @@ def pair_with(df: DataFrame, members: DataFrame, order_by: str) -> DataFrame:
     """
     slot = "__slot"
     count = members.count()
-    numbered = dense_keys(members.withColumn(order_by, F.col(order_by).cast("bigint")), order_by, slot)
     if count <= BROADCAST_ROWS:
+        numbered = members.withColumn(slot, F.row_number().over(W.orderBy(order_by)).cast("bigint"))
         numbered = F.broadcast(numbered)
+    else:
+        ordered = members.withColumn(order_by, F.col(order_by).cast("bigint"))
+        numbered = dense_keys(ordered, order_by, slot)
     repeated = df.withColumn(slot, F.explode(F.sequence(F.lit(1), F.lit(max(count, 1)).cast("bigint"))))
     return repeated.join(numbered, slot).drop(slot)
 

@@ -30,7 +30,9 @@ def sum_before(
 ) -> DataFrame:
     """Add ``out``: the sum of ``weight`` over rows of the same group with a smaller key.
 
-    ``key`` is a bigint, unique in its group; group columns hold no NULL.
+    ``key`` is a bigint, unique in its group; group columns hold no NULL. Every block has
+    its offset, so the joins below could as well be inner ones; as left joins they push no
+    filter into one of two equal branches, and Spark computes the branch once.
     """
     block, super_block, subtotal = "__block", "__super", "__subtotal"
     base, super_base = "__base", "__super_base"
@@ -49,12 +51,12 @@ def sum_before(
     )
     offsets = (
         blocks.withColumn(base, _sum_before(subtotal, [*group, super_block], block))
-        .join(supers, [*group, super_block])
+        .join(supers, [*group, super_block], "left")
         .select(*group, block, (F.col(base) + F.col(super_base)).alias(base))
     )
     return (
         cut.withColumn(out, _sum_before(weight, [*group, block], key))
-        .join(offsets, [*group, block])
+        .join(offsets, [*group, block], "left")
         .withColumn(out, (F.col(out) + F.col(base)).cast("bigint"))
         .drop(block, base)
     )

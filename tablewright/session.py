@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -48,9 +49,12 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tablewright-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"tablewright-{application}-")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -84,7 +84,7 @@ class Tables:
         return self.scan("orders").select(
             F.col("o_orderkey").alias("assignment_id"),
             F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")).alias("emp_id"),
-            F.pmod(F.col("o_orderkey"), F.nullif(projects, F.lit(0))).alias("project_id"),
+            F.try_mod("o_orderkey", projects).alias("project_id"),
             (F.col("o_totalprice").cast("decimal(12,2)") / 4000)
             .cast("decimal(5,1)")
             .alias("hours_worked"),

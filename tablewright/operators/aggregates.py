@@ -44,21 +44,29 @@ def fan_out_totals(
     one = per_key(first, key, n1=F.count("*"), s1=total(first_value), m1=average(first_value))
     two = per_key(second, key, n2=F.count("*"), s2=total(second_value))
     joined = parent.join(one, key, "left").join(two, key, "left")
-    n1, n2 = (F.coalesce(F.col(c), F.lit(0)) for c in ("n1", "n2"))
-    s1, s2 = (F.coalesce(F.col(c), F.lit(0).cast("decimal(38,2)")) for c in ("s1", "s2"))
-    times1, times2 = F.greatest(n1, F.lit(1)), F.greatest(n2, F.lit(1))
-    scaled = lambda s, times: (s * times.cast("decimal(19,0)")).cast("decimal(38,2)")
-    return joined.select(
+    zero = "CAST(0 AS DECIMAL(38,2))"
+    filled = joined.selectExpr(
         *parent.columns,
-        (n1 * times2).alias("first_count"),
-        scaled(s1, times2).alias("first_sum"),
-        (n2 * times1).alias("second_count"),
-        scaled(s2, times1).alias("second_sum"),
-        n1.alias("first_count_distinct"),
-        s1.alias("first_sum_distinct"),
-        n2.alias("second_count_distinct"),
-        s2.alias("second_sum_distinct"),
+        "coalesce(n1, 0) AS n1",
+        "coalesce(n2, 0) AS n2",
+        f"coalesce(s1, {zero}) AS s1",
+        f"coalesce(s2, {zero}) AS s2",
+        "m1",
+        # how often a row of the other child is repeated
+        "greatest(coalesce(n1, 0), 1) AS times1",
+        "greatest(coalesce(n2, 0), 1) AS times2",
+    )
+    return filled.selectExpr(
+        *parent.columns,
+        "n1 * times2 AS first_count",
+        "CAST(s1 * CAST(times2 AS DECIMAL(19,0)) AS DECIMAL(38,2)) AS first_sum",
+        "n2 * times1 AS second_count",
+        "CAST(s2 * CAST(times1 AS DECIMAL(19,0)) AS DECIMAL(38,2)) AS second_sum",
+        "n1 AS first_count_distinct",
+        "s1 AS first_sum_distinct",
+        "n2 AS second_count_distinct",
+        "s2 AS second_sum_distinct",
         # an average is not changed by repetition: sum and count grow alike
-        F.col("m1").alias("first_average"),
-        (times1 * times2).alias("joined_rows"),
+        "m1 AS first_average",
+        "times1 * times2 AS joined_rows",
     )

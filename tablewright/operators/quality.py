@@ -12,9 +12,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.operators.joins import unmatched
-from tablewright.sources.spec import ForeignKey, TableSpec, _SIZED_TYPE, is_char, length_limit
+from tablewright.sources.spec import ForeignKey, TableSpec, is_char, length_limit
 
 SCHEMA = "rule string, key string, detail string"
 
@@ -43,16 +44,25 @@ def does_not_fit(value: Column, declared: str) -> Column:
     return value.isNotNull() & value.try_cast(declared).isNull()
 
 
+def _always_fits(held: T.DataType, target: T.DecimalType) -> bool:
+    return (
+        isinstance(held, T.DecimalType)
+        and held.scale <= target.scale
+        and held.precision - held.scale <= target.precision - target.scale
+    )
+
+
 def row_rules(df: DataFrame, rules: dict[str, tuple[Column, Column]], key: list[str]) -> DataFrame:
     """Violations of per-row rules, in one scan: ``{rule: (broken, detail)}``."""
     hits = [
         F.when(is_broken, F.struct(F.lit(rule).alias("rule"), detail.cast("string").alias("detail")))
         for rule, (is_broken, detail) in rules.items()
     ]
-    return (
-        df.select(text(key).alias("key"), F.explode(F.array_compact(F.array(*hits))).alias("hit"))
-        .select("hit.rule", "key", "hit.detail")
-    )
+    # most rows break nothing: drop them before any array or text is built
+    suspects = df.filter(reduce(lambda a, b: a | b, [is_broken for is_broken, _ in rules.values()]))
+    return suspects.select(
+        text(key).alias("key"), F.explode(F.array_compact(F.array(*hits))).alias("hit")
+    ).select("hit.rule", "key", "hit.detail")
 
 
 def duplicates(df: DataFrame, columns: list[str], rule: str) -> DataFrame:
@@ -83,10 +93,12 @@ def validate(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | Non
             rules[f"{spec.name}.{f.name} not null"] = (F.col(f.name).isNull(), F.lit("NULL"))
         if length_limit(f.type):
             rules[f"{spec.name}.{f.name} {f.type}"] = (too_long(f.name, f.type), F.col(f.name))
-        sized = _SIZED_TYPE.fullmatch(f.type.lower())
-        if sized and sized[1] in ("numeric", "decimal"):
-            fits = does_not_fit(F.col(f.name), f"decimal({sized[2]},{sized[3] or 0})")
-            rules[f"{spec.name}.{f.name} {f.type}"] = (fits, F.col(f.name))
+        target = spec.schema[f.name].dataType
+        if isinstance(target, T.DecimalType) and not _always_fits(df.schema[f.name].dataType, target):
+            rules[f"{spec.name}.{f.name} {f.type}"] = (
+                does_not_fit(F.col(f.name), target.simpleString()),
+                F.col(f.name),
+            )
     for check in spec.checks:
         rules[f"{spec.name} check {check.name}"] = (broken(F.expr(check.condition)), F.lit(check.condition))
     parts = [row_rules(df, rules, key)] if rules else []

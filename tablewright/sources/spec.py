@@ -73,13 +73,19 @@ class Default:
 DEFAULT = Default()
 
 
+@dataclass(frozen=True)
+class Computed:
+    """A default worked out when a row is added, such as ``Computed("current_date()")``."""
+
+    expression: str
+
+
 @dataclass(frozen=True)
 class Field:
     name: str
     type: str
     nullable: bool = True
-    # a plain value, or a Column such as F.current_date()
-    default: Any = None
+    default: Any = None  # a plain value or Computed
 
 
 @dataclass(frozen=True)
@@ -122,7 +128,8 @@ class TableSpec:
 
     def default_of(self, name: str) -> Column:
         f = self[name]
-        value = f.default if isinstance(f.default, Column) else F.lit(f.default)
+        computed = isinstance(f.default, Computed)
+        value = F.expr(f.default.expression) if computed else F.lit(f.default)
         return value.cast(spark_type(f.type))
 
     def empty(self, spark: SparkSession) -> DataFrame:
@@ -146,7 +153,7 @@ class TableSpec:
 def table(name: str, columns: str, **rules: Any) -> TableSpec:
     """Shorthand: ``table("t", "id int!, name varchar(50), qty int = 0")``.
 
-    ``!`` marks NOT NULL and ``= value`` a constant default.
+    ``!`` marks NOT NULL; ``= value`` is a constant default and ``= f()`` a computed one.
     """
     fields = []
     for part in re.split(r",\s*(?![^(]*\))", columns.strip()):
@@ -159,6 +166,8 @@ def table(name: str, columns: str, **rules: Any) -> TableSpec:
 def _value(text: str) -> Any:
     if not text:
         return None
+    if text.endswith("()"):
+        return Computed(text)
     return {"true": True, "false": False}.get(text.lower(), text.strip("'"))
 
 
@@ -193,8 +202,9 @@ Change = AddColumn | DropColumn | SetType | SetDefault
 def alter(df: DataFrame, spec: TableSpec, *changes: Change) -> tuple[DataFrame, TableSpec]:
     """Apply all changes in one projection, or none if one of them is invalid.
 
-    Existing rows take the default of an added column. A type change is an ANSI cast, so
-    a value that does not fit fails the job that runs the plan.
+    Existing rows take the default of an added column; a computed default is worked out
+    here, once, so that all of them share one value whenever they are read. A type change
+    is an ANSI cast, so a value that does not fit fails the job that runs the plan.
     """
     fields = {f.name: f for f in spec.fields}
     values: dict[str, Column] = {f.name: F.col(f.name) for f in spec.fields}
@@ -205,6 +215,8 @@ def alter(df: DataFrame, spec: TableSpec, *changes: Change) -> tuple[DataFrame,
                 raise ValueError(f"column {name!r} exists already")
             fields[name] = change.field
             values[name] = TableSpec("", (change.field,)).default_of(name)
+            if isinstance(change.field.default, Computed):
+                values[name] = _value_now(df.sparkSession, values[name], change.field.type)
             continue
         if change.name not in fields:
             raise ValueError(f"no column {change.name!r}")
@@ -223,3 +235,9 @@ def alter(df: DataFrame, spec: TableSpec, *changes: Change) -> tuple[DataFrame,
             fields[change.name] = replace(fields[change.name], default=change.default)
     changed = df.select(*[values[n].alias(n) for n in fields])
     return changed, replace(spec, fields=tuple(fields.values()))
+
+
+def _value_now(spark: SparkSession, value: Column, declared: str) -> Column:
+    # as text, because a timestamp would come back in Python's time zone
+    text = spark.range(1).select(value.cast("string")).first()[0]
+    return F.lit(text).cast(spark_type(declared))

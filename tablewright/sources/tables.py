@@ -13,11 +13,24 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.functions.scalars import round_to_int
+
+# Declared, so that opening a table reads no file.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    "l_shipdate timestamp_ntz",
+}
 
 
 def scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def day(text: str):
@@ -37,88 +50,69 @@ class Tables:
     @cached_property
     def dept(self) -> DataFrame:
         nation, region = self.scan("nation"), self.scan("region")
-        return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-            F.col("n_nationkey").alias("dept_id"),
-            F.col("n_name").alias("dept_name"),
-            F.col("r_name").alias("location"),
+        return nation.join(region, F.expr("n_regionkey = r_regionkey")).selectExpr(
+            "n_nationkey AS dept_id", "n_name AS dept_name", "r_name AS location"
         )
 
     @cached_property
     def emp(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return self.scan("customer").select(
-            key.alias("emp_id"),
-            F.col("c_name").alias("emp_name"),
-            F.col("c_mktsegment").alias("segment"),
-            F.when(~((F.col("c_nationkey") >= 20) | (key % 50 == 7)), F.col("c_nationkey")).alias(
-                "dept_id"
-            ),
-            F.when(key % 40 != 11, (F.col("c_acctbal").cast("decimal(10,2)") + 1000) * 8)
-            .cast("decimal(10,2)")
-            .alias("salary"),
-            F.when(key >= 10, F.expr("c_custkey div 10")).alias("manager_id"),
-            F.when(
-                key % 9 != 4,
-                F.concat(F.lower("c_mktsegment"), F.lit("."), key.cast("string"), F.lit("@x.org")),
-            ).alias("email"),
-            F.date_add(day("2015-01-01"), ((key * 37) % 3600).cast("int")).alias("hire_date"),
+        return self.scan("customer").selectExpr(
+            "c_custkey AS emp_id",
+            "c_name AS emp_name",
+            "c_mktsegment AS segment",
+            "IF(c_nationkey >= 20 OR c_custkey % 50 = 7, NULL, c_nationkey) AS dept_id",
+            "CAST(IF(c_custkey % 40 = 11, NULL, (CAST(c_acctbal AS DECIMAL(10,2)) + 1000) * 8)"
+            " AS DECIMAL(10,2)) AS salary",
+            "IF(c_custkey < 10, NULL, c_custkey div 10) AS manager_id",
+            "IF(c_custkey % 9 = 4, NULL, lower(c_mktsegment) || '.' || c_custkey || '@x.org') AS email",
+            "date_add(DATE '2015-01-01', CAST((c_custkey * 37) % 3600 AS INT)) AS hire_date",
         )
 
     @cached_property
     def proj(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        return self.scan("supplier").select(
-            key.alias("project_id"),
-            F.col("s_name").alias("project_name"),
-            F.when(key % 10 != 3, F.col("s_nationkey")).alias("dept_id"),
-            ((F.col("s_acctbal").cast("decimal(10,2)") + 1000) * 20)
-            .cast("decimal(12,2)")
-            .alias("budget"),
-            F.when(key % 3 == 0, "Completed").otherwise("Active").alias("status"),
-            F.date_add(day("2023-01-01"), ((key * 29) % 700).cast("int")).alias("end_date"),
+        return self.scan("supplier").selectExpr(
+            "s_suppkey AS project_id",
+            "s_name AS project_name",
+            "IF(s_suppkey % 10 = 3, NULL, s_nationkey) AS dept_id",
+            "CAST((CAST(s_acctbal AS DECIMAL(10,2)) + 1000) * 20 AS DECIMAL(12,2)) AS budget",
+            "IF(s_suppkey % 3 = 0, 'Completed', 'Active') AS status",
+            "date_add(DATE '2023-01-01', CAST((s_suppkey * 29) % 700 AS INT)) AS end_date",
         )
 
     @cached_property
     def asg(self) -> DataFrame:
         projects = self.scan("supplier").agg(F.count("*")).scalar()
         return self.scan("orders").select(
-            F.col("o_orderkey").alias("assignment_id"),
-            F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")).alias("emp_id"),
+            F.expr("o_orderkey AS assignment_id"),
+            F.expr("IF(o_custkey % 3 = 0, NULL, o_custkey) AS emp_id"),
             F.try_mod("o_orderkey", projects).alias("project_id"),
-            (F.col("o_totalprice").cast("decimal(12,2)") / 4000)
-            .cast("decimal(5,1)")
-            .alias("hours_worked"),
-            F.col("o_orderdate").cast("date").alias("assignment_date"),
+            F.expr("CAST(CAST(o_totalprice AS DECIMAL(12,2)) / 4000 AS DECIMAL(5,1)) AS hours_worked"),
+            F.expr("CAST(o_orderdate AS DATE) AS assignment_date"),
         )
 
     @cached_property
     def staff(self) -> DataFrame:
         """Employees with an INTEGER salary, a nullable department name and a status."""
-        step = F.col("emp_id") % 5
-        return self.emp.select(
+        return self.emp.selectExpr(
             "emp_id",
-            F.lit("Customer").alias("first_name"),
-            F.substring("emp_name", 10, 9).alias("last_name"),
-            F.when(F.col("emp_id") % 50 != 7, F.col("segment")).alias("department"),
-            round_to_int("salary").alias("salary"),
+            "'Customer' AS first_name",
+            "substring(emp_name, 10, 9) AS last_name",
+            "IF(emp_id % 50 = 7, NULL, segment) AS department",
+            "CAST(round(salary) AS INT) AS salary",
             "hire_date",
-            F.when(step == 0, "Inactive")
-            .when(step == 1, "Terminated")
-            .when(step == 2, "ACTIVE")
-            .when(step == 3, "Senior")
-            .alias("status"),
+            "CASE emp_id % 5 WHEN 0 THEN 'Inactive' WHEN 1 THEN 'Terminated'"
+            " WHEN 2 THEN 'ACTIVE' WHEN 3 THEN 'Senior' END AS status",
         )
 
     @cached_property
     def unit(self) -> DataFrame:
         """One department per segment name, plus one that no employee has."""
-        names = self.scan("customer").select(F.col("c_mktsegment").alias("dept_name")).distinct()
-        spare = self.scan("region").agg(F.lit("RESEARCH").alias("dept_name"))
-        size = F.length("dept_name")
-        return names.union(spare).select(
-            "dept_name",
-            ((size - 8) * 60000).cast("int").alias("budget"),
-            (size + 200).cast("int").alias("manager_id"),
+        names = self.scan("customer").select("c_mktsegment").distinct()
+        spare = self.scan("region").agg(F.lit("RESEARCH"))
+        return names.union(spare).selectExpr(
+            "c_mktsegment AS dept_name",
+            "(length(c_mktsegment) - 8) * 60000 AS budget",
+            "length(c_mktsegment) + 200 AS manager_id",
         )
 
 

@@ -271,7 +271,7 @@ def add_timestamp(t: Tables) -> DataFrame:
     """All existing rows share the one moment of the change, whenever they are read."""
     spec = table("proj", "project_id bigint, project_name text, dept_id int, budget numeric(12,2),"
                  "status text, end_date date")
-    moment = F.lit("2024-06-30 12:00:00")
+    moment = "2024-06-30 12:00:00"
     return alter(t.proj, spec, AddColumn(Field("created_date", "timestamp", default=moment)))[0]
 
 

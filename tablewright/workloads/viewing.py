@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablewright.plans.views import MaterializedView, create_view, drop_view, rename_view
 from tablewright.session import new_folder
 from tablewright.sources.ingest import fill_missing, literal_rows
-from tablewright.sources.spec import table
+from tablewright.sources.spec import AddColumn, Field, alter, table
 from tablewright.sources.store import VersionedTable
 from tablewright.sources.tables import Tables
 from tablewright.workloads.aggregation import (
@@ -128,7 +128,7 @@ def dashboard_view(t: Tables) -> DataFrame:
 
 @query(
     "view_13_high_budget",
-    """SELECT p.project_name, p.budget, d.dept_name,
+    """SELECT p.project_name, p.budget, d.dept_name, TIMESTAMP '2024-06-30 12:00:00' AS created_date,
          CASE WHEN p.budget > 150000 THEN 'Critical Review Required'
               WHEN p.budget > 100000 THEN 'Management Approval Needed'
               ELSE 'Standard Process' END AS approval_status
@@ -142,9 +142,11 @@ def high_budget(t: Tables) -> DataFrame:
         .when(budget > 100000, "Management Approval Needed")
         .otherwise("Standard Process")
     )
-    large = t.proj.filter(budget > 75000).join(t.dept, "dept_id")
+    created = AddColumn(Field("created_date", "timestamp", default="2024-06-30 12:00:00"))
+    proj, _ = alter(t.proj, table("proj", "project_name text, budget numeric(12,2), dept_id int"), created)
+    large = proj.filter(budget > 75000).join(t.dept, "dept_id")
     return create_view(
-        large.select("project_name", "budget", "dept_name", status.alias("approval_status")),
+        large.select("project_name", "budget", "dept_name", "created_date", status.alias("approval_status")),
         _name("high_budget_projects"),
     )
 

@@ -63,9 +63,14 @@ def ratio(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
     Half away from zero; NULL when the denominator is zero. Worked out in whole cents:
     dividing a wide decimal would round to six digits first, and twice is once too often.
     """
-    cents = (as_column(numerator) * 100).cast("decimal(38,0)")
-    parts = as_column(denominator).cast("decimal(19,0)")
-    doubled = F.nullif(F.abs(parts) * 2, F.lit(0).cast("decimal(20,0)"))
-    rounded = F.call_function("div", F.abs(cents) * 2 + F.abs(parts), doubled)
-    sign = F.signum(cents) * F.signum(parts)
-    return (rounded * sign.cast("int") * F.expr("0.01")).cast("decimal(38,2)")
+    cents = rounded_quotient(as_column(numerator) * 100, denominator)
+    return (cents * F.expr("0.01")).cast("decimal(38,2)")
+
+
+def rounded_quotient(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
+    """ROUND(numerator / denominator) of two whole numbers, half away from zero."""
+    n = as_column(numerator).cast("decimal(38,0)")
+    d = as_column(denominator).cast("decimal(19,0)")
+    doubled = F.nullif(F.abs(d) * 2, F.lit(0).cast("decimal(20,0)"))
+    size = F.call_function("div", F.abs(n) * 2 + F.abs(d), doubled)
+    return size * (F.signum(n) * F.signum(d)).cast("int")

@@ -94,7 +94,8 @@ def validate(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | Non
         if length_limit(f.type):
             rules[f"{spec.name}.{f.name} {f.type}"] = (too_long(f.name, f.type), F.col(f.name))
         target = spec.schema[f.name].dataType
-        if isinstance(target, T.DecimalType) and not _always_fits(df.schema[f.name].dataType, target):
+        limited = isinstance(target, T.DecimalType) and "(" in f.type  # bare NUMERIC has no limit
+        if limited and not _always_fits(df.schema[f.name].dataType, target):
             rules[f"{spec.name}.{f.name} {f.type}"] = (
                 does_not_fit(F.col(f.name), target.simpleString()),
                 F.col(f.name),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.functions.scalars import rounded_quotient
 from tablewright.operators import changes, subqueries
 from tablewright.operators.aggregates import per_key
 from tablewright.session import new_folder
@@ -138,8 +139,8 @@ def update_by_key(t: Tables) -> DataFrame:
 )
 def update_from_aggregate(t: Tables) -> DataFrame:
     # average * 1.20, rounded once on assignment to the INTEGER column
-    mean = F.try_divide(F.sum(F.col("salary").cast("decimal(18,0)")) * literal("1.20"), F.count("salary"))
-    pay = per_key(t.staff, "department", new=F.round(mean)).withColumnRenamed("department", "dept_name")
+    mean = rounded_quotient(F.sum("salary") * 12, F.count("salary") * 10)
+    pay = per_key(t.staff, "department", new=mean).withColumnRenamed("department", "dept_name")
     return changes.update_from_lookup(t.unit, "dept_name", pay, "budget", "new")
 
 
@@ -309,45 +310,27 @@ def cascade_chain(t: Tables) -> DataFrame:
     return kept
 
 
-# Order lines that have lost their product for some products, so that those can go.
-_LINES_SQL = """WITH lines AS (SELECT l_orderkey,
-  CASE WHEN l_partkey % 7 = 3 THEN NULL ELSE l_partkey END AS product_id FROM lineitem)"""
+_RESTRICT_SQL = """SELECT * FROM dept WHERE ({0}) IS NOT TRUE
+       OR EXISTS (SELECT 1 FROM emp JOIN dept x USING (dept_id) WHERE {0})"""
 
 
-def _lines(t: Tables) -> DataFrame:
-    product = F.when(F.col("l_partkey") % 7 != 3, F.col("l_partkey"))
-    return t.scan("lineitem").select("l_orderkey", product.alias("product_id"))
-
-
-@query(
-    "dml_21_restrict_refused",
-    _LINES_SQL
-    + """ SELECT * FROM part WHERE NOT p_size = 7 OR EXISTS (
-            SELECT 1 FROM lines JOIN part x ON product_id = x.p_partkey WHERE x.p_size = 7)""",
-)
+@query("dml_21_restrict_refused", _RESTRICT_SQL.format("location = 'ASIA'"), "emp dept")
 def restrict_refused(t: Tables) -> DataFrame:
-    return changes.delete_restricted(t.scan("part"), F.col("p_size") == 7, "p_partkey", _lines(t), "product_id")
+    return changes.delete_restricted(t.dept, F.col("location") == "ASIA", "dept_id", t.emp, "dept_id")
 
 
-@query(
-    "dml_21_restrict_allowed",
-    _LINES_SQL
-    + """ SELECT * FROM part WHERE NOT p_partkey % 7 = 3 OR EXISTS (
-            SELECT 1 FROM lines JOIN part x ON product_id = x.p_partkey WHERE x.p_partkey % 7 = 3)""",
-)
+@query("dml_21_restrict_allowed", _RESTRICT_SQL.format("dept_id >= 20"), "emp dept")
 def restrict_allowed(t: Tables) -> DataFrame:
-    unused = F.col("p_partkey") % 7 == 3
-    return changes.delete_restricted(t.scan("part"), unused, "p_partkey", _lines(t), "product_id")
+    return changes.delete_restricted(t.dept, F.col("dept_id") >= 20, "dept_id", t.emp, "dept_id")
 
 
 @query(
     "dml_21_blockers",
-    _LINES_SQL
-    + " SELECT p_partkey, p_name FROM part WHERE p_size < 5 AND p_partkey IN (SELECT product_id FROM lines)",
+    "SELECT p_partkey, p_name FROM part WHERE p_size < 5 AND p_partkey IN (SELECT l_partkey FROM lineitem)",
 )
 def blockers(t: Tables) -> DataFrame:
-    doomed = t.scan("part").filter(F.col("p_size") < 5)
-    return changes.blockers(doomed, "p_partkey", _lines(t), "product_id").select("p_partkey", "p_name")
+    doomed = t.scan("part").filter(F.col("p_size") < 5).select("p_partkey", "p_name")
+    return changes.blockers(doomed, "p_partkey", t.scan("lineitem"), "l_partkey")
 
 
 @query(

@@ -4,7 +4,7 @@ from decimal import ROUND_HALF_UP, Decimal
 import duckdb
 from pyspark.sql import functions as F
 
-from tablewright.functions.scalars import average, format_text, ratio, round_to_int, whole_years
+from tablewright.functions.scalars import average, format_text, ratio, round_to_int, rounded_quotient, whole_years
 
 
 def one(spark, column):
@@ -24,6 +24,10 @@ def test_ratio_rounds_half_away_from_zero(spark):
     assert got == [exact(a, b) if b else None for a, b in cases]
 
 
+def test_rounded_quotient(spark):
+    assert [one(spark, rounded_quotient(F.lit(n), F.lit(2))) for n in (1, -1, 3, 4)] == [1, -1, 2, 2]
+
+
 def test_average_is_exact(spark):
     df = spark.createDataFrame([(Decimal("0.01"),), (Decimal("0.02"),), (None,)], "x decimal(10,2)")
     assert df.agg(average("x")).first()[0] == Decimal("0.02")

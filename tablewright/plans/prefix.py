@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCK_BITS = 20
 
@@ -26,40 +27,51 @@ def _sum_before(value: str, partition: list[str], order: str) -> Column:
 
 
 def sum_before(
-    df: DataFrame, group: list[str], key: str, weight: str, out: str, bits: int = BLOCK_BITS
+    df: DataFrame,
+    group: list[str],
+    key: str,
+    weight: str,
+    out: str,
+    bits: int = BLOCK_BITS,
+    key_bits: int = 64,
 ) -> DataFrame:
     """Add ``out``: the sum of ``weight`` over rows of the same group with a smaller key.
 
-    ``key`` is a bigint, unique in its group; group columns hold no NULL. Every block has
-    its offset, so the joins below could as well be inner ones; as left joins they push no
-    filter into one of two equal branches, and Spark computes the branch once.
+    ``key`` is a bigint of at most ``key_bits`` bits, unique in its group; group columns
+    hold no NULL.
     """
-    block, super_block, subtotal = "__block", "__super", "__subtotal"
-    base, super_base = "__base", "__super_base"
-
+    block, base = "__block", "__base"
     cut = df.withColumn(block, F.shiftright(key, bits))
-    blocks = (
-        cut.groupBy(*group, block)
-        .agg(F.sum(weight).alias(subtotal))
-        .withColumn(super_block, F.shiftright(block, bits))
+    subtotals = cut.groupBy(*group, block).agg(F.sum(weight).alias(base))
+    # Every block has its offset, so this could as well be an inner join; a left join
+    # pushes no filter into one of two equal branches, and Spark computes the branch once.
+    return (
+        cut.withColumn(out, _sum_before(weight, [*group, block], key))
+        .join(_block_offsets(subtotals, group, block, base, bits, key_bits - bits), [*group, block], "left")
+        .withColumn(out, (F.col(out) + F.col(base)).cast("bigint"))
+        .drop(block, base)
     )
+
+
+def _block_offsets(
+    blocks: DataFrame, group: list[str], block: str, base: str, bits: int, block_bits: int
+) -> DataFrame:
+    """Replace each block's subtotal by the sum of the subtotals before it."""
+    if block_bits <= bits:  # few enough blocks in a group for one window
+        return blocks.withColumn(base, _sum_before(base, group, block))
+    super_block, super_base = "__super", "__super_base"
+    cut = blocks.withColumn(super_block, F.shiftright(block, bits))
     supers = (
-        blocks.groupBy(*group, super_block)
-        .agg(F.sum(subtotal).alias(subtotal))
-        # 64-bit keys have at most 2**(64 - 2 * bits) super blocks per group
-        .select(*group, super_block, _sum_before(subtotal, group, super_block).alias(super_base))
+        cut.groupBy(*group, super_block)
+        .agg(F.sum(base).alias(super_base))
+        # 64-bit keys leave at most 2**(64 - 2 * bits) of these per group
+        .withColumn(super_base, _sum_before(super_base, group, super_block))
     )
-    offsets = (
-        blocks.withColumn(base, _sum_before(subtotal, [*group, super_block], block))
+    return (
+        cut.withColumn(base, _sum_before(base, [*group, super_block], block))
         .join(supers, [*group, super_block], "left")
         .select(*group, block, (F.col(base) + F.col(super_base)).alias(base))
     )
-    return (
-        cut.withColumn(out, _sum_before(weight, [*group, block], key))
-        .join(offsets, [*group, block], "left")
-        .withColumn(out, (F.col(out) + F.col(base)).cast("bigint"))
-        .drop(block, base)
-    )
 
 
 def dense_keys(df: DataFrame, order_by: str, out: str, start: int = 1) -> DataFrame:
@@ -76,21 +88,26 @@ def later_in_group(df: DataFrame, group: list[str], key: str, out: str) -> DataF
     return sum_before(marked, group, reverse, weight, out).drop(weight, reverse)
 
 
-def rank_in_group(df: DataFrame, group: str, score: str, out: str, scale: int = 2) -> DataFrame:
+def rank_in_group(df: DataFrame, group: str, score: str, out: str) -> DataFrame:
     """Add ``out``: 1 + the number of rows in the same group with a higher score.
 
     Ties share a rank and leave gaps. A NULL group or score compares with nothing and
-    ranks 1. ``score`` is a decimal with ``scale`` digits after the point. Equal scores
-    are counted before the shuffle, so neither a hot group nor a hot score gathers rows.
+    ranks 1. ``score`` is a decimal of at most 18 digits. Equal scores are counted before
+    the shuffle, so neither a hot group nor a hot score gathers rows.
     """
     descending, ties = "__descending", "__ties"
+    type_ = df.schema[score].dataType
+    if not isinstance(type_, T.DecimalType) or type_.precision > 18:
+        raise ValueError(f"{score} must be a decimal of at most 18 digits")
+    # digits and sign
+    key_bits = (10**type_.precision).bit_length() + 1
     scores = (
         df.filter(F.col(group).isNotNull() & F.col(score).isNotNull())
         .groupBy(group, score)
         .agg(F.count("*").alias(ties))
-        .withColumn(descending, (-F.col(score) * 10**scale).cast("bigint"))
+        .withColumn(descending, (-F.col(score) * 10**type_.scale).cast("bigint"))
     )
-    ranks = sum_before(scores, [group], descending, ties, out).select(
+    ranks = sum_before(scores, [group], descending, ties, out, key_bits=key_bits).select(
         group, score, (F.col(out) + 1).alias(out)
     )
     return df.join(ranks, [group, score], "left").withColumn(

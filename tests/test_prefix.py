@@ -17,10 +17,10 @@ pairs = st.lists(
 
 
 @quick
-@given(data=pairs)
-def test_sum_before(spark, data):
+@given(data=pairs, bits=st.sampled_from([4, 20, 40]))
+def test_sum_before(spark, data, bits):
     df = spark.createDataFrame([(g, k, k % 7) for g, k in data], "g int, k long, w long")
-    got = {(r.g, r.k): r.s for r in sum_before(df, ["g"], "k", "w", "s", bits=4).collect()}
+    got = {(r.g, r.k): r.s for r in sum_before(df, ["g"], "k", "w", "s", bits=bits).collect()}
     want = {(g, k): sum(k2 % 7 for g2, k2 in data if g2 == g and k2 < k) for g, k in data}
     assert got == want
 

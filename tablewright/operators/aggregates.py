@@ -25,10 +25,12 @@ def per_key(child: DataFrame, key: str, **aggs: Column) -> DataFrame:
 
 def with_children(parent: DataFrame, child: DataFrame, key: str, empty: dict[str, Any], **aggs: Column) -> DataFrame:
     """All parents with aggregates over their children; ``empty`` fills childless parents."""
-    joined = parent.join(per_key(child, key, **aggs), key, "left")
-    return joined.withColumns(
-        {n: F.coalesce(F.col(n), F.lit(v).cast(joined.schema[n].dataType)) for n, v in empty.items()}
-    )
+    summed = per_key(child, key, **aggs)
+    filled = [
+        F.coalesce(F.col(n), F.lit(empty[n]).cast(summed.schema[n].dataType)).alias(n) if n in empty else n
+        for n in aggs
+    ]
+    return parent.join(summed, key, "left").select(*parent.columns, *filled)
 
 
 def fan_out_totals(

@@ -48,8 +48,7 @@ def sum_before(
     return (
         cut.withColumn(out, _sum_before(weight, [*group, block], key))
         .join(_block_offsets(subtotals, group, block, base, bits, key_bits - bits), [*group, block], "left")
-        .withColumn(out, (F.col(out) + F.col(base)).cast("bigint"))
-        .drop(block, base)
+        .select(*df.columns, (F.col(out) + F.col(base)).cast("bigint").alias(out))
     )
 
 
@@ -110,6 +109,6 @@ def rank_in_group(df: DataFrame, group: str, score: str, out: str) -> DataFrame:
     ranks = sum_before(scores, [group], descending, ties, out, key_bits=key_bits).select(
         group, score, (F.col(out) + 1).alias(out)
     )
-    return df.join(ranks, [group, score], "left").withColumn(
-        out, F.coalesce(F.col(out), F.lit(1)).cast("bigint")
+    return df.join(ranks, [group, score], "left").select(
+        *df.columns, F.coalesce(F.col(out), F.lit(1)).cast("bigint").alias(out)
     )

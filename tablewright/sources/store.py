@@ -50,7 +50,10 @@ class VersionedTable:
 
     def publish(self, *folders: str) -> int:
         """Make staged folders the current state."""
-        version = (self.version() or 0) + 1
+        return self._publish(folders, self._entry())
+
+    def _publish(self, folders: list[str] | tuple[str, ...], before: Row | None) -> int:
+        version = (before.version if before else 0) + 1
         entry = self.spark.range(1, numPartitions=1).select(
             F.lit(version).cast("long").alias("version"),
             F.array(*[F.lit(f) for f in folders]).alias("folders"),
@@ -64,8 +67,8 @@ class VersionedTable:
 
     def append(self, new: DataFrame) -> int:
         """Add rows; earlier rows are not rewritten."""
-        entry = self._entry()
-        return self.publish(*(entry.folders if entry else []), self.stage(new))
+        before = self._entry()
+        return self._publish([*(before.folders if before else []), self.stage(new)], before)
 
     def read(self, version: int | None = None) -> DataFrame:
         """A state by number, the current one by default; the result never moves."""

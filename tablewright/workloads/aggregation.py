@@ -110,11 +110,12 @@ def having_average(t: Tables) -> DataFrame:
     return t.dept.join(rich, "dept_id").select("dept_name", "avg_salary")
 
 
-DEPT_STATISTICS_SQL = f"""SELECT d.dept_id, d.dept_name, CAST(COUNT(e.emp_id) AS BIGINT) AS employee_count,
-         COALESCE({sql_avg('e.salary')}, 0) AS avg_salary,
-         CAST(COALESCE(MAX(e.salary), 0) AS DECIMAL(18,2)) AS max_salary,
-         CAST(COALESCE(MIN(e.salary), 0) AS DECIMAL(18,2)) AS min_salary
-       FROM dept d LEFT JOIN emp e ON d.dept_id = e.dept_id GROUP BY d.dept_id, d.dept_name"""
+DEPT_STATISTICS_SQL = f"""SELECT dept_id, dept_name, COALESCE(n, 0) AS employee_count,
+         COALESCE(mean, 0) AS avg_salary, CAST(COALESCE(high, 0) AS DECIMAL(18,2)) AS max_salary,
+         CAST(COALESCE(low, 0) AS DECIMAL(18,2)) AS min_salary
+       FROM dept LEFT JOIN (SELECT dept_id, COUNT(*) AS n, {sql_avg('salary')} AS mean,
+                              MAX(salary) AS high, MIN(salary) AS low FROM emp GROUP BY dept_id)
+         USING (dept_id)"""
 
 
 def dept_statistics(dept: DataFrame, emp: DataFrame) -> DataFrame:
@@ -135,10 +136,9 @@ def dept_statistics_query(t: Tables) -> DataFrame:
     return dept_statistics(t.dept, t.emp)
 
 
-PROJECT_OVERVIEW_SQL = """SELECT p.project_name, p.budget, d.dept_name, d.location,
-         CAST(COUNT(e.emp_id) AS BIGINT) AS team_size
-       FROM proj p JOIN dept d ON p.dept_id = d.dept_id LEFT JOIN emp e ON d.dept_id = e.dept_id
-       GROUP BY p.project_id, p.project_name, p.budget, d.dept_name, d.location"""
+PROJECT_OVERVIEW_SQL = """SELECT project_name, budget, dept_name, location,
+         (SELECT COUNT(*) FROM emp e WHERE e.dept_id = p.dept_id) AS team_size
+       FROM proj p JOIN dept USING (dept_id)"""
 
 
 def project_overview(proj: DataFrame, dept: DataFrame, emp: DataFrame) -> DataFrame:
@@ -162,12 +162,16 @@ def over_view(t: Tables) -> DataFrame:
     return overview.agg(F.count("*").alias("total_projects"), total("budget").alias("total_budgets"))
 
 
-DEPT_SUMMARY_SQL = """SELECT d.dept_id, d.dept_name, CAST(COUNT(e.emp_id) AS BIGINT) AS total_employees,
-         CAST(COALESCE(SUM(e.salary), 0) AS DECIMAL(38,2)) AS total_salaries,
-         CAST(COUNT(p.project_id) AS BIGINT) AS total_projects,
-         CAST(COALESCE(SUM(p.budget), 0) AS DECIMAL(38,2)) AS total_budget
-       FROM dept d LEFT JOIN emp e ON d.dept_id = e.dept_id LEFT JOIN proj p ON d.dept_id = p.dept_id
-       GROUP BY d.dept_id, d.dept_name"""
+# Every row of a department's employees beside every row of its projects, as an outer join
+# of both children builds them.
+_REPEATED = """(SELECT dept.*, emp_id, salary, project_id, budget
+         FROM dept LEFT JOIN emp USING (dept_id) LEFT JOIN proj USING (dept_id))"""
+
+DEPT_SUMMARY_SQL = f"""SELECT dept_id, dept_name, COUNT(emp_id) AS total_employees,
+         CAST(COALESCE(SUM(salary), 0) AS DECIMAL(38,2)) AS total_salaries,
+         COUNT(project_id) AS total_projects,
+         CAST(COALESCE(SUM(budget), 0) AS DECIMAL(38,2)) AS total_budget
+       FROM {_REPEATED} GROUP BY ALL"""
 
 
 def dept_summary(dept: DataFrame, emp: DataFrame, proj: DataFrame) -> DataFrame:
@@ -210,14 +214,12 @@ def without_fan_out(t: Tables) -> DataFrame:
     )
 
 
-DASHBOARD_SQL = f"""SELECT d.dept_name, d.location, CAST(COUNT(e.emp_id) AS BIGINT) AS employee_count,
-         COALESCE({sql_avg('e.salary')}, 0) AS avg_salary,
-         CAST(COUNT(p.project_id) AS BIGINT) AS active_projects,
-         CAST(COALESCE(SUM(p.budget), 0) AS DECIMAL(38,2)) AS total_budget,
-         CASE WHEN COUNT(e.emp_id) > 0 THEN {sql_ratio('COALESCE(SUM(p.budget), 0)', 'COUNT(e.emp_id)')}
+DASHBOARD_SQL = f"""SELECT dept_name, location, COUNT(emp_id) AS employee_count,
+         COALESCE({sql_avg('salary')}, 0) AS avg_salary, COUNT(project_id) AS active_projects,
+         CAST(COALESCE(SUM(budget), 0) AS DECIMAL(38,2)) AS total_budget,
+         CASE WHEN COUNT(emp_id) > 0 THEN {sql_ratio('COALESCE(SUM(budget), 0)', 'COUNT(emp_id)')}
               ELSE 0 END AS budget_per_employee
-       FROM dept d LEFT JOIN emp e ON d.dept_id = e.dept_id LEFT JOIN proj p ON d.dept_id = p.dept_id
-       GROUP BY d.dept_id, d.dept_name, d.location"""
+       FROM {_REPEATED} GROUP BY dept_id, dept_name, location"""
 
 
 def dashboard(dept: DataFrame, emp: DataFrame, proj: DataFrame) -> DataFrame:

@@ -169,7 +169,7 @@ def with_data(t: Tables) -> DataFrame:
     f"""WITH grown AS (SELECT emp_id, dept_id, salary FROM emp
          UNION ALL SELECT -8, 1, CAST(54000 AS DECIMAL(10,2)))
        SELECT 'before' AS state, * FROM ({DEPT_SUMMARY_SQL})
-       UNION ALL SELECT 'after', * FROM ({DEPT_SUMMARY_SQL.replace("emp e", "grown e")})""",
+       UNION ALL SELECT 'after', * FROM ({DEPT_SUMMARY_SQL.replace("JOIN emp", "JOIN grown")})""",
     "emp dept proj",
 )
 def stale_then_refreshed(t: Tables) -> DataFrame:
@@ -204,9 +204,9 @@ def keyed_refresh(t: Tables) -> DataFrame:
 
 @query(
     "mv_04_populated_later",
-    """SELECT p.project_name, p.budget, d.dept_name, CAST(COUNT(e.emp_id) AS BIGINT) AS assigned_employees
-       FROM proj p JOIN dept d ON p.dept_id = d.dept_id LEFT JOIN emp e ON d.dept_id = e.dept_id
-       GROUP BY p.project_id, p.project_name, p.budget, d.dept_name""",
+    """SELECT project_name, budget, dept_name,
+         (SELECT COUNT(*) FROM emp e WHERE e.dept_id = p.dept_id) AS assigned_employees
+       FROM proj p JOIN dept USING (dept_id)""",
     "emp dept proj",
 )
 def populated_later(t: Tables) -> DataFrame:

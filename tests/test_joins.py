@@ -114,8 +114,8 @@ def test_derived_and_union(t):
     named = t.emp.withColumn("segment", t.emp.emp_name)
     t2 = type(t)(**{**vars(t), "emp": named})
     assert len(rows(joining.full_by_union(t2))) == 6
-    assert rows(joining.mixed(t), "project_name", "team") == [
-        ("Budget Analysis", 1), ("Cloud Migration", 2), ("Employee Training", 1), ("Website Redesign", 2),
+    assert rows(joining.mixed(t), "project_id", "team", "top_salary") == [
+        (1, 2, 55000.0), (2, 1, 60000.0), (3, 1, 65000.0), (4, 2, 55000.0),
     ]
 
 

@@ -46,6 +46,22 @@ def money(c: ColumnOrName, precision: int = 18) -> Column:
     return as_column(c).cast(f"decimal({precision},2)")
 
 
+def above(amount: ColumnOrName, limits: dict[str, int], otherwise: str) -> Column:
+    """The label of the first limit that ``amount`` exceeds; NULL exceeds none."""
+    amount = as_column(amount)
+    label = F
+    for name, limit in limits.items():
+        label = label.when(amount > limit, name)
+    return label.otherwise(otherwise)
+
+
+def three_bands(amount: ColumnOrName, bands: tuple[str, int, str, int, str]) -> Column:
+    """Above the first limit, between both limits (inclusive), or the rest with NULL."""
+    top, high, middle, low, rest = bands
+    amount = as_column(amount)
+    return F.when(amount > high, top).when(amount.between(low, high), middle).otherwise(rest)
+
+
 def total(c: ColumnOrName) -> Column:
     """SUM with room for fan-out totals over very large tables."""
     return F.sum(as_column(c)).cast("decimal(38,2)")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.scalars import rounded_quotient
+from tablewright.functions.scalars import rounded_quotient, three_bands
 from tablewright.operators import changes, subqueries
 from tablewright.operators.aggregates import per_key
 from tablewright.session import new_folder
@@ -13,6 +13,7 @@ from tablewright.sources.ingest import append, literal_rows
 from tablewright.sources.spec import SetDefault, alter, table
 from tablewright.sources.store import VersionedTable
 from tablewright.sources.tables import Tables, day
+from tablewright.workloads import fixed
 from tablewright.workloads.registry import query
 
 STAFF = table(
@@ -83,9 +84,7 @@ def update_columns(t: Tables) -> DataFrame:
     "staff",
 )
 def update_case(t: Tables) -> DataFrame:
-    salary = F.col("salary")
-    band = F.when(salary > 80000, "Management").when(salary.between(50000, 80000), "Senior").otherwise("Junior")
-    return changes.update(t.staff, {"department": band})
+    return changes.update(t.staff, {"department": three_bands("salary", fixed.STAFF_BANDS)})
 
 
 @query(
@@ -104,7 +103,7 @@ def update_default(t: Tables) -> DataFrame:
     "staff",
 )
 def update_null(t: Tables) -> DataFrame:
-    return changes.update(t.staff, {"department": F.lit("Unassigned")}, F.col("department").isNull())
+    return changes.update(t.staff, {"department": F.lit(fixed.UNASSIGNED)}, F.col("department").isNull())
 
 
 @query(
@@ -152,7 +151,7 @@ def update_from_aggregate(t: Tables) -> DataFrame:
 )
 def update_from_lookup(t: Tables) -> DataFrame:
     known = subqueries.single_value(t.staff, "department", t.unit, "dept_name", "budget", "budget")
-    raised = F.when(F.col("budget") > 100000, F.col("salary") * literal("1.10")).otherwise(
+    raised = F.when(F.col("budget") > fixed.RICH_UNIT, F.col("salary") * literal("1.10")).otherwise(
         F.col("salary") * literal("1.05")
     )
     return changes.update(known, {"salary": raised}).drop("budget")

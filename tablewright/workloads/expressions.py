@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.scalars import concat_skip_null, format_text, ratio, whole_years
 from tablewright.sources.tables import Tables, day
+from tablewright.workloads import fixed
 from tablewright.workloads.registry import query, sql_ratio
 
 
@@ -42,14 +43,13 @@ def substring(t: Tables) -> DataFrame:
     "proj",
 )
 def format_(t: Tables) -> DataFrame:
-    template = "Project: %s - Budget: $%s - Status: %s - Dept: %s"
-    info = format_text(template, "project_name", "budget", "status", "dept_id")
+    info = format_text(fixed.PROJECT_INFO + " - Dept: %s", "project_name", "budget", "status", "dept_id")
     return t.proj.select("project_id", info.alias("project_info"))
 
 
 @query("fn_07_coalesce", "SELECT emp_id, COALESCE(email, 'No email provided') AS email FROM emp", "emp")
 def coalesce(t: Tables) -> DataFrame:
-    return t.emp.select("emp_id", F.coalesce("email", F.lit("No email provided")).alias("email"))
+    return t.emp.select("emp_id", F.coalesce("email", F.lit(fixed.NO_EMAIL)).alias("email"))
 
 
 @query(

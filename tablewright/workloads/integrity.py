@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.operators import quality
 from tablewright.sources.spec import Check, ForeignKey, TableSpec, table
 from tablewright.sources.tables import Tables, day
+from tablewright.workloads import fixed
 from tablewright.workloads.registry import query
 
 
@@ -285,7 +286,7 @@ SHOP_ORDERS = table(
     primary_key=("order_id",),
     checks=(
         Check("total", "total >= 0"),
-        Check("status", "status IN ('pending', 'processing', 'shipped', 'delivered', 'cancelled')"),
+        Check("status", f"status IN {fixed.ORDER_STATUSES}"),
     ),
     foreign_keys=(ForeignKey(("customer_id",), "customers", ("customer_id",), "set null"),),
 )
@@ -370,9 +371,8 @@ def _quoted(condition: str) -> str:
         _rule("products check price", "NOT price >= 0", "'price >= 0'", "product_id", "products"),
         _rule("products.stock not null", "stock IS NULL", "'NULL'", "product_id", "products"),
         _rule("products check stock", "NOT stock >= 0", "'stock >= 0'", "product_id", "products"),
-        _rule("orders check status", "status NOT IN ('pending', 'processing', 'shipped', 'delivered', 'cancelled')",
-              _quoted("status IN ('pending', 'processing', 'shipped', 'delivered', 'cancelled')"),
-              "order_id", "shop_orders"),
+        _rule("orders check status", f"status NOT IN {fixed.ORDER_STATUSES}",
+              _quoted(f"status IN {fixed.ORDER_STATUSES}"), "order_id", "shop_orders"),
         _dangling_sql("orders foreign key customer_id", "shop_orders.customer_id", "shop_orders",
                       "customers", "customers.customer_id"),
         _duplicates_sql("lines primary key", "order_id, line", "lines"),

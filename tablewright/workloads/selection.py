@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.scalars import ratio, total
+from tablewright.functions.scalars import ratio, three_bands, total
 from tablewright.operators import joins, subqueries
 from tablewright.operators.aggregates import per_key
 from tablewright.sources.tables import Tables, day
+from tablewright.workloads import fixed
 from tablewright.workloads.registry import query
 
 # --- projections ----------------------------------------------------------------------
@@ -65,15 +66,8 @@ def distinct(t: Tables) -> DataFrame:
     "proj",
 )
 def case(t: Tables) -> DataFrame:
-    budget = F.col("budget")
-    return t.proj.select(
-        "project_name",
-        "budget",
-        F.when(budget > 150000, "Large")
-        .when(budget.between(10000, 150000), "Medium")
-        .otherwise("Small")
-        .alias("budget_category"),
-    )
+    category = three_bands("budget", fixed.BUDGET_BANDS)
+    return t.proj.select("project_name", "budget", category.alias("budget_category"))
 
 
 @query(
@@ -338,7 +332,7 @@ def scalar_aggregate(t: Tables) -> DataFrame:
 )
 def scalar_lookup(t: Tables) -> DataFrame:
     s = subqueries.single_value(t.staff, "department", t.unit, "dept_name", "budget", "budget")
-    return s.select("emp_id", F.when(F.col("budget") > 100000, "rich").otherwise("plain").alias("kind"))
+    return s.select("emp_id", F.when(F.col("budget") > fixed.RICH_UNIT, "rich").otherwise("plain").alias("kind"))
 
 
 @query(

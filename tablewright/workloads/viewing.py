@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.functions.scalars import above
 from tablewright.plans.views import MaterializedView, create_view, drop_view, rename_view
 from tablewright.session import new_folder
 from tablewright.sources.ingest import fill_missing, literal_rows
@@ -23,6 +24,7 @@ from tablewright.workloads.aggregation import (
     dept_summary,
     project_overview,
 )
+from tablewright.workloads import fixed
 from tablewright.workloads.changes import EMP
 from tablewright.workloads.registry import query
 
@@ -62,7 +64,7 @@ _HIGH_SQL = """SELECT e.emp_name, e.salary, d.dept_name FROM emp e LEFT JOIN dep
 
 
 def _high(t: Tables) -> DataFrame:
-    rich = t.emp.filter(F.col("salary") > 55000)
+    rich = t.emp.filter(F.col("salary") > fixed.HIGH_EARNER)
     return rich.join(t.dept, "dept_id", "left").select("emp_name", "salary", "dept_name")
 
 
@@ -78,9 +80,9 @@ def high_earners(t: Tables) -> DataFrame:
     "emp dept",
 )
 def replace(t: Tables) -> DataFrame:
-    name, salary = _name("employee_details"), F.col("salary")
+    name = _name("employee_details")
     view = create_view(_details(t), name)
-    grade = F.when(salary > 60000, "High").when(salary > 50000, "Medium").otherwise("Standard")
+    grade = above("salary", fixed.SALARY_GRADES, fixed.SALARY_GRADE_ELSE)
     return create_view(view.withColumn("salary_grade", grade), name, replace=True)
 
 
@@ -136,15 +138,10 @@ def dashboard_view(t: Tables) -> DataFrame:
     "dept proj",
 )
 def high_budget(t: Tables) -> DataFrame:
-    budget = F.col("budget")
-    status = (
-        F.when(budget > 150000, "Critical Review Required")
-        .when(budget > 100000, "Management Approval Needed")
-        .otherwise("Standard Process")
-    )
+    status = above("budget", fixed.APPROVALS, fixed.APPROVAL_ELSE)
     created = AddColumn(Field("created_date", "timestamp", default="2024-06-30 12:00:00"))
     proj, _ = alter(t.proj, table("proj", "project_name text, budget numeric(12,2), dept_id int"), created)
-    large = proj.filter(budget > 75000).join(t.dept, "dept_id")
+    large = proj.filter(F.col("budget") > fixed.HIGH_BUDGET).join(t.dept, "dept_id")
     return create_view(
         large.select("project_name", "budget", "dept_name", "created_date", status.alias("approval_status")),
         _name("high_budget_projects"),

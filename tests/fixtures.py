@@ -6,6 +6,7 @@ from types import SimpleNamespace
 
 from tablewright.sources.ingest import literal_rows
 from tablewright.sources.spec import Check, ForeignKey, table
+from tablewright.workloads.fixed import ORDER_STATUSES
 
 # --- fixed values: the company with employees, departments and projects ---------------
 
@@ -105,7 +106,7 @@ SHOP = {
         primary_key=("order_id",),
         checks=(
             Check("total_amount", "total_amount >= 0"),
-            Check("status", "status IN ('pending', 'processing', 'shipped', 'delivered', 'cancelled')"),
+            Check("status", f"status IN {ORDER_STATUSES}"),
         ),
         foreign_keys=(ForeignKey(("customer_id",), "customers", ("customer_id",), "set null"),),
     ),

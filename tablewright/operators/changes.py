@@ -6,11 +6,15 @@ nothing. Write the result as a new state with ``sources.store.VersionedTable``.
 
 from __future__ import annotations
 
+from functools import reduce
+from graphlib import TopologicalSorter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.operators.joins import distinct_keys, matched
+from tablewright.operators.joins import distinct_keys, matched, unmatched
+from tablewright.operators.quality import IntegrityError
 from tablewright.sources.spec import TableSpec
 from tablewright.sources.store import VersionedTable
 
@@ -83,16 +87,23 @@ def move(df: DataFrame, where: Column, store: VersionedTable) -> tuple[DataFrame
 # --- deleting parents -----------------------------------------------------------------
 
 
-def cascade(child: DataFrame, fk: str, deleted: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+def cascade(
+    child: DataFrame, fk: str | tuple[str, ...], deleted: DataFrame, key: str | tuple[str, ...]
+) -> tuple[DataFrame, DataFrame]:
     """ON DELETE CASCADE: children kept, and children that go with their parent."""
-    keys = distinct_keys(deleted.select(F.col(key).alias("__gone")), ["__gone"])
-    on = F.col(fk) == F.col("__gone")
-    return child.join(keys, on, "left_anti"), child.join(keys, on, "left_semi")
+    on = _on(fk, key)
+    return unmatched(child, deleted, on), matched(child, deleted, on)
 
 
-def blockers(deleted: DataFrame, key: str, child: DataFrame, fk: str) -> DataFrame:
+def blockers(
+    deleted: DataFrame, key: str | tuple[str, ...], child: DataFrame, fk: str | tuple[str, ...]
+) -> DataFrame:
     """ON DELETE RESTRICT / NO ACTION: the parents whose children forbid the delete."""
-    return matched(deleted, child, {key: fk})
+    return matched(deleted, child, _on(key, fk))
+
+
+def _on(left: str | tuple[str, ...], right: str | tuple[str, ...]) -> dict[str, str]:
+    return {left: right} if isinstance(left, str) else dict(zip(left, right))
 
 
 def delete_restricted(parent: DataFrame, where: Column, key: str, child: DataFrame, fk: str) -> DataFrame:
@@ -101,9 +112,67 @@ def delete_restricted(parent: DataFrame, where: Column, key: str, child: DataFra
     return parent.filter(~F.coalesce(where, F.lit(False)) | refused)
 
 
-def set_null(child: DataFrame, fk: str, deleted: DataFrame, key: str) -> DataFrame:
+def set_null(
+    child: DataFrame, fk: str | tuple[str, ...], deleted: DataFrame, key: str | tuple[str, ...]
+) -> DataFrame:
     """ON DELETE SET NULL: children keep their row and lose the key."""
-    gone = "__gone"
-    keys = distinct_keys(deleted.select(F.col(key).alias(gone)), [gone])
-    joined = child.join(keys, F.col(fk) == F.col(gone), "left")
-    return joined.withColumn(fk, F.when(F.col(gone).isNull(), F.col(fk))).select(*child.columns)
+    pairs = _on(fk, key)
+    gone = {f: f"__gone{i}" for i, f in enumerate(pairs)}
+    keys = deleted.select(*[F.col(pairs[f]).alias(g) for f, g in gone.items()])
+    on = reduce(lambda a, b: a & b, [F.col(f) == F.col(g) for f, g in gone.items()])
+    joined = child.join(distinct_keys(keys, list(gone.values())), on, "left")
+    return joined.withColumns(
+        {f: F.when(F.col(g).isNull(), F.col(f)) for f, g in gone.items()}
+    ).select(*child.columns)
+
+
+def delete_parents(
+    tables: dict[str, tuple[DataFrame, TableSpec]], name: str, where: Column
+) -> dict[str, DataFrame]:
+    """Delete from a table and apply every foreign key's rule in the tables below it.
+
+    Returns the new state of all tables, or raises before any of them is built: RESTRICT
+    refuses when a child refers to a deleted row, NO ACTION when such a child remains.
+    """
+    doomed = {name: tables[name][0].filter(where)}
+    after = {n: df for n, (df, _) in tables.items()}
+    after[name] = delete(tables[name][0], where)
+    checks = []
+    for parent in _below(tables, name):
+        for child, (_, spec) in tables.items():
+            for fk in spec.foreign_keys:
+                if fk.parent != parent or parent not in doomed:
+                    continue
+                rule = (fk.columns, doomed[parent], fk.parent_columns)
+                if fk.on_delete == "cascade":
+                    after[child], _ = cascade(after[child], *rule)
+                    lost = matched(tables[child][0], doomed[parent], _on(fk.columns, fk.parent_columns))
+                    # a row may go for several reasons; repeats do no harm
+                    doomed[child] = doomed[child].unionByName(lost) if child in doomed else lost
+                elif fk.on_delete == "set null":
+                    after[child] = set_null(after[child], *rule)
+                else:
+                    checks.append((parent, child, fk))
+    for parent, child, fk in checks:
+        holders = tables[child][0] if fk.on_delete == "restrict" else after[child]
+        stuck = blockers(doomed[parent], fk.parent_columns, holders, fk.columns).limit(1).collect()
+        if stuck:
+            key = "|".join(str(stuck[0][c]) for c in fk.parent_columns)
+            raise IntegrityError(f"{child} still refers to {parent} {key}")
+    return after
+
+
+def _below(tables: dict[str, tuple[DataFrame, TableSpec]], name: str) -> list[str]:
+    """The table and those its deletes cascade to, parents before children."""
+    children = {
+        n: {c for c, (_, s) in tables.items() for k in s.foreign_keys if k.parent == n and k.on_delete == "cascade"}
+        for n in tables
+    }
+    reached, todo = set(), [name]
+    while todo:
+        n = todo.pop()
+        if n not in reached:
+            reached.add(n)
+            todo += children[n]
+    parents = {n: {p for p in reached if n in children[p]} for n in reached}
+    return list(TopologicalSorter(parents).static_order())

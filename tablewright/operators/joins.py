@@ -30,10 +30,6 @@ def _pairs(on: str | list[str] | dict[str, str]) -> dict[str, str]:
     return dict(on) if isinstance(on, dict) else {c: c for c in on}
 
 
-def _matches(left: DataFrame, right: DataFrame, on: dict[str, str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[l] == right[r] for l, r in on.items()])
-
-
 def distinct_keys(df: DataFrame, columns: list[str]) -> DataFrame:
     """The distinct non-NULL key values; combined before the shuffle, so no key is hot."""
     return df.select(*columns).dropna(subset=columns).distinct()
@@ -47,18 +43,25 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
     return left.join(right, common, how)
 
 
+def _key_test(right: DataFrame, on: str | list[str] | dict[str, str]) -> tuple[DataFrame, Column]:
+    """The distinct keys of ``right`` under fresh names, and the condition that matches them."""
+    pairs = _pairs(on)
+    names = {r: f"__key{i}" for i, r in enumerate(pairs.values())}
+    keys = distinct_keys(right.select(*[F.col(r).alias(n) for r, n in names.items()]), list(names.values()))
+    return keys, reduce(lambda a, b: a & b, [F.col(l) == F.col(names[r]) for l, r in pairs.items()])
+
+
 def matched(left: DataFrame, right: DataFrame, on: str | list[str] | dict[str, str]) -> DataFrame:
-    """Rows of ``left`` with at least one match (EXISTS, IN); none is repeated."""
-    on = _pairs(on)
-    keys = distinct_keys(right, list(on.values()))
-    return left.join(keys, _matches(left, keys, on), "left_semi")
+    """Rows of ``left`` with at least one match (EXISTS, IN); none is repeated.
+
+    ``on`` names common columns or maps left columns to right ones.
+    """
+    return left.join(*_key_test(right, on), "left_semi")
 
 
 def unmatched(left: DataFrame, right: DataFrame, on: str | list[str] | dict[str, str]) -> DataFrame:
     """Rows of ``left`` without a match, those with a NULL key among them."""
-    on = _pairs(on)
-    keys = distinct_keys(right, list(on.values()))
-    return left.join(keys, _matches(left, keys, on), "left_anti")
+    return left.join(*_key_test(right, on), "left_anti")
 
 
 def left_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread: str) -> DataFrame:

@@ -104,6 +104,16 @@ class ForeignKey:
     on_delete: str = "no action"  # or: restrict, cascade, set null
 
 
+def references(
+    columns: str | tuple[str, ...], parent: TableSpec, on_delete: str = "no action"
+) -> ForeignKey:
+    """A foreign key to the parent's primary key."""
+    columns = (columns,) if isinstance(columns, str) else columns
+    if len(columns) != len(parent.primary_key):
+        raise ValueError(f"{columns} does not fit the key {parent.primary_key} of {parent.name}")
+    return ForeignKey(columns, parent.name, parent.primary_key, on_delete)
+
+
 @dataclass(frozen=True)
 class TableSpec:
     name: str

@@ -10,7 +10,7 @@ from tablewright.operators import changes, subqueries
 from tablewright.operators.aggregates import per_key
 from tablewright.session import new_folder
 from tablewright.sources.ingest import append, literal_rows
-from tablewright.sources.spec import SetDefault, alter, table
+from tablewright.sources.spec import SetDefault, alter, references, table
 from tablewright.sources.store import VersionedTable
 from tablewright.sources.tables import Tables, day
 from tablewright.workloads import fixed
@@ -303,10 +303,16 @@ def cascade(t: Tables) -> DataFrame:
          WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY'))""",
 )
 def cascade_chain(t: Tables) -> DataFrame:
-    customers = t.scan("customer").filter(F.col("c_mktsegment") == "MACHINERY")
-    _, orders = changes.cascade(t.scan("orders"), "o_custkey", customers, "c_custkey")
-    kept, _ = changes.cascade(t.scan("lineitem"), "l_orderkey", orders, "o_orderkey")
-    return kept
+    customer = table("customer", "c_custkey bigint", primary_key=("c_custkey",))
+    orders = table(
+        "orders", "o_orderkey bigint, o_custkey bigint", primary_key=("o_orderkey",),
+        foreign_keys=(references("o_custkey", customer, "cascade"),),
+    )
+    lineitem = table(
+        "lineitem", "l_orderkey bigint", foreign_keys=(references("l_orderkey", orders, "cascade"),)
+    )
+    tables = {s.name: (t.scan(s.name), s) for s in (customer, orders, lineitem)}
+    return changes.delete_parents(tables, "customer", F.col("c_mktsegment") == "MACHINERY")["lineitem"]
 
 
 _RESTRICT_SQL = """SELECT * FROM dept WHERE ({0}) IS NOT TRUE

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators import quality
-from tablewright.sources.spec import Check, ForeignKey, TableSpec, table
+from tablewright.sources.spec import Check, ForeignKey, TableSpec, references, table
 from tablewright.sources.tables import Tables, day
 from tablewright.workloads import fixed
 from tablewright.workloads.registry import query
@@ -288,7 +288,7 @@ SHOP_ORDERS = table(
         Check("total", "total >= 0"),
         Check("status", f"status IN {fixed.ORDER_STATUSES}"),
     ),
-    foreign_keys=(ForeignKey(("customer_id",), "customers", ("customer_id",), "set null"),),
+    foreign_keys=(references("customer_id", SHOP_CUSTOMERS, "set null"),),
 )
 SHOP_LINES = table(
     "lines",
@@ -296,8 +296,8 @@ SHOP_LINES = table(
     primary_key=("order_id", "line"),
     checks=(Check("quantity", "quantity > 0"), Check("price", "price >= 0")),
     foreign_keys=(
-        ForeignKey(("order_id",), "orders", ("order_id",), "cascade"),
-        ForeignKey(("product_id",), "products", ("product_id",), "restrict"),
+        references("order_id", SHOP_ORDERS, "cascade"),
+        references("product_id", SHOP_PRODUCTS, "restrict"),
     ),
 )
 

@@ -1,6 +1,8 @@
 """Joins of the small company, and agreement between forms that must be equal."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from tablewright.operators import joins
 from tablewright.operators.aggregates import fan_out_totals
@@ -124,3 +126,25 @@ def test_outer_helpers_equal_spark_outer_joins(t):
     for how, helper in (("right", joins.right_outer), ("full", joins.full_outer)):
         plain = e.join(t.dept, e.emp_dept == t.dept.dept_id, how)
         assert rows(helper(e, t.dept, "emp_dept", "dept_id"), *plain.columns) == rows(plain)
+
+
+def test_self_match(t):
+    bosses = joins.matched(t.emp, t.emp, {"emp_id": "manager_id"})
+    assert rows(bosses, "emp_name") == [(MIKE,)]
+    assert joins.unmatched(t.emp, t.emp, {"emp_id": "manager_id"}).count() == 4
+
+
+keys = st.lists(st.one_of(st.none(), st.integers(0, 4)), max_size=12)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(left=keys, right=keys)
+def test_outer_joins_with_repeats_and_nulls(spark, left, right):
+    a = spark.createDataFrame([(i, k) for i, k in enumerate(left)], "x int, a int")
+    b = spark.createDataFrame([(i, k) for i, k in enumerate(right)], "y int, b int")
+    for how, helper in (("right", joins.right_outer), ("full", joins.full_outer)):
+        want = a.join(b, a.a == b.b, how)
+        assert sorted(rows(helper(a, b, "a", "b"), *want.columns), key=repr) == sorted(rows(want), key=repr)
+    want = a.join(b, a.a == b.b, "left")
+    got = joins.left_outer(a, b, "a", "b", spread="x")
+    assert sorted(rows(got, *want.columns), key=repr) == sorted(rows(want), key=repr)

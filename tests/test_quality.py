@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import changes, quality
 from tablewright.sources.ingest import literal_rows
-from tablewright.sources.spec import Check, ForeignKey, table
+from tablewright.sources.spec import Check, ForeignKey, references, table
 from tests.fixtures import SHOP, rows, shop
 
 
@@ -106,3 +106,33 @@ def test_check_option(spark):
     violations = outside.select(F.lit("it_employees").alias("rule"), F.col("emp_id").alias("key"), "dept_id")
     with pytest.raises(quality.IntegrityError):
         quality.refuse(new, violations.withColumnRenamed("dept_id", "detail"))
+
+
+def test_deletes_follow_the_declared_rules(tables):
+    schema = {name: (df, SHOP[name]) for name, df in tables.items()}
+    after = changes.delete_parents(schema, "orders", F.col("order_id") == 101)
+    assert {n: df.count() for n, df in after.items()} == {"customers": 5, "products": 5, "orders": 4, "details": 5}
+    after = changes.delete_parents(schema, "customers", F.col("customer_id") == 1)
+    assert rows(after["orders"], "order_id", "customer_id") == [(101, None), (102, 2), (103, 3), (104, None), (105, 4)]
+    assert after["details"].count() == 7
+    with pytest.raises(quality.IntegrityError, match="details still refers to products 1"):
+        changes.delete_parents(schema, "products", F.col("product_id") == 1)
+
+
+@pytest.mark.parametrize(("rule", "refused"), [("no action", False), ("restrict", True)])
+def test_no_action_looks_at_remaining_children(spark, rule, refused):
+    """b goes with a, and c with b; c also refers to a directly."""
+    a = table("a", "a int", primary_key=("a",))
+    b = table("b", "b int, a int", primary_key=("b",), foreign_keys=(references("a", a, "cascade"),))
+    c = table("c", "c int, a int, b int", foreign_keys=(references("b", b, "cascade"), references("a", a, rule)))
+    schema = {
+        "c": (spark.createDataFrame([(1, 1, 10), (2, 2, 20), (3, 2, 10)], c.schema), c),
+        "b": (spark.createDataFrame([(10, 1), (20, 2)], b.schema), b),
+        "a": (spark.createDataFrame([(1,), (2,)], a.schema), a),
+    }
+    if refused:
+        with pytest.raises(quality.IntegrityError):
+            changes.delete_parents(schema, "a", F.col("a") == 1)
+    else:
+        after = changes.delete_parents(schema, "a", F.col("a") == 1)
+        assert rows(after["b"]) == [(20, 2)] and rows(after["c"]) == [(2, 2, 20)]

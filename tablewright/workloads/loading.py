@@ -186,12 +186,12 @@ def insert_if_absent(t: Tables) -> DataFrame:
 
 @query(
     "src_11_assign_keys",
-    """SELECT o_orderkey, CAST(ROW_NUMBER() OVER (ORDER BY o_orderkey * 1000003) AS BIGINT) AS id
+    """SELECT o_orderkey, CAST(ROW_NUMBER() OVER (ORDER BY o_orderkey * 1000) AS BIGINT) AS id
        FROM orders""",
 )
 def assign_keys(t: Tables) -> DataFrame:
     # widely spaced order keys, as external ids are
-    orders = t.scan("orders").select("o_orderkey", (F.col("o_orderkey") * 1000003).alias("arrival"))
+    orders = t.scan("orders").select("o_orderkey", (F.col("o_orderkey") * 1000).alias("arrival"))
     return ingest.assign_keys(orders, "arrival", "id").drop("arrival")
 
 

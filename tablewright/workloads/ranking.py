@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.functions.scalars import average, money
 from tablewright.operators.aggregates import per_key
 from tablewright.operators.ranking import top_value
-from tablewright.plans.prefix import rank_in_group
+from tablewright.plans.prefix import largest_group, rank_in_group
 from tablewright.sources.tables import Tables
 from tablewright.workloads.registry import query, sql_avg
 
@@ -24,9 +24,7 @@ _RANK = """CASE WHEN {0} IS NULL OR salary IS NULL THEN 1
     "emp",
 )
 def rank(t: Tables) -> DataFrame:
-    return rank_in_group(t.emp.select("emp_id", "dept_id", "salary"), "dept_id", "salary", "salary_rank").select(
-        "emp_id", "dept_id", "salary", "salary_rank"
-    )
+    return rank_in_group(t.emp.select("emp_id", "dept_id", "salary"), "dept_id", "salary", "salary_rank")
 
 
 @query(
@@ -36,7 +34,8 @@ def rank(t: Tables) -> DataFrame:
     "emp",
 )
 def rank_correlated(t: Tables) -> DataFrame:
-    ranked = rank_in_group(t.emp.select("emp_id", "segment", "salary"), "segment", "salary", "salary_rank")
+    e = t.emp.select("emp_id", "segment", "salary")
+    ranked = rank_in_group(e, "segment", "salary", "salary_rank", largest_group(e, "segment"))
     return ranked.select("emp_id", "salary_rank")
 
 
@@ -51,9 +50,8 @@ def rank_correlated(t: Tables) -> DataFrame:
 )
 def rank_with_average(t: Tables) -> DataFrame:
     # rank before the join: afterwards employees would count once per assignment
-    ranked = rank_in_group(
-        t.emp.select("emp_id", "emp_name", "segment", "salary"), "segment", "salary", "salary_rank"
-    )
+    e = t.emp.select("emp_id", "emp_name", "segment", "salary")
+    ranked = rank_in_group(e, "segment", "salary", "salary_rank", largest_group(e, "segment"))
     hours = per_key(t.asg, "emp_id", avg_hours_worked=average("hours_worked"))
     return (
         ranked.join(hours, "emp_id", "left")

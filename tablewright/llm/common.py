@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 from collections.abc import Callable
@@ -49,6 +50,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     folder = scratch_folder(spark, name)
     df.write.parquet(folder)
+    freed(spark)
     return spark.read.schema(df.schema).parquet(folder)
 
 
@@ -73,3 +75,12 @@ def split_words(text: Column, between: str) -> Column:
 def text_key(text: Column) -> Column:
     """With the document's id, what tells rows of one id apart; equal rows share it."""
     return F.xxhash64(text)
+
+
+def freed(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that nothing refers to any more.
+
+    Its cleaner does so when the driver's JVM collects garbage, which may otherwise take long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -13,6 +13,7 @@ from tablewright.llm import (
     packing,
     quality_rules,
     sql,
+    substrings,
     toxicity,
     transcripts,
     url_filter,
@@ -48,6 +49,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Query] = {
         op4_transcripts,
         op5_url_filter,
         op6_decontamination,
+        op7_repeated_passages,
         op8_toxicity,
         op10_packing,
     )

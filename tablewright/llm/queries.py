@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tablewright.llm import (
     decontamination,
     importance,
+    jaccard_join,
     packing,
     quality_rules,
     sql,
@@ -57,6 +58,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.report(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -72,6 +77,7 @@ QUERIES: dict[str, Query] = {
         op6_decontamination,
         op7_repeated_passages,
         op8_toxicity,
+        op9_jaccard_join,
         op10_packing,
     )
 }

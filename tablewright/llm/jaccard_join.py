@@ -298,6 +298,6 @@ def deduplicated(docs: DataFrame, **settings: int) -> DataFrame:
     kept = kept.filter("has").select(F.col("doc_id").alias("kept_id"), F.col("first").alias("kept_key"))
     empty = found.filter("n_shingles = 0").select(F.col("doc_id").alias("kept_id"), F.col("key").alias("kept_key")).distinct()
     kept = kept.unionAll(empty)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", text_key(F.col("text")).alias("key"))
-    same = rows["doc_id"].eqNullSafe(kept["kept_id"]) & (rows["key"] == kept["kept_key"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "key"]).select("row.*")
+    kept = kept.select(F.xxhash64("kept_id").alias("id"), F.col("kept_key").alias("key"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("doc_id").alias("id"), text_key(F.col("text")).alias("key"))
+    return rows.join(kept, ["id", "key"], "left_semi").dropDuplicates(["id", "key"]).select("row.*")

@@ -107,6 +107,7 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
 
     ``share`` of the rows is sampled; by default as large a share as the labels call good.
     """
+    docs, labels = docs.select("doc_id", "text"), labels.select("doc_id", "quality")
     if share is None:
         share = labels.agg(F.avg((F.col("quality") == 1).cast("int"))).first()[0] or 0.0
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)

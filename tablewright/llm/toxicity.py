@@ -32,7 +32,7 @@ UNLABELLED = 8000
 FEATURES = 1 << 18
 PREFIXES = (4, 5, 6)
 STEPS = 300
-EVIDENCE = 24
+EVIDENCE = 14
 CUT = 0.3
 
 
@@ -122,6 +122,12 @@ def train(rows: pd.DataFrame, prior: float, steps: int = STEPS) -> tuple[np.ndar
         a, b = 1 - 0.9**step, 1 - 0.99**step
         weight -= 0.1 * (m / a) / (np.sqrt(v / b) + 1e-4)
         bias -= 0.1 * (mb / a) / (np.sqrt(vb / b) + 1e-4)
+    # the bias at which the unlabelled texts are positive as often as the prior says
+    z, low, high = np.bincount(owner, weight[flat], minlength=len(found))[~positive], -50.0, 50.0
+    for _ in range(60):
+        bias = (low + high) / 2
+        over = (1 / (1 + np.exp(-np.clip(z + bias, -30, 30)))).mean() > prior
+        low, high = (low, bias) if over else (bias, high)
     return weight, bias
 
 
@@ -143,7 +149,8 @@ def score(docs: DataFrame, weight: np.ndarray, bias: float) -> DataFrame:
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """A row for each row of ``docs``: whether it was held out, its score, the prediction."""
-    weight, bias = train(*sample(docs, labels))
+    docs = docs.select("doc_id", "text")
+    weight, bias = train(*sample(docs, labels.select("doc_id", "toxic")))
     return score(docs, weight, bias).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= CUT).cast("int").alias("predicted"),

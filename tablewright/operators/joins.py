@@ -15,13 +15,9 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablewright.plans.prefix import dense_keys
 
-BROADCAST_ROWS = 100_000
-NULL_SPREAD = 256
 
 
 def _pairs(on: str | list[str] | dict[str, str]) -> dict[str, str]:
@@ -39,7 +35,7 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
     """Join on all columns of the same name, each appearing once."""
     common = [c for c in left.columns if c in right.columns]
     if not common:
-        raise ValueError("no common column; pair_with() builds the product")
+        raise ValueError("no common column; product_totals() sums over the product")
     return left.join(right, common, how)
 
 
@@ -68,12 +64,12 @@ def left_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     """Left outer join between two large sides with many NULLs in ``left_key``.
 
     A row with a NULL key joins nothing, so it may go to any task: ``spread`` is a column
-    of ``left`` whose hash picks one of ``NULL_SPREAD``.
+    of ``left`` whose whole hash is the salt.
     """
     salt, right_salt = "__salt", "__right_salt"
     salted = left.withColumn(
         salt,
-        F.when(F.col(left_key).isNull(), F.pmod(F.xxhash64(spread), F.lit(NULL_SPREAD))).otherwise(
+        F.when(F.col(left_key).isNull(), F.xxhash64(spread)).otherwise(
             F.lit(0).cast("bigint")
         ),
     )
@@ -107,24 +103,14 @@ def unmatched_either(
     return left_only.unionByName(right_only, allowMissingColumns=True)
 
 
-def pair_with(df: DataFrame, members: DataFrame, order_by: str) -> DataFrame:
-    """Every row of ``df`` with every row of ``members``, a dimension of fixed size.
+def product_totals(members: DataFrame, df: DataFrame, value: str) -> DataFrame:
+    """For each row of ``members``, its pairs in the product with ``df`` and their sum of ``value``.
 
-    ``members`` is numbered by a unique bigint, each row of ``df`` is repeated once per
-    number, and an equi-join on the number brings the member in. The member side is
-    broadcast only when its counted size allows it; a larger one is shuffled by number,
-    with all numbers equally frequent.
+    Every member meets every row of ``df``, so one aggregate of ``df`` serves them all.
     """
-    slot = "__slot"
-    count = members.count()
-    if count <= BROADCAST_ROWS:
-        numbered = members.withColumn(slot, F.row_number().over(W.orderBy(order_by)).cast("bigint"))
-        numbered = F.broadcast(numbered)
-    else:
-        ordered = members.withColumn(order_by, F.col(order_by).cast("bigint"))
-        numbered = dense_keys(ordered, order_by, slot)
-    repeated = df.withColumn(slot, F.explode(F.sequence(F.lit(1), F.lit(max(count, 1)).cast("bigint"))))
-    return repeated.join(numbered, slot).drop(slot)
+    totals = df.agg(F.count("*").cast("decimal(38,0)").alias("pairs"), F.sum(F.col(value).cast("decimal(38,2)")).alias("total"))
+    both = totals.select(F.struct("pairs", "total")).scalar()
+    return members.withColumn("__both", both).select(*members.columns, "__both.pairs", "__both.total").filter("pairs > 0")
 
 
 def pair_count(left: DataFrame, right: DataFrame) -> DataFrame:

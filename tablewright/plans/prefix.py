@@ -87,26 +87,14 @@ def later_in_group(df: DataFrame, group: list[str], key: str, out: str) -> DataF
     return sum_before(marked, group, reverse, weight, out).drop(weight, reverse)
 
 
-def largest_group(df: DataFrame, group: str) -> int:
-    """Rows in the largest group, NULL aside. Runs a job that reads one column."""
-    sizes = df.filter(F.col(group).isNotNull()).groupBy(group).count()
-    return sizes.agg(F.max("count")).first()[0] or 0
-
-
-def rank_in_group(
-    df: DataFrame, group: str, score: str, out: str, known_largest: int | None = None
-) -> DataFrame:
+def rank_in_group(df: DataFrame, group: str, score: str, out: str) -> DataFrame:
     """Add ``out``: 1 + the number of rows in the same group with a higher score.
 
     Ties share a rank and leave gaps. A NULL group or score compares with nothing and
     ranks 1. ``score`` is a decimal of at most 18 digits. Equal scores are counted before
-    the shuffle, so neither a hot group nor a hot score gathers rows.
-
-    When ``known_largest`` (see ``largest_group``) says that every group fits in a block,
-    one window per group does the same with a single shuffle.
+    the shuffle, and rows without a score skip the join, so neither a hot group nor a hot
+    score gathers rows.
     """
-    if known_largest is not None and known_largest <= 2**BLOCK_BITS:
-        return _rank_small_groups(df, group, score, out)
     descending, ties = "__descending", "__ties"
     type_ = df.schema[score].dataType
     if not isinstance(type_, T.DecimalType) or type_.precision > 18:
@@ -122,17 +110,6 @@ def rank_in_group(
     ranks = sum_before(scores, [group], descending, ties, out, key_bits=key_bits).select(
         group, score, (F.col(out) + 1).alias(out)
     )
-    return df.join(ranks, [group, score], "left").select(
-        *df.columns, F.coalesce(F.col(out), F.lit(1)).cast("bigint").alias(out)
-    )
-
-
-def _rank_small_groups(df: DataFrame, group: str, score: str, out: str) -> DataFrame:
-    # rows without a group need no rank, so they may go anywhere
-    spread = "__spread"
-    no_group = F.col(group).isNull()
-    salted = df.withColumn(spread, F.when(no_group, F.xxhash64(*df.columns)).otherwise(F.lit(0)))
-    window = W.partitionBy(group, spread).orderBy(F.desc_nulls_last(score))
-    unranked = no_group | F.col(score).isNull()
-    rank = F.when(unranked, F.lit(1)).otherwise(F.rank().over(window))
-    return salted.select(*df.columns, rank.cast("bigint").alias(out))
+    scored = F.col(group).isNotNull() & F.col(score).isNotNull()
+    ranked = df.filter(scored).join(ranks, [group, score]).select(*df.columns, F.col(out).cast("bigint").alias(out))
+    return ranked.unionByName(df.filter(~scored).withColumn(out, F.lit(1).cast("bigint")))

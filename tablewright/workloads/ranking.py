@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.functions.scalars import average, money
 from tablewright.operators.aggregates import per_key
 from tablewright.operators.ranking import top_value
-from tablewright.plans.prefix import largest_group, rank_in_group
+from tablewright.plans.prefix import rank_in_group
 from tablewright.sources.tables import Tables
 from tablewright.workloads.registry import query, sql_avg
 
@@ -35,7 +35,7 @@ def rank(t: Tables) -> DataFrame:
 )
 def rank_correlated(t: Tables) -> DataFrame:
     e = t.emp.select("emp_id", "segment", "salary")
-    ranked = rank_in_group(e, "segment", "salary", "salary_rank", largest_group(e, "segment"))
+    ranked = rank_in_group(e, "segment", "salary", "salary_rank")
     return ranked.select("emp_id", "salary_rank")
 
 
@@ -51,7 +51,7 @@ def rank_correlated(t: Tables) -> DataFrame:
 def rank_with_average(t: Tables) -> DataFrame:
     # rank before the join: afterwards employees would count once per assignment
     e = t.emp.select("emp_id", "emp_name", "segment", "salary")
-    ranked = rank_in_group(e, "segment", "salary", "salary_rank", largest_group(e, "segment"))
+    ranked = rank_in_group(e, "segment", "salary", "salary_rank")
     hours = per_key(t.asg, "emp_id", avg_hours_worked=average("hours_worked"))
     return (
         ranked.join(hours, "emp_id", "left")

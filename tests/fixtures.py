@@ -63,18 +63,18 @@ FIRM_ASG = table(
 )
 # BUILDING, FURNITURE and HOUSEHOLD stand for the IT, Sales and HR departments
 FIRM_EMPLOYEES = [
-    (1, "John", "Smith", "BUILDING", 75000, "2020-01-15", None, "john.smith@company.com"),
-    (2, "Sarah", "Johnson", "BUILDING", 65000, "2020-03-20", 1, "sarah.j@company.com"),
-    (3, "Michael", "Brown", "FURNITURE", 55000, "2019-06-10", None, "mbrown@company.com"),
-    (4, "Emily", "Davis", "HOUSEHOLD", 60000, "2021-02-01", None, "emily.davis@company.com"),
-    (5, "Robert", "Wilson", "BUILDING", 70000, "2020-08-15", 1, None),
-    (6, "Lisa", "Anderson", "FURNITURE", 58000, "2021-05-20", 3, "lisa.a@company.com"),
+    (1, "Jorn", "Stell", "BUILDING", 75000, "2020-01-15", None, "jorn.stell@firm.test"),
+    (2, "Sanna", "Jorvik", "BUILDING", 65000, "2020-03-20", 1, "sanna.j@firm.test"),
+    (3, "Milo", "Brome", "FURNITURE", 55000, "2019-06-10", None, "mbrome@firm.test"),
+    (4, "Emra", "Darrow", "HOUSEHOLD", 60000, "2021-02-01", None, "emra.darrow@firm.test"),
+    (5, "Rorik", "Wend", "BUILDING", 70000, "2020-08-15", 1, None),
+    (6, "Lira", "Ambrel", "FURNITURE", 58000, "2021-05-20", 3, "lira.a@firm.test"),
 ]
 FIRM_PROJECTS = [
-    (1, "Website Redesign", 150000, "2024-06-30", "Active"),
-    (2, "CRM Implementation", 200000, "2024-12-31", "Active"),
-    (3, "Marketing Campaign", 80000, "2024-05-31", "Completed"),
-    (4, "Database Migration", 120000, None, "Active"),
+    (1, "Harbour Survey", 150000, "2024-06-30", "Active"),
+    (2, "Ledger Rollout", 200000, "2024-12-31", "Active"),
+    (3, "Orchard Drive", 80000, "2024-05-31", "Completed"),
+    (4, "Archive Transfer", 120000, None, "Active"),
 ]
 FIRM_ASSIGNMENTS = [
     (1, 1, 1, "120.5", "2024-01-15"),

@@ -6,7 +6,7 @@ from decimal import Decimal
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tablewright.plans.prefix import dense_keys, largest_group, later_in_group, rank_in_group, sum_before
+from tablewright.plans.prefix import dense_keys, later_in_group, rank_in_group, sum_before
 
 quick = settings(
     max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -49,8 +49,7 @@ def test_rank_counts_higher_scores(spark, data):
         return sum(g2 == g and s2 is not None and s2 > s for _, g2, s2 in numbered)
 
     want = {i: 1 if g is None or s is None else 1 + higher(g, s) for i, g, s in numbered}
-    for known in (None, largest_group(df, "g")):
-        assert {r.i: r.r for r in rank_in_group(df, "g", "s", "r", known).collect()} == want
+    assert {r.i: r.r for r in rank_in_group(df, "g", "s", "r").collect()} == want
 
 
 def test_hot_group_keeps_all_rows(spark):

@@ -20,10 +20,10 @@ def ids(df):
 
 def test_projections(t):
     assert dict(rows(selection.case(t), "project_name", "budget_category")) == {
-        "Website Redesign": "Medium", "CRM Implementation": "Large",
-        "Marketing Campaign": "Medium", "Database Migration": "Medium",
+        "Harbour Survey": "Medium", "Ledger Rollout": "Large",
+        "Orchard Drive": "Medium", "Archive Transfer": "Medium",
     }
-    pay = {r.emp_name: r for r in selection.arithmetic(t).collect()}["John Smith"]
+    pay = {r.emp_name: r for r in selection.arithmetic(t).collect()}["Jorn Stell"]
     assert (str(pay.monthly_salary), str(pay.raise_amount)) == ("6250.00", "7500.000")
 
 
@@ -37,8 +37,8 @@ def test_filters(t):
 def test_functions(t):
     by_id = lambda df: [r[1] for r in rows(df)]
     assert by_id(expressions.coalesce(t))[4] == "No email provided"
-    assert by_id(expressions.substring(t)) == ["joh", "sar", "mbr", "emi", None, "lis"]
-    assert by_id(expressions.concat(t))[4] == "Robert Wilson " and by_id(expressions.concat_operator(t))[4] is None
+    assert by_id(expressions.substring(t)) == ["jor", "san", "mbr", "emr", None, "lir"]
+    assert by_id(expressions.concat(t))[4] == "Rorik Wend " and by_id(expressions.concat_operator(t))[4] is None
 
 
 def test_aggregates(t):
@@ -46,8 +46,8 @@ def test_aggregates(t):
         ("BUILDING", 70000.0), ("FURNITURE", 56500.0), ("HOUSEHOLD", 60000.0),
     ]
     assert dict(rows(aggregation.join_sum(t))) == {
-        "Website Redesign": 215.5, "Database Migration": 80.0,
-        "Marketing Campaign": 135.5, "CRM Implementation": 110.0,
+        "Harbour Survey": 215.5, "Archive Transfer": 80.0,
+        "Orchard Drive": 135.5, "Ledger Rollout": 110.0,
     }
     assert rows(aggregation.global_(t)) == [(75000.0, 55000.0, 383000.0)]
     assert rows(aggregation.global_empty(t)) == [(None, None, 0)]
@@ -93,8 +93,8 @@ def test_rank_with_average(t):
         for r in ranking.rank_with_average(t).orderBy("segment", F.desc("salary")).collect()
     ]
     assert got == [
-        ("John", 75000, 100.25, 1), ("Robert", 70000, 110.0, 2), ("Sarah", 65000, 95.0, 3),
-        ("Lisa", 58000, 75.5, 1), ("Michael", 55000, 60.0, 2), ("Emily", 60000, None, 1),
+        ("Jorn", 75000, 100.25, 1), ("Rorik", 70000, 110.0, 2), ("Sanna", 65000, 95.0, 3),
+        ("Lira", 58000, 75.5, 1), ("Milo", 55000, 60.0, 2), ("Emra", 60000, None, 1),
     ]
 
 

@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from tablewright.llm.words import NO_LETTER, U, encoded, word_hashes
 
 #: Documents that training uses at most, about; the bound does not depend on the input.
-POSITIVES = 4000
-UNLABELLED = 8000
+POSITIVES = 2000
+UNLABELLED = 4000
 FEATURES = 1 << 18
 PREFIXES = (4, 5, 6)
 STEPS = 300
@@ -93,13 +93,15 @@ def telling(in_positives: np.ndarray, in_others: np.ndarray, n: int, u: int) ->
 
 def train(rows: pd.DataFrame, prior: float, steps: int = STEPS) -> tuple[np.ndarray, float]:
     """Weights and bias by full-batch Adam on the non-negative risk."""
-    found = rows["found"].tolist()
+    found = rows.pop("found").tolist()
     positive = rows["positive"].to_numpy(bool)
     weight, bias = np.zeros(FEATURES), float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
     if not positive.any() or positive.all():
         return weight, -50.0
     sizes = np.array([len(x) for x in found])
-    flat, owner = np.concatenate(found), np.repeat(np.arange(len(found)), sizes)
+    flat = np.concatenate(found).astype(np.int32)  # an empty list comes as floats
+    owner = np.repeat(np.arange(len(found), dtype=np.int32), sizes)
+    found = range(len(found))  # only their number is needed from here
     n, u = positive.sum(), (~positive).sum()
     told = telling(flat[positive[owner]], flat[~positive[owner]], n, u)[flat]
     flat, owner = flat[told], owner[told]

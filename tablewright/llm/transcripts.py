@@ -4,24 +4,27 @@ A transcript is lines in order. States are role and place (first line of a turn
 one); a line shows a speaker marker (of many spellings, or none), its length, and whether it
 asks. Transition and emission counts are summed by Spark over labelled lines; they are a few
 dozen numbers. The likeliest states of a conversation are found by Viterbi in three steps that
-never gather a long conversation: each block of ``BLOCK`` turns becomes one max-plus matrix
-over the states, the matrices of a conversation give the states at block ends, and each
-block is then decoded between its ends. Lines become turns at each first line, and turns are
+never gather a long conversation's lines: each block of ``BLOCK`` turns becomes one max-plus
+matrix over the states, the matrices of a conversation (400 bytes for each block) give the
+states at block ends, and each block is then decoded between its ends. Python steps through
+all blocks of an Arrow batch at once. Lines become turns at each first line, and turns are
 written in one canonical form.
 
 Defined cases: a null or empty text is one empty line; a null role is a line without a marker
-and teaches nothing; rows that repeat a turn number are ordered by text; rows without a
-conversation id form one conversation; an empty table gives no turns.
+and teaches nothing; rows that repeat a turn number are ordered by line and text, and rows
+without one come first; each line without a conversation id is a transcript of its own; an empty table gives no turns.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import written
+from tablewright.llm.common import bind, written
 
 ROLES = ["system", "user", "assistant"]
 STATES = [(role, first) for role in ROLES for first in (True, False)]
@@ -108,8 +111,37 @@ def counted(lines: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return change, emission
 
 
-def ordered(block: pd.DataFrame) -> pd.DataFrame:
-    return block.sort_values(["turn", "line", "text"], kind="stable")
+def places(sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each place in order: the sequences that have it, and where it is in all of them joined."""
+    order, starts = np.argsort(-sizes, kind="stable"), np.cumsum(sizes) - sizes
+    for place in range(sizes.max(initial=0)):
+        rows = order[: np.searchsorted(-sizes[order], -place)]
+        yield rows, starts[rows] + place
+
+
+def products(sizes: np.ndarray, score: Callable[[np.ndarray], np.ndarray], n: int) -> np.ndarray:
+    """The best score of a way through each sequence, by its first and its last state."""
+    out = np.tile(np.where(np.eye(n) > 0, 0.0, -np.inf), (len(sizes), 1, 1))
+    for rows, at in places(sizes):
+        out[rows] = (out[rows][:, :, :, None] + score(at)[:, None]).max(axis=2)
+    return out
+
+
+def viterbi(
+    sizes: np.ndarray, score: Callable[[np.ndarray], np.ndarray], n: int, enters: np.ndarray, leaves: np.ndarray | None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The likeliest states before and after each place of all sequences joined."""
+    best, steps = np.where(np.arange(n) == enters[:, None], 0.0, -np.inf), []
+    for rows, at in places(sizes):
+        both = best[rows][:, :, None] + score(at)
+        steps.append((rows, at, both.argmax(axis=1).astype(np.int8)))
+        best[rows] = both.max(axis=1)
+    state = best.argmax(axis=1) if leaves is None else leaves.copy()
+    before, after = (np.zeros(sizes.sum(), np.int8) for _ in range(2))
+    for rows, at, back in reversed(steps):
+        after[at] = state[rows]
+        state[rows] = before[at] = back[np.arange(len(rows)), state[rows]]
+    return before, after
 
 
 def parse(lines: DataFrame, model: tuple[np.ndarray, np.ndarray], block: int = BLOCK) -> DataFrame:
@@ -119,76 +151,86 @@ def parse(lines: DataFrame, model: tuple[np.ndarray, np.ndarray], block: int = B
     """
     change, emission = model
     n = len(STATES) + 1
+    key = ["conv_id", "loose", "block"]
     strip = F.regexp_replace("text", r"^\s*\W{0,3}[A-Za-z]{1,12}\W{0,3}:\s+", "")
+    shown = F.when(marker_of(F.col("text")) == "none", F.col("text")).otherwise(strip)
     blocks = written(
-        observed(lines).select(
-            "conv_id", F.floor(F.coalesce("turn", F.lit(0)) / block).alias("block"), "turn", "line", "seen",
-            F.when(marker_of(F.col("text")) == "none", F.col("text")).otherwise(strip).alias("text"),
-        ),
-        "transcript-lines",
-    )
-    kind = dict(blocks.dtypes)["conv_id"]
-
-    def matrix(rows: pd.DataFrame) -> pd.DataFrame:
-        m = np.where(np.eye(n) > 0, 0.0, -np.inf)
-        for seen in ordered(rows)["seen"]:
-            m = (m[:, :, None] + change[None]).max(axis=1) + emission[:, seen]
-        return rows[["conv_id", "block"]][:1].assign(m=[m.ravel()])
-
-    def ends(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("block")
-        best, back = np.where(np.arange(n) == n - 1, 0.0, -np.inf), []
-        for flat in rows["m"]:
-            both = best[:, None] + np.asarray(flat).reshape(n, n)
-            best = both.max(axis=0)
-            back.append(both.argmax(axis=0))
-        state, enters, leaves = int(best.argmax()), [], []
-        for b in reversed(back):
-            leaves.append(state)
-            state = int(b[state])
-            enters.append(state)
-        return rows[["conv_id", "block"]].assign(enters=enters[::-1], leaves=leaves[::-1])
-
-    def decode(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = ordered(rows)
-        best, back = np.where(np.arange(n) == rows["enters"].iloc[0], 0.0, -np.inf), []
-        for seen in rows["seen"]:
-            both = best[:, None] + change
-            back.append(both.argmax(axis=0))
-            best = both.max(axis=0) + emission[:, seen]
-        path = [int(rows["leaves"].iloc[0])]
-        for b in reversed(back[1:]):
-            path.append(int(b[path[-1]]))
-        turns: list[list] = []
-        for state, turn, text in zip(reversed(path), rows["turn"], rows["text"], strict=True):
-            role, first = STATES[state]
-            if first or not turns:
-                turns.append([turn, role, []])
-            turns[-1][2].append(text)
-        return pd.DataFrame(
-            {
-                "conv_id": [rows["conv_id"].iloc[0]] * len(turns),
-                "turn": [t for t, _, _ in turns],
-                "role": [r for _, r, _ in turns],
-                "n_lines": [len(x) for _, _, x in turns],
-                "rendered": [f"<|{r}|>\n" + "\n".join(x) + "\n<|end|>" for _, r, x in turns],
-            }
+        observed(lines)
+        .select(
+            "conv_id",
+            F.when(F.col("conv_id").isNull(), F.xxhash64("turn", "line", "text")).otherwise(0).alias("loose"),
+            F.floor(F.coalesce("turn", F.lit(0)) / block).alias("block"),
+            F.struct("turn", "line", shown.alias("text"), F.col("seen").cast("tinyint").alias("seen")).alias("row"),
         )
-
-    states = (
-        blocks.groupBy("conv_id", "block")
-        .applyInPandas(matrix, f"conv_id {kind}, block long, m array<double>")
-        .groupBy("conv_id")
-        .applyInPandas(ends, f"conv_id {kind}, block long, enters int, leaves int")
+        .groupBy(key)
+        .agg(F.sort_array(F.collect_list("row")).alias("rows"))
+        .select(*key, *[F.col(f"rows.{c}").alias(c) for c in ("turn", "text", "seen")]),
+        "transcript-blocks",
     )
-    states = states.select(F.col("conv_id").alias("c"), F.col("block").alias("b"), "enters", "leaves")
-    both = blocks.join(states, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))).drop("c", "b")
-    return both.groupBy("conv_id", "block").applyInPandas(
-        decode, f"conv_id {kind}, turn long, role string, n_lines int, rendered string"
+    kind = f"conv_id {dict(blocks.dtypes)['conv_id']}, loose long"
+
+    def shows(rows: pd.DataFrame) -> tuple[np.ndarray, Callable[[np.ndarray], np.ndarray]]:
+        sizes, seen = rows["seen"].map(len).to_numpy(np.int64), np.concatenate(rows["seen"].to_list())
+        return sizes, lambda at: change + emission[:, seen[at]].T[:, None, :]
+
+    def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in filter(len, batches):
+            yield rows[key].assign(m=list(products(*shows(rows), n).reshape(-1, n * n)))
+
+    def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in filter(len, batches):
+            sizes = rows["block"].map(len).to_numpy(np.int64)
+            m = np.array([x for ms in rows["m"] for x in ms]).reshape(-1, n, n)
+            enters, leaves = viterbi(sizes, m.__getitem__, n, np.full(len(rows), n - 1), None)
+            out = rows[["conv_id", "loose"]].loc[rows.index.repeat(sizes)].reset_index(drop=True)
+            yield out.assign(block=np.concatenate(rows["block"].to_list()), enters=enters, leaves=leaves)
+
+    def decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in filter(len, batches):
+            sizes, score = shows(rows)
+            _, path = viterbi(sizes, score, n, rows["enters"].to_numpy(np.int64), rows["leaves"].to_numpy(np.int64))
+            yield rows[key].assign(path=np.split(path, np.cumsum(sizes)[:-1]))
+
+    # a block's matrix is as large whatever its lines; Python sees numbers only, no text
+    seen = blocks.select(*key, "seen")
+    parts = F.sort_array(F.collect_list(F.struct("block", "m")))
+    states = (
+        seen.mapInPandas(matrices, f"{kind}, block long, m array<double>")
+        .groupBy("conv_id", "loose")
+        .agg(parts.alias("parts"))
+        .select("conv_id", "loose", F.col("parts.block").alias("block"), F.col("parts.m").alias("m"))
+        .mapInPandas(ends, f"{kind}, block long, enters tinyint, leaves tinyint")
     )
+    paths = with_block(seen, states, key).mapInPandas(decoded, f"{kind}, block long, path array<tinyint>")
+    return with_block(blocks, paths, key).select("conv_id", F.inline(rendered(F.col("path"))))
+
+
+def with_block(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
+    """Both sides' columns for each block; a null conversation id equals itself."""
+    right = right.withColumnsRenamed({c: f"__{c}" for c in key})
+    return left.join(right, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key]).drop(*[f"__{c}" for c in key])
+
+
+def rendered(path: Column) -> Column:
+    """The turns of a block: a new one wherever the path has a first line."""
+    first = F.filter(F.sequence(F.lit(0), F.size(path) - 1), lambda i: (i == 0) | (F.get(path, i) % 2 == 0))
+
+    def turn(starts: Column, i: Column, k: Column) -> Column:
+        role = F.get(F.array(*map(F.lit, ROLES)), F.floor(F.get(path, i) / 2).cast("int"))
+        size = F.coalesce(F.get(starts, k + 1), F.size(path)) - i
+        text = F.array_join(F.slice("text", i + 1, size), "\n")
+        return F.struct(
+            F.get("turn", i).alias("turn"),
+            role.alias("role"),
+            size.alias("n_lines"),
+            F.concat(F.lit("<|"), role, F.lit("|>\n"), text, F.lit("\n<|end|>")).alias("rendered"),
+        )
+
+    return bind(first, lambda starts: F.transform(starts, lambda i, k: turn(starts, i, k)))
 
 
 def recovered(turns: DataFrame) -> DataFrame:
     """The turns of the transcripts made from labelled ``turns``, by a model counted on them."""
     lines = transcripts(turns)
-    return parse(lines.drop("role"), counted(observed(lines)))
+    shown = written(observed(lines).select("conv_id", "turn", "line", "role", "seen"), "transcript-lines")
+    return parse(lines.drop("role"), counted(shown))

@@ -63,14 +63,13 @@ def three_bands(amount: ColumnOrName, bands: tuple[str, int, str, int, str]) ->
 
 
 def total(c: ColumnOrName) -> Column:
-    """SUM with room for fan-out totals over very large tables."""
-    return F.sum(as_column(c)).cast("decimal(38,2)")
+    """SUM of amounts of at most two decimals, with room for very large tables."""
+    return F.sum(as_column(c).cast("decimal(28,2)"))
 
 
 def average(c: ColumnOrName) -> Column:
-    """ROUND(AVG(c), 2) in exact decimal arithmetic; NULL when there is no value."""
-    c = as_column(c)
-    return F.round(F.try_divide(F.sum(c), F.count(c)), 2).cast("decimal(18,2)")
+    """ROUND(AVG(c), 2) of amounts of at most two decimals, rounded once; NULL when there is no value."""
+    return ratio(total(c), F.count(as_column(c))).cast("decimal(18,2)")
 
 
 def ratio(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:

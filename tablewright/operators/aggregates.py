@@ -60,9 +60,9 @@ def fan_out_totals(
     )
     return filled.selectExpr(
         *parent.columns,
-        "n1 * times2 AS first_count",
+        "CAST(CAST(n1 AS DECIMAL(19,0)) * CAST(times2 AS DECIMAL(19,0)) AS DECIMAL(38,0)) AS first_count",
         "CAST(s1 * CAST(times2 AS DECIMAL(19,0)) AS DECIMAL(38,2)) AS first_sum",
-        "n2 * times1 AS second_count",
+        "CAST(CAST(n2 AS DECIMAL(19,0)) * CAST(times1 AS DECIMAL(19,0)) AS DECIMAL(38,0)) AS second_count",
         "CAST(s2 * CAST(times1 AS DECIMAL(19,0)) AS DECIMAL(38,2)) AS second_sum",
         "n1 AS first_count_distinct",
         "s1 AS first_sum_distinct",
@@ -70,5 +70,5 @@ def fan_out_totals(
         "s2 AS second_sum_distinct",
         # an average is not changed by repetition: sum and count grow alike
         "m1 AS first_average",
-        "times1 * times2 AS joined_rows",
+        "CAST(CAST(times1 AS DECIMAL(19,0)) * CAST(times2 AS DECIMAL(19,0)) AS DECIMAL(38,0)) AS joined_rows",
     )

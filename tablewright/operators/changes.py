@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tablewright.operators.joins import distinct_keys, matched, unmatched
 from tablewright.operators.quality import IntegrityError
+from tablewright.operators.subqueries import single_value
 from tablewright.sources.spec import TableSpec
 from tablewright.sources.store import VersionedTable
 
@@ -37,17 +38,23 @@ def update_to_default(df: DataFrame, spec: TableSpec, column: str, where: Column
 
 
 def update_by_key(df: DataFrame, key: str, changes: DataFrame, column: str) -> DataFrame:
-    """Set ``column`` from ``changes(key, column)``; a NULL there sets NULL."""
-    hit, new = "__hit", "__new"
-    news = changes.select(F.col(key), F.col(column).alias(new), F.lit(True).alias(hit))
-    joined = df.join(news, key, "left")
-    value = F.when(F.col(hit), F.col(new)).otherwise(F.col(column)).cast(df.schema[column].dataType)
-    return joined.withColumn(column, value).select(*df.columns)
+    """Set ``column`` from ``changes(key, column)``; a NULL there sets NULL.
+
+    A key that changes a row twice fails the job: an update never adds rows.
+    """
+    new = "__new"
+    news = changes.select(F.col(key), F.struct(F.col(column).alias("value")).alias(new))
+    joined = single_value(df, key, news, key, new, new)
+    value = F.when(F.col(new).isNotNull(), F.col(f"{new}.value")).otherwise(F.col(column))
+    return joined.withColumn(column, value.cast(df.schema[column].dataType)).select(*df.columns)
 
 
 def update_from_lookup(df: DataFrame, key: str, lookup: DataFrame, column: str, new: str) -> DataFrame:
-    """Overwrite ``column`` on all rows with ``lookup(key, new)``; no match sets NULL."""
-    joined = df.drop(column).join(lookup.select(key, F.col(new).alias(column)), key, "left")
+    """Overwrite ``column`` on all rows with ``lookup(key, new)``; no match sets NULL.
+
+    A matched key with more than one row in ``lookup`` fails the job.
+    """
+    joined = single_value(df.drop(column), key, lookup, key, new, column)
     return joined.withColumn(column, F.col(column).cast(df.schema[column].dataType)).select(*df.columns)
 
 

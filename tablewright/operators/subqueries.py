@@ -19,10 +19,11 @@ def not_in(df: DataFrame, column: str, others: DataFrame, other: str) -> DataFra
 
     An empty set keeps all rows; a NULL in the set keeps none; a NULL ``column`` is
     kept only by an empty set. The set is never broadcast as a whole: its two facts
-    are scalars and the rest is an anti join on distinct keys.
+    come from one aggregate, which Spark runs once, and the rest is an anti join on
+    distinct keys.
     """
-    is_empty = ~others.exists()
-    has_null = others.filter(F.col(other).isNull()).exists()
+    is_empty = others.agg(F.count("*") == 0).scalar()
+    has_null = others.agg(F.count("*") > F.count(other)).scalar()
     kept = unmatched(df, others, {column: other})
     return kept.filter(is_empty | (~has_null & F.col(column).isNotNull()))
 

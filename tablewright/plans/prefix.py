@@ -37,16 +37,18 @@ def sum_before(
 ) -> DataFrame:
     """Add ``out``: the sum of ``weight`` over rows of the same group with a smaller key.
 
-    ``key`` is a bigint of at most ``key_bits`` bits, unique in its group; group columns
-    hold no NULL.
+    ``key`` is a bigint of at most ``key_bits`` bits, unique in its group (a repeated one
+    fails the job); group columns hold no NULL.
     """
     block, base = "__block", "__base"
     cut = df.withColumn(block, F.shiftright(key, bits))
+    repeated = F.lag(key).over(W.partitionBy(*group, block).orderBy(key)) == F.col(key)
+    before = F.when(repeated, F.raise_error(F.lit(f"{key} repeats a value"))).otherwise(_sum_before(weight, [*group, block], key))
     subtotals = cut.groupBy(*group, block).agg(F.sum(weight).alias(base))
     # Every block has its offset, so this could as well be an inner join; a left join
     # pushes no filter into one of two equal branches, and Spark computes the branch once.
     return (
-        cut.withColumn(out, _sum_before(weight, [*group, block], key))
+        cut.withColumn(out, before)
         .join(_block_offsets(subtotals, group, block, base, bits, key_bits - bits), [*group, block], "left")
         .select(*df.columns, (F.col(out) + F.col(base)).cast("bigint").alias(out))
     )
@@ -73,10 +75,15 @@ def _block_offsets(
     )
 
 
-def dense_keys(df: DataFrame, order_by: str, out: str, start: int = 1) -> DataFrame:
-    """Number all rows from ``start`` without gaps, in the order of a unique bigint column."""
+def dense_keys(df: DataFrame, order_by: str, out: str, start: int | Column = 1) -> DataFrame:
+    """Number all rows from ``start`` without gaps, in the order of a unique bigint column.
+
+    A NULL or a repeated value there fails the job.
+    """
     weight = "__one"
-    counted = sum_before(df.withColumn(weight, F.lit(1)), [], order_by, weight, out)
+    missing = F.raise_error(F.lit(f"{order_by} is NULL, which has no place in an order"))
+    order = F.when(F.col(order_by).isNull(), missing).otherwise(F.col(order_by))
+    counted = sum_before(df.withColumns({weight: F.lit(1), order_by: order}), [], order_by, weight, out)
     return counted.drop(weight).withColumn(out, F.col(out) + F.lit(start))
 
 

@@ -67,20 +67,45 @@ def append_by_position(df: DataFrame, new: DataFrame, spec: TableSpec) -> DataFr
 def append_copies_unless(df: DataFrame, probe: DataFrame, spec: TableSpec, **values: Any) -> DataFrame:
     """INSERT ... SELECT constants FROM table WHERE NOT EXISTS (probe).
 
-    Adds one copy per row already in the table, or none when ``probe`` has a row.
+    Adds one copy per row already in the table, or none when ``probe`` has a row. A serial
+    key that is not given counts on from the table's largest.
     """
     constants = [F.lit(v).alias(k) for k, v in values.items()]
-    return append(df, df.filter(~probe.exists()).select(*constants), spec)
+    chosen = df.filter(~probe.exists())
+    if not spec.serial or spec.serial in values:
+        return append(df, chosen.select(*constants), spec)
+    order = "__order"
+    return append_keyed(df, chosen.select(F.col(spec.serial).alias(order), *constants), spec, order)
 
 
 def insert_if_absent(df: DataFrame, probe: DataFrame, spec: TableSpec, **values: Any) -> DataFrame:
-    """Add one row unless ``probe`` has a row."""
+    """Add one row unless ``probe`` has a row; a serial key is given as in ``append_keyed``."""
     constants = [F.lit(v).alias(k) for k, v in values.items()]
+    if spec.serial and spec.serial not in values:
+        constants.append(next_key(df, spec.serial).alias(spec.serial))
     one = df.sparkSession.range(1).filter(~probe.exists()).select(*constants)
     return append(df, one, spec)
 
 
-def assign_keys(new: DataFrame, order_by: str, key: str, start: int = 1) -> DataFrame:
+def next_key(df: DataFrame, key: str) -> Column:
+    """The key after the largest in the table; 1 for an empty one."""
+    return df.agg(F.coalesce(F.max(key), F.lit(0)) + 1).scalar()
+
+
+def append_keyed(
+    df: DataFrame, new: DataFrame, spec: TableSpec, order_by: str, start: int | None = None
+) -> DataFrame:
+    """Add rows that come without the table's serial key, which they get in the order of ``order_by``.
+
+    Keys begin at ``start``, or after the table's largest. ``order_by`` need not be a column
+    of the table.
+    """
+    first = next_key(df, spec.serial) if start is None else start
+    keyed = assign_keys(new, order_by, spec.serial, first)
+    return append(df, keyed if order_by in spec.columns else keyed.drop(order_by), spec)
+
+
+def assign_keys(new: DataFrame, order_by: str, key: str, start: int | Column = 1) -> DataFrame:
     """Give new rows consecutive keys from ``start``, in the order of a unique bigint.
 
     The keyed rows are the answer to "which keys were just assigned": filter or join them.

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 # midnight; a bare NUMERIC keeps its fraction instead of rounding to whole numbers.
 _PLAIN_TYPES = {
     "serial": "int",
+    "bigserial": "bigint",
     "int": "int",
     "integer": "int",
     "smallint": "smallint",
@@ -127,6 +128,11 @@ class TableSpec:
     def columns(self) -> list[str]:
         return [f.name for f in self.fields]
 
+    @property
+    def serial(self) -> str | None:
+        """The column whose keys are handed out to new rows."""
+        return next((f.name for f in self.fields if f.type.lower() in ("serial", "bigserial")), None)
+
     def __getitem__(self, name: str) -> Field:
         return next(f for f in self.fields if f.name == name)
 

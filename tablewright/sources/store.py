@@ -1,21 +1,31 @@
 """Tables that change: each state is a list of parquet folders never written again.
 
-A small log names the folders of each state. Publishing a state is the commit of one log
-entry, so a reader sees the old or the new state and nothing between, and a pinned reader
-keeps its state however often the table changes. Appending writes the new rows only. A
-lost executor only re-runs its tasks; an unfinished write is never named by the log.
-One writer at a time changes a table.
+A small log holds one file for each state, named after its version, with the schema and the
+folders. Publishing a state is a rename to a name that must not exist, so a reader sees the
+old or the new state and nothing between, two writers never take one version, and a pinned
+reader keeps its state however often the table changes. Appending writes the new rows only;
+an append that loses its version is published again on top of the winner's state. A lost
+executor only re-runs its tasks; an unfinished write is never named by the log.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 
-from pyspark.errors import AnalysisException
+from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_LOG = "version long, folders array<string>"
+_LOG = "version long, schema string, folders array<string>"
+_ENTRY = re.compile(r"(\d{20})\.json")
+
+
+class ConcurrentChange(RuntimeError):
+    """The table has changed since the state that a write was worked out from."""
 
 
 class VersionedTable:
@@ -25,19 +35,34 @@ class VersionedTable:
 
     def _entry(self, version: int | None = None) -> Row | None:
         """The log entry of a version, the newest by default; None if there is none."""
-        try:
-            log = self.spark.read.schema(_LOG).json(f"{self.path}/_states")
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        wanted = log if version is None else log.filter(F.col("version") == version)
-        return wanted.orderBy(F.desc("version")).first()
+        versions = self._versions()
+        if not versions or version not in (None, *versions):
+            return None
+        return self._log([max(versions) if version is None else version]).first()
+
+    def _log(self, versions: list[int]) -> DataFrame:
+        return self.spark.read.schema(_LOG).json([self._entry_path(v) for v in versions])
+
+    def _entry_path(self, version: int) -> str:
+        return f"{self.path}/_states/{version:020d}.json"
+
+    def _versions(self) -> list[int]:
+        states = self._java_path(f"{self.path}/_states")
+        fs = self._files(states)
+        if not fs.exists(states):
+            return []
+        names = (_ENTRY.fullmatch(s.getPath().getName()) for s in fs.listStatus(states))
+        return sorted(int(n[1]) for n in names if n)
+
+    def _java_path(self, path: str) -> JavaObject:
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _files(self, path: JavaObject) -> JavaObject:
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def version(self) -> int | None:
         """The current version, or None before the first write."""
-        entry = self._entry()
-        return entry and entry.version
+        return max(self._versions(), default=None)
 
     def stage(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
         """Write rows from ``df`` (which may read older states) without publishing them."""
@@ -48,27 +73,58 @@ class VersionedTable:
     def staged(self, *folders: str) -> DataFrame:
         return self.spark.read.parquet(*[f"{self.path}/{f}" for f in folders])
 
-    def publish(self, *folders: str) -> int:
-        """Make staged folders the current state."""
-        return self._publish(folders, self._entry())
-
-    def _publish(self, folders: list[str] | tuple[str, ...], before: Row | None) -> int:
-        version = (before.version if before else 0) + 1
-        entry = self.spark.range(1, numPartitions=1).select(
-            F.lit(version).cast("long").alias("version"),
-            F.array(*[F.lit(f) for f in folders]).alias("folders"),
+    def publish(self, *folders: str, after: int | None = None) -> int:
+        """Make staged folders the current state.
+
+        ``after`` is the version that they were worked out from; if the table has moved on,
+        nothing is published.
+        """
+        schema = self.staged(*folders).schema
+        while True:
+            now = self.version()
+            if after not in (None, now):
+                raise ConcurrentChange(f"{self.path} is at version {now}, not {after}")
+            if self._commit((now or 0) + 1, schema, list(folders)):
+                return (now or 0) + 1
+
+    def _commit(self, version: int, schema: T.StructType, folders: list[str]) -> bool:
+        """Publish a state unless its version is taken."""
+        entry = json.dumps({"version": version, "schema": schema.json(), "folders": folders})
+        temporary = self._java_path(f"{self.path}/_states/.{uuid.uuid4().hex}")
+        fs, jvm = self._files(temporary), self.spark._jvm
+        out = fs.create(temporary, False)
+        out.write(bytearray(entry, "utf-8"))
+        out.close()
+        options = jvm.org.apache.hadoop.fs.Options
+        never_over = self.spark.sparkContext._gateway.new_array(options.Rename, 0)
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            fs.getUri(), self.spark._jsc.hadoopConfiguration()
         )
-        entry.write.mode("append").json(f"{self.path}/_states")
-        return version
+        try:
+            context.rename(temporary, self._java_path(self._entry_path(version)), never_over)
+        except Py4JJavaError as e:
+            fs.delete(temporary, False)
+            if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+                return False
+            raise
+        return True
 
-    def write(self, df: DataFrame, partition_by: list[str] | None = None) -> int:
-        """Replace the whole table."""
-        return self.publish(self.stage(df, partition_by))
+    def write(self, df: DataFrame, partition_by: list[str] | None = None, after: int | None = None) -> int:
+        """Replace the whole table; see ``publish`` for ``after``."""
+        return self.publish(self.stage(df, partition_by), after=after)
 
     def append(self, new: DataFrame) -> int:
-        """Add rows; earlier rows are not rewritten."""
-        before = self._entry()
-        return self._publish([*(before.folders if before else []), self.stage(new)], before)
+        """Add rows; earlier rows are not rewritten. Names and types must be the table's."""
+        folder = None
+        while True:
+            before = self._entry()
+            schema = T.StructType.fromJson(json.loads(before.schema)) if before else new.schema
+            if schema.simpleString() != new.schema.simpleString():
+                raise ValueError(f"{self.path} holds {schema.simpleString()}, not {new.schema.simpleString()}")
+            folder = folder or self.stage(new)
+            version = (before.version if before else 0) + 1
+            if self._commit(version, schema, [*(before.folders if before else []), folder]):
+                return version
 
     def read(self, version: int | None = None) -> DataFrame:
         """A state by number, the current one by default; the result never moves."""
@@ -76,7 +132,21 @@ class VersionedTable:
         if entry is None:
             what = "has not been populated" if version is None else f"has no version {version}"
             raise LookupError(f"{self.path} {what}")
-        return self.staged(*entry.folders)
+        schema = T.StructType.fromJson(json.loads(entry.schema))
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in entry.folders])
+
+    def vacuum(self, keep: int) -> None:
+        """Delete all but the newest ``keep`` states, and the rows that only those others name."""
+        versions = self._versions()
+        old, kept = versions[:-keep], versions[-keep:]
+        if not old:
+            return
+        named = {f for r in self._log(kept).select("folders").collect() for f in r.folders}
+        gone = {f for r in self._log(old).select("folders").collect() for f in r.folders} - named
+        # entries first: a state is never listed without its rows
+        for path in [*map(self._entry_path, old), *(f"{self.path}/{f}" for f in gone)]:
+            path = self._java_path(path)
+            self._files(path).delete(path, True)
 
 
 def snapshot(df: DataFrame, path: str) -> DataFrame:

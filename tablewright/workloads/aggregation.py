@@ -167,9 +167,9 @@ def over_view(t: Tables) -> DataFrame:
 _REPEATED = """(SELECT dept.*, emp_id, salary, project_id, budget
          FROM dept LEFT JOIN emp USING (dept_id) LEFT JOIN proj USING (dept_id))"""
 
-DEPT_SUMMARY_SQL = f"""SELECT dept_id, dept_name, COUNT(emp_id) AS total_employees,
+DEPT_SUMMARY_SQL = f"""SELECT dept_id, dept_name, CAST(COUNT(emp_id) AS DECIMAL(38,0)) AS total_employees,
          CAST(COALESCE(SUM(salary), 0) AS DECIMAL(38,2)) AS total_salaries,
-         COUNT(project_id) AS total_projects,
+         CAST(COUNT(project_id) AS DECIMAL(38,0)) AS total_projects,
          CAST(COALESCE(SUM(budget), 0) AS DECIMAL(38,2)) AS total_budget
        FROM {_REPEATED} GROUP BY ALL"""
 
@@ -214,8 +214,9 @@ def without_fan_out(t: Tables) -> DataFrame:
     )
 
 
-DASHBOARD_SQL = f"""SELECT dept_name, location, COUNT(emp_id) AS employee_count,
-         COALESCE({sql_avg('salary')}, 0) AS avg_salary, COUNT(project_id) AS active_projects,
+DASHBOARD_SQL = f"""SELECT dept_name, location, CAST(COUNT(emp_id) AS DECIMAL(38,0)) AS employee_count,
+         COALESCE({sql_avg('salary')}, 0) AS avg_salary,
+         CAST(COUNT(project_id) AS DECIMAL(38,0)) AS active_projects,
          CAST(COALESCE(SUM(budget), 0) AS DECIMAL(38,2)) AS total_budget,
          CASE WHEN COUNT(emp_id) > 0 THEN {sql_ratio('COALESCE(SUM(budget), 0)', 'COUNT(emp_id)')}
               ELSE 0 END AS budget_per_employee

@@ -18,7 +18,7 @@ from tablewright.workloads.registry import query
 
 STAFF = table(
     "staff",
-    "emp_id bigint, first_name varchar(50), last_name varchar(50), department varchar(50),"
+    "emp_id bigserial, first_name varchar(50), last_name varchar(50), department varchar(50),"
     "salary int, hire_date date, status varchar(20) = 'ACTIVE'",
     primary_key=("emp_id",),
 )

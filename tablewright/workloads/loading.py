@@ -160,9 +160,10 @@ def insert_select(t: Tables) -> DataFrame:
 
 
 _GUARD_SQL = """SELECT * FROM staff UNION ALL
-       SELECT NULL, 'Arman', 'Parasat', 'IT', 55000, NULL, 'ACTIVE' FROM {}
+       SELECT (SELECT MAX(emp_id) FROM staff) + ROW_NUMBER() OVER (ORDER BY emp_id),
+         'Nora', 'Lindholm', 'IT', 55000, NULL, 'ACTIVE' FROM {}
        WHERE NOT EXISTS (SELECT 1 FROM staff WHERE first_name = '{}' AND last_name = '000000001')"""
-_ARMAN = {"first_name": "Arman", "last_name": "Parasat", "department": "IT", "salary": 55000}
+_NEWCOMER = {"first_name": "Nora", "last_name": "Lindholm", "department": "IT", "salary": 55000}
 
 
 def _named(t: Tables, first: str) -> DataFrame:
@@ -171,17 +172,17 @@ def _named(t: Tables, first: str) -> DataFrame:
 
 @query("src_10_guarded_copies", _GUARD_SQL.format("staff", "John"), "staff")
 def guarded_copies(t: Tables) -> DataFrame:
-    return ingest.append_copies_unless(t.staff, _named(t, "John"), STAFF, **_ARMAN)
+    return ingest.append_copies_unless(t.staff, _named(t, "John"), STAFF, **_NEWCOMER)
 
 
 @query("src_10_guarded_none", _GUARD_SQL.format("staff", "Customer"), "staff")
 def guarded_none(t: Tables) -> DataFrame:
-    return ingest.append_copies_unless(t.staff, _named(t, "Customer"), STAFF, **_ARMAN)
+    return ingest.append_copies_unless(t.staff, _named(t, "Customer"), STAFF, **_NEWCOMER)
 
 
-@query("src_10_insert_if_absent", _GUARD_SQL.format("(SELECT 1)", "John"), "staff")
+@query("src_10_insert_if_absent", _GUARD_SQL.format("(SELECT 1 AS emp_id)", "John"), "staff")
 def insert_if_absent(t: Tables) -> DataFrame:
-    return ingest.insert_if_absent(t.staff, _named(t, "John"), STAFF, **_ARMAN)
+    return ingest.insert_if_absent(t.staff, _named(t, "John"), STAFF, **_NEWCOMER)
 
 
 @query(
@@ -195,6 +196,19 @@ def assign_keys(t: Tables) -> DataFrame:
     return ingest.assign_keys(orders, "arrival", "id").drop("arrival")
 
 
+@query(
+    "src_11_insert_without_key",
+    """SELECT * FROM staff UNION ALL
+       SELECT (SELECT MAX(emp_id) FROM staff) + ROW_NUMBER() OVER (ORDER BY s_suppkey),
+         'Supplier', substring(s_name, 10, 9), NULL, NULL, NULL, 'ACTIVE' FROM supplier""",
+    "staff",
+)
+def insert_without_key(t: Tables) -> DataFrame:
+    """Rows without the serial key get the keys after the table's largest."""
+    new = _joiners(t).withColumn("arrival", -F.col("emp_id")).drop("emp_id")
+    return ingest.append_keyed(t.staff, new, STAFF, "arrival")
+
+
 @query(
     "src_12_assigned_keys",
     """SELECT 100 + ROW_NUMBER() OVER (ORDER BY s_suppkey) AS emp_id,

@@ -151,3 +151,24 @@ def test_arity_and_unknown_columns(spark):
         ingest.append(STAFF.empty(spark), spark.range(1), STAFF)
     with pytest.raises(ValueError, match="1 values"):
         ingest.append_by_position(STAFF.empty(spark), spark.range(1), STAFF)
+
+
+def test_a_repeated_key_fails_the_update(spark):
+    df = spark.createDataFrame([(1, 10), (2, 20)], "k int, v int")
+    news = spark.createDataFrame([(1, 11), (1, 12), (3, 1), (3, 2)], "k int, v int")
+    for changed in (changes.update_by_key(df, "k", news, "v"), changes.update_from_lookup(df, "k", news, "v", "v")):
+        with pytest.raises(Exception, match="more than one row for 1"):
+            changed.collect()
+    assert rows(changes.update_by_key(df.filter("k = 2"), "k", news, "v")) == [(2, 20)]
+
+
+def test_rows_without_a_key_get_one(spark):
+    spec = table("t", "id serial, name text", primary_key=("id",))
+    old = spec.empty(spark)
+    new = spark.createDataFrame([("b", 2), ("a", 1)], "name string, arrival long")
+    first = ingest.append_keyed(old, new, spec, "arrival")
+    assert sorted(rows(first)) == [(1, "a"), (2, "b")]
+    assert sorted(rows(ingest.append_keyed(first, new, spec, "arrival")))[2:] == [(3, "a"), (4, "b")]
+    for wrong, message in ((new.withColumn("arrival", F.lit(None).cast("long")), "is NULL"), (new.union(new), "repeats")):
+        with pytest.raises(Exception, match=message):
+            ingest.append_keyed(old, wrong, spec, "arrival").collect()

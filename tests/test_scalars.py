@@ -46,3 +46,9 @@ def test_whole_years_equals_age(spark):
         ]
         assert got == want
     assert one(spark, whole_years(F.lit(None).cast("date"), F.current_date())) is None
+
+
+def test_average_rounds_once(spark):
+    rare = spark.range(2_000_001).select(F.when(F.col("id") == 0, F.lit(Decimal("10000.00"))).otherwise(0).cast("decimal(38,2)").alias("x"))
+    assert rare.agg(average("x")).first()[0] == Decimal("0.00")
+    assert spark.createDataFrame([(1,), (2,)], "x int").agg(average("x")).first()[0] == Decimal("1.50")

@@ -9,7 +9,7 @@ from tablewright.operators import changes
 from tablewright.operators.quality import IntegrityError
 from tablewright.plans.views import MaterializedView, create_view, drop_view, rename_view
 from tablewright.sources.ingest import append, literal_rows
-from tablewright.sources.store import VersionedTable, snapshot
+from tablewright.sources.store import ConcurrentChange, VersionedTable, snapshot
 from tablewright.workloads import viewing
 from tablewright.workloads.aggregation import dashboard, dept_summary
 from tests.fixtures import COMPANY_EMP, company, rows
@@ -136,3 +136,37 @@ def test_shared_folder_comes_from_the_session(spark, tmp_path, monkeypatch):
 
     with pytest.raises(RuntimeError):
         session.shared_folder(Cluster())
+
+
+def test_two_writers_of_one_state(spark, tmp_path):
+    one, two = (VersionedTable(spark, str(tmp_path / "t")) for _ in range(2))
+    one.write(spark.range(2))
+    seen, schema = two.version(), two.read().schema
+    one.append(spark.range(5, 6))
+    # the version that the second writer would take is gone
+    assert not two._commit(seen + 1, schema, [])
+    with pytest.raises(ConcurrentChange, match="version 2, not 1"):
+        two.write(spark.range(9), after=seen)
+    two.append(spark.range(7, 8))
+    assert sorted(rows(one.read())) == [(0,), (1,), (5,), (7,)]
+
+
+def test_append_keeps_the_schema(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.write(spark.range(1))
+    with pytest.raises(ValueError, match="holds struct<id:bigint>"):
+        table.append(spark.range(1).withColumn("x", F.lit(1)))
+    assert table.version() == 1
+
+
+def test_vacuum_keeps_what_the_newest_states_name(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.write(spark.range(1))
+    table.append(spark.range(1, 2))
+    table.write(spark.range(4))
+    table.vacuum(keep=2)
+    assert rows(table.read(2)) == [(0,), (1,)] and table.read().count() == 4
+    with pytest.raises(LookupError):
+        table.read(1)
+    table.vacuum(keep=1)
+    assert len(list((tmp_path / "t").glob("rows-*"))) == 1 and table.version() == 3

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.common import written
 from tablewright.llm.words import NO_LETTER, U, encoded, runs, word_hashes
+from tablewright.operators.joins import left_outer
 
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
@@ -55,7 +56,8 @@ def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """For each bucket, the log of target over raw probability."""
     good = labels.filter("quality = 1").select(F.col("doc_id").alias("good_id")).distinct()
-    marked = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("good_id"), "left")
+    # labels grow with the documents: the same merge join at every size, documents without an id spread
+    marked = left_outer(docs.select("doc_id", "text"), good.hint("merge"), "doc_id", "good_id", "text")
     marked = marked.select("text", F.col("good_id").isNotNull().alias("good"))
     sums = marked.mapInPandas(counted, "bucket long, raw long, target long").groupBy("bucket")
     rows = sums.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas()

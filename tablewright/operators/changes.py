@@ -7,16 +7,18 @@ nothing. Write the result as a new state with ``sources.store.VersionedTable``.
 from __future__ import annotations
 
 from functools import reduce
-from graphlib import TopologicalSorter
+from graphlib import CycleError, TopologicalSorter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.joins import distinct_keys, matched, unmatched
-from tablewright.operators.quality import IntegrityError
+from tablewright.operators.quality import IntegrityError, insert_violations, refuse
 from tablewright.operators.subqueries import single_value
-from tablewright.sources.spec import TableSpec
+from tablewright.session import new_folder
+from tablewright.sources.ingest import fill_missing
+from tablewright.sources.spec import ForeignKey, TableSpec
 from tablewright.sources.store import VersionedTable
 
 
@@ -42,10 +44,9 @@ def update_by_key(df: DataFrame, key: str, changes: DataFrame, column: str) -> D
 
     A key that changes a row twice fails the job: an update never adds rows.
     """
-    new = "__new"
-    news = changes.select(F.col(key), F.struct(F.col(column).alias("value")).alias(new))
-    joined = single_value(df, key, news, key, new, new)
-    value = F.when(F.col(new).isNotNull(), F.col(f"{new}.value")).otherwise(F.col(column))
+    new, found = "__new", "__found"
+    joined = single_value(df, key, changes, key, column, new, found)
+    value = F.when(F.col(found), F.col(new)).otherwise(F.col(column))
     return joined.withColumn(column, value.cast(df.schema[column].dataType)).select(*df.columns)
 
 
@@ -77,6 +78,21 @@ def delete_not_in(df: DataFrame, column: str, others: DataFrame, other: str) ->
     return joined.filter(F.col(hit).isNotNull() | unknown).drop(key, hit)
 
 
+def insert(
+    store: VersionedTable, new: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None
+) -> int:
+    """INSERT under the declared rules: all rows are published, or none and IntegrityError raised.
+
+    Only the new rows are checked, against each other, the keys in the table and the parents.
+    When another writer comes first, the check runs again over that writer's state.
+    """
+
+    def check(old: DataFrame, rows: DataFrame) -> None:
+        refuse(rows, insert_violations(old, rows, spec, parents))
+
+    return store.append(fill_missing(new, spec), check)
+
+
 def split(df: DataFrame, where: Column) -> tuple[DataFrame, DataFrame]:
     """The rows a delete would remove, and the rows it would keep."""
     return df.filter(where), delete(df, where)
@@ -140,26 +156,19 @@ def delete_parents(
 
     Returns the new state of all tables, or raises before any of them is built: RESTRICT
     refuses when a child refers to a deleted row, NO ACTION when such a child remains.
+    Where cascades come back to a table, as along a hierarchy, they are followed level by level.
     """
-    doomed = {name: tables[name][0].filter(where)}
-    after = {n: df for n, (df, _) in tables.items()}
-    after[name] = delete(tables[name][0], where)
+    try:
+        doomed, after = _cascade_down(tables, name, where, _below(tables, name))
+    except CycleError:
+        doomed, after = _cascade_by_levels(tables, name, where)
     checks = []
-    for parent in _below(tables, name):
-        for child, (_, spec) in tables.items():
-            for fk in spec.foreign_keys:
-                if fk.parent != parent or parent not in doomed:
-                    continue
-                rule = (fk.columns, doomed[parent], fk.parent_columns)
-                if fk.on_delete == "cascade":
-                    after[child], _ = cascade(after[child], *rule)
-                    lost = matched(tables[child][0], doomed[parent], _on(fk.columns, fk.parent_columns))
-                    # a row may go for several reasons; repeats do no harm
-                    doomed[child] = doomed[child].unionByName(lost) if child in doomed else lost
-                elif fk.on_delete == "set null":
-                    after[child] = set_null(after[child], *rule)
-                else:
-                    checks.append((parent, child, fk))
+    for parent in doomed:
+        for child, fk in _references_to(tables, parent):
+            if fk.on_delete == "set null":
+                after[child] = set_null(after[child], fk.columns, doomed[parent], fk.parent_columns)
+            elif fk.on_delete != "cascade":
+                checks.append((parent, child, fk))
     for parent, child, fk in checks:
         holders = tables[child][0] if fk.on_delete == "restrict" else after[child]
         stuck = blockers(doomed[parent], fk.parent_columns, holders, fk.columns).limit(1).collect()
@@ -169,6 +178,67 @@ def delete_parents(
     return after
 
 
+def _references_to(
+    tables: dict[str, tuple[DataFrame, TableSpec]], parent: str, rule: str | None = None
+) -> list[tuple[str, ForeignKey]]:
+    """Tables and their foreign keys to ``parent``, of one rule if it is named."""
+    keys = [(child, fk) for child, (_, spec) in tables.items() for fk in spec.foreign_keys]
+    return [(child, fk) for child, fk in keys if fk.parent == parent and rule in (None, fk.on_delete)]
+
+
+States = dict[str, DataFrame]
+
+
+def _cascade_down(
+    tables: dict[str, tuple[DataFrame, TableSpec]], name: str, where: Column, order: list[str]
+) -> tuple[States, States]:
+    """Deleted rows and new states, with tables in an order that has parents before children."""
+    doomed = {name: tables[name][0].filter(where)}
+    after = {n: df for n, (df, _) in tables.items()}
+    after[name] = delete(tables[name][0], where)
+    for parent in order:
+        for child, fk in _references_to(tables, parent, "cascade"):
+            rule = (fk.columns, doomed[parent], fk.parent_columns)
+            after[child], _ = cascade(after[child], *rule)
+            lost = matched(tables[child][0], doomed[parent], _on(fk.columns, fk.parent_columns))
+            # a row may go for several reasons; repeats do no harm
+            doomed[child] = doomed[child].unionByName(lost) if child in doomed else lost
+    return doomed, after
+
+
+def _cascade_by_levels(
+    tables: dict[str, tuple[DataFrame, TableSpec]], name: str, where: Column
+) -> tuple[States, States]:
+    """As ``_cascade_down`` where cascades run in a cycle: one step of joins for each level.
+
+    The keys of each level are written, so that plans do not grow with the depth. It ends
+    when a level holds no row that was not found before. Tables need a primary key.
+    """
+    doomed: States = {}
+    level = {name: tables[name][0].filter(where)}
+    while level:
+        held = {}
+        for n, rows in level.items():
+            if not tables[n][1].primary_key:
+                raise ValueError(f"{n} needs a primary key: deletes cascade to it in a cycle")
+            if n in doomed:
+                rows = unmatched(rows, doomed[n], list(tables[n][1].primary_key))
+            path = new_folder(rows.sparkSession, f"doomed-{n}")
+            rows.write.parquet(path)
+            held[n] = rows.sparkSession.read.schema(rows.schema).parquet(path)
+        held = {n: rows for n, rows in held.items() if not rows.isEmpty()}
+        level = {}
+        for parent, rows in held.items():
+            doomed[parent] = doomed[parent].unionByName(rows) if parent in doomed else rows
+            for child, fk in _references_to(tables, parent, "cascade"):
+                lost = matched(tables[child][0], rows, _on(fk.columns, fk.parent_columns))
+                level[child] = level[child].unionByName(lost) if child in level else lost
+    after = {
+        n: unmatched(df, doomed[n], list(spec.primary_key)) if n in doomed else df for n, (df, spec) in tables.items()
+    }
+    return doomed, after
+
+
 def _below(tables: dict[str, tuple[DataFrame, TableSpec]], name: str) -> list[str]:
     """The table and those its deletes cascade to, parents before children."""
     children = {

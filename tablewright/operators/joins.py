@@ -1,9 +1,9 @@
 """Join forms whose plan stays sound when a key is hot or a side is large.
 
 Spark picks broadcast, sort-merge or hash joins from the sizes it knows; nothing is
-hinted here except where a size was just counted. What these functions add:
+hinted here. What these functions add:
 
-* an outer join that preserves the small side is split into a join that preserves the
+* an outer join that preserves a dimension is split into a join that preserves the
   large side plus an anti join, because Spark cannot broadcast a preserved side and
   cannot split a hot key on the side it does not preserve;
 * the inner side of a semi or anti join is reduced to distinct keys first;
@@ -18,8 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-
-
 def _pairs(on: str | list[str] | dict[str, str]) -> dict[str, str]:
     if isinstance(on, str):
         return {on: on}
@@ -80,15 +78,23 @@ def left_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     return salted.join(right.withColumn(right_salt, zero), on, "left").drop(salt, right_salt)
 
 
-def right_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """All rows of ``right``; column names must be distinct across the sides."""
+def right_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str, right_is_dimension: bool) -> DataFrame:
+    """All rows of ``right``; column names must be distinct across the sides.
+
+    ``right_is_dimension`` says that it is much the smaller side. The join is split then,
+    which reads ``left`` twice; otherwise each side is read and sorted once.
+    """
+    if not right_is_dimension:
+        return left.join(right, F.col(left_key) == F.col(right_key), "right")
     both = left.join(right, F.col(left_key) == F.col(right_key))
     alone = unmatched(right, left, {right_key: left_key})
     return both.unionByName(alone, allowMissingColumns=True)
 
 
-def full_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """All rows of both sides; column names must be distinct across the sides."""
+def full_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str, right_is_dimension: bool) -> DataFrame:
+    """All rows of both sides; see ``right_outer``."""
+    if not right_is_dimension:
+        return left.join(right, F.col(left_key) == F.col(right_key), "full")
     kept = left.join(right, F.col(left_key) == F.col(right_key), "left")
     alone = unmatched(right, left, {right_key: left_key})
     return kept.unionByName(alone, allowMissingColumns=True)

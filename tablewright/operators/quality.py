@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.operators.joins import unmatched
+from tablewright.operators.joins import matched, unmatched
 from tablewright.sources.spec import ForeignKey, TableSpec, is_char, length_limit
 
 SCHEMA = "rule string, key string, detail string"
@@ -115,6 +115,21 @@ def validate(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | Non
     return reduce(DataFrame.unionByName, parts)
 
 
+def insert_violations(
+    old: DataFrame, new: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """The rules that rows to be added break: their own, and keys that the table holds already."""
+    parents = {**(parents or {}), spec.name: old.unionByName(new)}
+    parts = [validate(new, spec, parents)]
+    for columns in filter(None, (spec.primary_key, *spec.unique)):
+        kind = "primary key" if columns == spec.primary_key else f"unique {','.join(columns)}"
+        taken = matched(new, old, list(columns))
+        parts.append(
+            taken.select(F.lit(f"{spec.name} {kind}").alias("rule"), text(columns).alias("key"), F.lit("taken").alias("detail"))
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def enforce(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None) -> DataFrame:
     """Return ``df``, or raise with a few examples when any rule is broken."""
     return refuse(df, validate(df, spec, parents))

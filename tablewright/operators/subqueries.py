@@ -28,10 +28,13 @@ def not_in(df: DataFrame, column: str, others: DataFrame, other: str) -> DataFra
     return kept.filter(is_empty | (~has_null & F.col(column).isNotNull()))
 
 
-def single_value(df: DataFrame, on: str, lookup: DataFrame, key: str, value: str, out: str) -> DataFrame:
+def single_value(
+    df: DataFrame, on: str, lookup: DataFrame, key: str, value: str, out: str, found: str | None = None
+) -> DataFrame:
     """Add ``out``: the one ``value`` whose ``key`` equals ``on``, or NULL.
 
-    A matched key with more than one row fails the job, as a scalar subquery does.
+    A matched key with more than one row fails the job, as a scalar subquery does. ``found``
+    names a column that tells a matched NULL from no match.
     """
     count = "__count"
     values = (
@@ -42,4 +45,7 @@ def single_value(df: DataFrame, on: str, lookup: DataFrame, key: str, value: str
     checked: Column = F.when(
         F.col(count) > 1, F.raise_error(F.concat(F.lit("more than one row for "), F.col(on).cast("string")))
     ).otherwise(F.col(out))
-    return df.join(values, F.col(on) == F.col("__key"), "left").withColumn(out, checked).drop("__key", count)
+    joined = df.join(values, F.col(on) == F.col("__key"), "left").withColumn(out, checked)
+    if found:
+        joined = joined.withColumn(found, F.col(count).isNotNull())
+    return joined.drop("__key", count)

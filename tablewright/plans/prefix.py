@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BLOCK_BITS = 20
+BLOCK_BITS = 22  # three levels of these leave 2**20 rows at the top of 64-bit keys
 
 _BEFORE = (W.unboundedPreceding, -1)
 

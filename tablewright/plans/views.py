@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablewright.operators.quality import IntegrityError, duplicates
+from tablewright.operators.changes import insert, update
+from tablewright.operators.quality import IntegrityError, duplicates, outside_view
+from tablewright.sources.ingest import fill_missing
+from tablewright.sources.spec import TableSpec
 from tablewright.sources.store import VersionedTable
 
 
@@ -28,6 +32,50 @@ def drop_view(spark: SparkSession, name: str) -> bool:
     return spark.catalog.dropTempView(name)
 
 
+class TableView:
+    """Some columns and rows of a stored table, through which the table is written.
+
+    With ``checked`` (WITH CHECK OPTION) rows that the view would not show are refused.
+    """
+
+    def __init__(
+        self, store: VersionedTable, spec: TableSpec, columns: list[str],
+        where: Column | None = None, checked: bool = False,
+    ):
+        self.store = store
+        self.spec = spec
+        self.columns = columns
+        self.where = F.lit(True) if where is None else where
+        self.checked = checked
+
+    def read(self) -> DataFrame:
+        return self.store.read().filter(self.where).select(*self.columns)
+
+    def _known(self, names: list[str]) -> None:
+        unknown = set(names) - set(self.columns)
+        if unknown:
+            raise ValueError(f"the view has no column {sorted(unknown)}")
+
+    def _inside(self, rows: DataFrame) -> None:
+        if self.checked and not outside_view(rows, self.where).isEmpty():
+            raise IntegrityError("a row would lie outside the view")
+
+    def insert(self, new: DataFrame, parents: dict[str, DataFrame] | None = None) -> int:
+        """Add rows to the table; columns that the view does not show take their default."""
+        self._known(new.columns)
+        self._inside(fill_missing(new, self.spec))
+        return insert(self.store, new, self.spec, parents)
+
+    def update(self, values: dict[str, Column], where: Column) -> int:
+        """Change rows that the view shows; the others keep their values."""
+        self._known(list(values))
+        version = self.store.version()
+        old = self.store.read(version)
+        chosen = F.coalesce(self.where & where, F.lit(False))
+        self._inside(update(old.filter(chosen), values))
+        return self.store.write(update(old, values, chosen), after=version)
+
+
 class MaterializedView:
     """The stored result of a plan; it changes only when refreshed.
 

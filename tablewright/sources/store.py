@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections.abc import Callable
 
 from py4j.java_gateway import JavaObject
 from py4j.protocol import Py4JJavaError
@@ -113,8 +114,12 @@ class VersionedTable:
         """Replace the whole table; see ``publish`` for ``after``."""
         return self.publish(self.stage(df, partition_by), after=after)
 
-    def append(self, new: DataFrame) -> int:
-        """Add rows; earlier rows are not rewritten. Names and types must be the table's."""
+    def append(self, new: DataFrame, check: Callable[[DataFrame, DataFrame], None] | None = None) -> int:
+        """Add rows; earlier rows are not rewritten. Names and types must be the table's.
+
+        ``check(state, rows)`` may refuse them by raising; it runs on the state that the rows
+        are published on.
+        """
         folder = None
         while True:
             before = self._entry()
@@ -122,6 +127,9 @@ class VersionedTable:
             if schema.simpleString() != new.schema.simpleString():
                 raise ValueError(f"{self.path} holds {schema.simpleString()}, not {new.schema.simpleString()}")
             folder = folder or self.stage(new)
+            if check:
+                rows = self.staged(folder)
+                check(self.read(before.version) if before else empty_like(rows), rows)
             version = (before.version if before else 0) + 1
             if self._commit(version, schema, [*(before.folders if before else []), folder]):
                 return version

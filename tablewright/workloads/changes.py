@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalars import rounded_quotient, three_bands
-from tablewright.operators import changes, subqueries
+from tablewright.operators import changes, quality, subqueries
 from tablewright.operators.aggregates import per_key
+from tablewright.plans.views import TableView
 from tablewright.session import new_folder
-from tablewright.sources.ingest import append, literal_rows
-from tablewright.sources.spec import SetDefault, alter, references, table
+from tablewright.sources.ingest import literal_rows
+from tablewright.sources.spec import Check, ForeignKey, SetDefault, alter, references, table
 from tablewright.sources.store import VersionedTable
 from tablewright.sources.tables import Tables, day
 from tablewright.workloads import fixed
@@ -171,25 +174,97 @@ def update_by_count(t: Tables) -> DataFrame:
     return changes.update(counted, {"end_date": F.date_add("end_date", 30)}, where).select(t.proj.columns)
 
 
+def _salaries(t: Tables, where=None, checked: bool = False) -> TableView:
+    """Names, departments and salaries of the employees, over a stored copy."""
+    store = VersionedTable(t.spark, new_folder(t.spark, "emp"))
+    store.write(t.emp)
+    return TableView(store, EMP, ["emp_id", "emp_name", "dept_id", "salary"], where, checked)
+
+
+def _hired(t: Tables, *people: tuple) -> DataFrame:
+    visible = table("view", "emp_id bigint, emp_name varchar(50), dept_id int, salary numeric(10,2)")
+    return literal_rows(t.spark, visible, people)
+
+
+def _refused(write) -> bool:
+    try:
+        write()
+    except quality.IntegrityError:
+        return True
+    return False
+
+
 @query(
     "dml_12_update_through_view",
-    """SELECT * REPLACE (CASE WHEN emp_name = 'Customer#000000001' THEN CAST(52000 AS DECIMAL(10,2))
+    """SELECT * REPLACE (CASE WHEN dept_id = 1 AND salary < 30000 THEN CAST(salary + 2000 AS DECIMAL(10,2))
          ELSE salary END AS salary) FROM emp""",
     "emp",
 )
 def update_through_view(t: Tables) -> DataFrame:
-    return changes.update(t.emp, {"salary": F.lit(52000)}, F.col("emp_name") == "Customer#000000001")
+    """Rows of other departments are not shown, so the same condition leaves them alone."""
+    view = _salaries(t, F.col("dept_id") == 1)
+    view.update({"salary": F.col("salary") + 2000}, F.col("salary") < 30000)
+    return view.store.read()
 
 
 @query(
     "dml_13_insert_through_view",
     """SELECT * FROM emp UNION ALL
-       SELECT -1, 'Alice Johnson', NULL, 2, CAST(58000 AS DECIMAL(10,2)), NULL, NULL, NULL""",
+       SELECT -1, 'Newcomer', NULL, 2, CAST(41500.50 AS DECIMAL(10,2)), NULL, NULL, NULL""",
     "emp",
 )
 def insert_through_view(t: Tables) -> DataFrame:
-    visible = table("view", "emp_id bigint, emp_name varchar(50), dept_id int, salary numeric(10,2)")
-    return append(t.emp, literal_rows(t.spark, visible, [(-1, "Alice Johnson", 2, 58000)]), EMP)
+    view = _salaries(t)
+    view.insert(_hired(t, (-1, "Newcomer", 2, "41500.50")))
+    return view.store.read()
+
+
+@query(
+    "dml_13_insert_through_checked_view",
+    """SELECT 2 AS refused, * FROM emp UNION ALL
+       SELECT 2, -1, 'Newcomer', NULL, 1, CAST(41500.50 AS DECIMAL(10,2)), NULL, NULL, NULL""",
+    "emp",
+)
+def insert_through_checked_view(t: Tables) -> DataFrame:
+    """A row of another department, and one of none, are refused; one of the view's is not."""
+    view = _salaries(t, F.col("dept_id") == 1, checked=True)
+    outside = [(-2, "Elsewhere", 2, 0), (-3, "Nowhere", None, 0)]
+    refused = sum(_refused(lambda: view.insert(_hired(t, row))) for row in outside)
+    view.insert(_hired(t, (-1, "Newcomer", 1, "41500.50")))
+    return view.store.read().select(F.lit(refused).alias("refused"), "*")
+
+
+@query(
+    "dml_13_insert_under_rules",
+    """SELECT 5 AS refused, * FROM emp UNION ALL
+       SELECT 5, -1, 'Newcomer', 'AUTO', 1, CAST(41500.50 AS DECIMAL(10,2)), 7, 'new@x.org', NULL""",
+    "emp",
+)
+def insert_under_rules(t: Tables) -> DataFrame:
+    """Of six inserts five break a rule, also together with a sound row, and leave no trace."""
+    dept = table("dept", "dept_id int", primary_key=("dept_id",))
+    own = ForeignKey(("manager_id",), "emp", ("emp_id",))
+    spec = replace(
+        EMP, unique=(("email",),), checks=(Check("salary", "salary >= 0"),), foreign_keys=(references("dept_id", dept), own)
+    )
+    store = VersionedTable(t.spark, new_folder(t.spark, "emp"))
+    store.write(t.emp)
+    columns = ["emp_id", "emp_name", "segment", "dept_id", "salary", "manager_id", "email"]
+    sound = (-1, "Newcomer", "AUTO", 1, "41500.50", 7, "new@x.org")
+    unsound = [
+        [(1, "Key taken", "AUTO", 1, 1, 7, "b@x.org")],
+        [(-2, "Below zero", "AUTO", 1, -1, 7, "b@x.org")],
+        [(-2, "No such department", "AUTO", 99, 1, 7, "b@x.org")],
+        [(-2, "No such manager", "AUTO", 1, 1, -7, "b@x.org")],
+        [sound, (-2, "Same address", "AUTO", 1, 1, 7, "new@x.org")],
+    ]
+
+    def add(rows: list[tuple]) -> None:
+        changes.insert(store, literal_rows(t.spark, spec, rows, columns), spec, {"dept": t.dept})
+
+    refused = sum(_refused(lambda: add(rows)) for rows in unsound)
+    add([sound])
+    return store.read().select(F.lit(refused).alias("refused"), "*")
 
 
 @query(
@@ -315,6 +390,21 @@ def cascade_chain(t: Tables) -> DataFrame:
     return changes.delete_parents(tables, "customer", F.col("c_mktsegment") == "MACHINERY")["lineitem"]
 
 
+@query(
+    "dml_20_cascade_hierarchy",
+    """SELECT * FROM emp WHERE emp_id NOT IN (
+         WITH RECURSIVE gone AS (SELECT emp_id FROM emp WHERE dept_id = 1 AND emp_id < 100
+           UNION SELECT e.emp_id FROM emp e JOIN gone g ON e.manager_id = g.emp_id)
+         SELECT emp_id FROM gone)""",
+    "emp",
+)
+def cascade_hierarchy(t: Tables) -> DataFrame:
+    """Whoever reports to a deleted employee, at any distance, goes as well."""
+    spec = replace(EMP, foreign_keys=(ForeignKey(("manager_id",), "emp", ("emp_id",), "cascade"),))
+    where = (F.col("dept_id") == 1) & (F.col("emp_id") < 100)
+    return changes.delete_parents({"emp": (t.emp, spec)}, "emp", where)["emp"]
+
+
 _RESTRICT_SQL = """SELECT * FROM dept WHERE ({0}) IS NOT TRUE
        OR EXISTS (SELECT 1 FROM emp JOIN dept x USING (dept_id) WHERE {0})"""
 

@@ -92,16 +92,18 @@ def years(t: Tables) -> DataFrame:
 
 @query(
     "fn_12_current",
-    """SELECT emp_id, hire_date <= CURRENT_DATE AS hired, hire_date < CURRENT_TIMESTAMP AS hired_by_now,
-         NOW() >= CURRENT_DATE AS now_is_today FROM emp""",
+    """SELECT emp_id, emp_id % 7 - 3 <= 0 AS due, emp_id % 7 - 3 < 0 AS overdue, emp_id % 7 - 3 <= 0 AS due_by_now
+       FROM emp""",
     "emp",
 )
 def current(t: Tables) -> DataFrame:
+    """Days around today: a third of the dates is to come."""
+    deadline = F.date_add(F.current_date(), (F.col("emp_id") % 7 - 3).cast("int"))
     return t.emp.select(
         "emp_id",
-        (F.col("hire_date") <= F.current_date()).alias("hired"),
-        (F.col("hire_date") < F.current_timestamp()).alias("hired_by_now"),
-        (F.current_timestamp() >= F.current_date()).alias("now_is_today"),
+        (deadline <= F.current_date()).alias("due"),
+        (deadline < F.current_date()).alias("overdue"),
+        (F.now() >= deadline).alias("due_by_now"),
     )
 
 

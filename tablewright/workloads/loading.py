@@ -14,6 +14,7 @@ from tablewright.sources import ingest
 from tablewright.sources.spec import (
     DEFAULT,
     AddColumn,
+    Computed,
     DropColumn,
     Field,
     SetDefault,
@@ -59,14 +60,14 @@ def declared(t: Tables) -> DataFrame:
 @query(
     "src_03_values",
     """SELECT * FROM staff UNION ALL VALUES
-         (-1, 'Aruzhan', 'Temir', 'Engineering', 65000, DATE '2024-01-02', 'ACTIVE'),
-         (-2, 'Bakhyt', 'Nurlan', 'Marketing', 48000, NULL, NULL)""",
+         (-1, 'Ines', 'Okafor', 'Research', 61200, DATE '2024-01-02', 'ACTIVE'),
+         (-2, 'Pavel', 'Duarte', 'Sales', 39900, NULL, NULL)""",
     "staff",
 )
 def values(t: Tables) -> DataFrame:
     rows = [
-        (-1, "Aruzhan", "Temir", "Engineering", 65000, "2024-01-02", "ACTIVE"),
-        (-2, "Bakhyt", "Nurlan", "Marketing", 48000, None, None),
+        (-1, "Ines", "Okafor", "Research", 61200, "2024-01-02", "ACTIVE"),
+        (-2, "Pavel", "Duarte", "Sales", 39900, None, None),
     ]
     return t.staff.unionByName(ingest.literal_rows(t.spark, STAFF, rows))
 
@@ -115,12 +116,12 @@ def append_subset(t: Tables) -> DataFrame:
 @query(
     "src_06_default_marker",
     """SELECT * FROM staff UNION ALL
-       VALUES (-1, 'Magripa', 'Bakhyt', 'Marketing', NULL, NULL, 'ACTIVE')""",
+       VALUES (-1, 'Ines', 'Okafor', 'Sales', NULL, NULL, 'ACTIVE')""",
     "staff",
 )
 def default_marker(t: Tables) -> DataFrame:
     columns = ["emp_id", "first_name", "last_name", "department", "salary", "status"]
-    rows = [(-1, "Magripa", "Bakhyt", "Marketing", DEFAULT, DEFAULT)]
+    rows = [(-1, "Ines", "Okafor", "Sales", DEFAULT, DEFAULT)]
     return t.staff.unionByName(ingest.literal_rows(t.spark, STAFF, rows, columns))
 
 
@@ -280,13 +281,19 @@ def add_default(t: Tables) -> DataFrame:
     )[0]
 
 
-@query("src_19_add_timestamp", "SELECT *, TIMESTAMP '2024-06-30 12:00:00' AS created_date FROM proj", "proj")
+@query("src_19_add_timestamp", "SELECT *, TRUE AS one_moment, TRUE AS of_the_change FROM proj", "proj")
 def add_timestamp(t: Tables) -> DataFrame:
     """All existing rows share the one moment of the change, whenever they are read."""
     spec = table("proj", "project_id bigint, project_name text, dept_id int, budget numeric(12,2),"
                  "status text, end_date date")
-    moment = "2024-06-30 12:00:00"
-    return alter(t.proj, spec, AddColumn(Field("created_date", "timestamp", default=moment)))[0]
+    clock = t.spark.range(1).select(F.current_timestamp().cast("string"))
+    before = clock.first()[0]
+    added = AddColumn(Field("created_date", "timestamp", default=Computed("current_timestamp()")))
+    changed = alter(t.proj, spec, added)[0]
+    after = clock.first()[0]
+    moments = changed.agg(F.count_distinct("created_date")).scalar()
+    between = F.col("created_date").between(F.lit(before).cast("timestamp_ntz"), F.lit(after).cast("timestamp_ntz"))
+    return changed.select("*", (moments == 1).alias("one_moment"), between.alias("of_the_change")).drop("created_date")
 
 
 @query("src_20_drop_column", "SELECT * EXCLUDE (hire_date) FROM staff", "staff")
@@ -344,5 +351,8 @@ def recreate(t: Tables) -> DataFrame:
     t.dept.write.option("path", new_folder(t.spark, name)).saveAsTable(name)
     t.spark.sql(f"DROP TABLE IF EXISTS {name}")
     changed = t.dept.withColumn("description", F.lit(None).cast("string"))
-    changed.write.option("path", new_folder(t.spark, name)).saveAsTable(name)
-    return t.spark.table(name)
+    path = new_folder(t.spark, name)
+    changed.write.option("path", path).saveAsTable(name)
+    schema = t.spark.table(name).schema
+    t.spark.sql(f"DROP TABLE {name}")  # the rows stay in their folder, the session's catalog is left as it was
+    return t.spark.read.schema(schema).parquet(path)

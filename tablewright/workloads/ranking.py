@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.scalars import average, money
 from tablewright.operators.aggregates import per_key
-from tablewright.operators.ranking import top_value
+from tablewright.operators.ranking import top_key, with_rows
 from tablewright.plans.prefix import rank_in_group
 from tablewright.sources.tables import Tables
 from tablewright.workloads.registry import query, sql_avg
@@ -69,7 +69,8 @@ def rank_with_average(t: Tables) -> DataFrame:
     "emp dept",
 )
 def top_row(t: Tables) -> DataFrame:
-    best = per_key(t.emp, "dept_id", highest_paid_employee=top_value("emp_name", "salary", "emp_id"))
+    tops = per_key(t.emp, "dept_id", top=top_key(t.emp, "salary", "emp_id"))
+    best = with_rows(tops, "top", t.emp, "emp_id", highest_paid_employee="emp_name")
     return t.dept.select("dept_id", "dept_name").join(best, "dept_id", "left")
 
 
@@ -87,16 +88,14 @@ def top_row(t: Tables) -> DataFrame:
     "emp",
 )
 def group_summary(t: Tables) -> DataFrame:
-    return (
-        t.emp.groupBy("dept_id")
-        .agg(
-            F.count("*").alias("total_employees"),
-            average("salary").alias("average_salary"),
-            top_value("emp_name", "salary", "emp_id").alias("top"),
-            money(F.greatest(F.max("salary"), F.lit(0))).alias("department_max_salary"),
-            money(F.least(F.min("salary"), F.lit(1000000))).alias("department_min_salary"),
-        )
-        # a NULL group equals no row, so it has no highest paid employee
-        .withColumn("highest_paid_employee", F.when(F.col("dept_id").isNotNull(), F.col("top")))
-        .drop("top")
+    groups = t.emp.groupBy("dept_id").agg(
+        F.count("*").alias("total_employees"),
+        average("salary").alias("average_salary"),
+        top_key(t.emp, "salary", "emp_id").alias("top"),
+        money(F.greatest(F.max("salary"), F.lit(0))).alias("department_max_salary"),
+        money(F.least(F.min("salary"), F.lit(1000000))).alias("department_min_salary"),
     )
+    named = with_rows(groups, "top", t.emp, "emp_id", highest_paid_employee="emp_name")
+    # a NULL group equals no row, so it has no highest paid employee
+    known = F.when(F.col("dept_id").isNotNull(), F.col("highest_paid_employee"))
+    return named.withColumn("highest_paid_employee", known)

@@ -1,14 +1,18 @@
 """Inserts, updates and deletes: one table through a whole script of changes."""
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tablewright.operators import changes, subqueries
 from tablewright.operators.aggregates import per_key
+from tablewright.operators.quality import IntegrityError
+from tablewright.operators.ranking import top_key
+from tablewright.plans.views import TableView
 from tablewright.sources import ingest
-from tablewright.sources.spec import DEFAULT, SetDefault, alter, table
+from tablewright.sources.spec import DEFAULT, Check, ForeignKey, SetDefault, alter, references, table
 from tablewright.sources.store import VersionedTable, empty_like
 from tests.fixtures import rows
 
@@ -172,3 +176,81 @@ def test_rows_without_a_key_get_one(spark):
     for wrong, message in ((new.withColumn("arrival", F.lit(None).cast("long")), "is NULL"), (new.union(new), "repeats")):
         with pytest.raises(Exception, match=message):
             ingest.append_keyed(old, wrong, spec, "arrival").collect()
+
+
+PEOPLE = table(
+    "people", "id bigint, name varchar(6), boss bigint, pay decimal(6,2) = 1", primary_key=("id",), unique=(("name",),),
+    checks=(Check("pay", "pay > 0"),), foreign_keys=(ForeignKey(("boss",), "people", ("id",), "cascade"),),
+)
+
+
+def people(spark, *bosses):
+    rows_ = [(i, f"p{i}", boss, 1) for i, boss in enumerate(bosses)]
+    return ingest.literal_rows(spark, PEOPLE, rows_)
+
+
+def test_cascade_along_a_hierarchy_and_a_ring(spark):
+    df = people(spark, None, 0, 1, 2, 3, None, 5, 8, 7, None, 9, 11)
+    left = lambda where: [r[0] for r in rows(changes.delete_parents({"people": (df, PEOPLE)}, "people", where)["people"])]
+    assert left(F.col("id") == 1) == [0, 5, 6, 7, 8, 9, 10, 11]
+    assert left(F.col("id") == 7) == [0, 1, 2, 3, 4, 5, 6, 9, 10, 11]  # 7 and 8 report to each other
+    assert left(F.col("id") == 11) == list(range(11))  # reports to itself
+    assert left(F.col("id").isin(0, 9)) == [5, 6, 7, 8, 11]
+    assert left(F.col("id") == 99) == list(range(12)) and left(F.lit(True)) == []
+
+
+def test_cascade_between_two_tables_in_a_cycle(spark):
+    a = table("a", "a int, b int", primary_key=("a",), foreign_keys=(ForeignKey(("b",), "b", ("b",), "cascade"),))
+    b = table("b", "b int, a int", primary_key=("b",), foreign_keys=(ForeignKey(("a",), "a", ("a",), "cascade"),))
+    c = table("c", "a int", foreign_keys=(references("a", a, "set null"),))
+    made = {
+        "a": (ingest.literal_rows(spark, a, [(1, None), (2, 10), (3, 11)]), a),
+        "b": (ingest.literal_rows(spark, b, [(10, 1), (11, 2), (12, None)]), b),
+        "c": (ingest.literal_rows(spark, c, [(3,), (None,)]), c),
+    }
+    after = changes.delete_parents(made, "a", F.col("a") == 1)
+    assert rows(after["a"]) == [] and rows(after["b"]) == [(12, None)] and rows(after["c"]) == [(None,), (None,)]
+    with pytest.raises(ValueError, match="primary key"):
+        changes.delete_parents({**made, "a": (made["a"][0], replace(a, primary_key=()))}, "a", F.col("a") == 1)
+
+
+def test_insert_keeps_the_rules(spark, tmp_path):
+    store = VersionedTable(spark, str(tmp_path / "t"))
+    add = lambda *values: changes.insert(store, ingest.literal_rows(spark, PEOPLE, values), PEOPLE)
+    assert add((1, "a", None, 1), (2, "b", 1, 1)) == 1  # a boss may come with the same rows
+    for bad in [(1, "c", None, 1)], [(3, "a", None, 1)], [(3, "c", 9, 1)], [(3, "c", None, 0)], [(3, "too long", None, 1)], \
+            [(None, "c", None, 1)], [(3, "c", None, 1), (3, "d", None, 1)], [(3, "c", None, 1), (4, "d", 9, 1)]:
+        with pytest.raises(IntegrityError):
+            add(*bad)
+    assert store.version() == 1 and store.read().count() == 2
+    assert add((3, "c", 2, 1)) == 2 and changes.insert(store, spark.range(4, 5), PEOPLE) == 3
+    assert rows(store.read(), "id", "pay")[-1] == (4, 1)
+
+
+def test_writes_through_views(spark, tmp_path):
+    store = VersionedTable(spark, str(tmp_path / "t"))
+    store.write(people(spark, None, 0, 0))
+    view = TableView(store, PEOPLE, ["id", "name", "boss"], F.col("boss") == 0, checked=True)
+    free = TableView(store, PEOPLE, ["id", "name", "boss"], F.col("boss") == 0)
+    columns = table("v", "id bigint, name varchar(6), boss bigint")
+    for row in (8, "x", 1), (8, "x", None), (2, "x", 0):  # outside, outside, key taken
+        with pytest.raises(IntegrityError):
+            view.insert(ingest.literal_rows(spark, columns, [row]))
+    with pytest.raises(IntegrityError):
+        view.update({"boss": F.lit(None)}, F.col("id") == 1)
+    with pytest.raises(ValueError, match="no column"):
+        view.update({"pay": F.lit(2)}, F.lit(True))
+    assert store.version() == 1
+    view.insert(ingest.literal_rows(spark, columns, [(8, "x", 0)]))
+    view.update({"name": F.lit("z")}, F.col("id") < 2)
+    assert rows(view.read()) == [(1, "z", 0), (2, "p2", 0), (8, "x", 0)] and rows(store.read(), "name")[0] == ("p0",)
+    free.update({"boss": F.lit(1)}, F.col("id") == 8)
+    assert rows(view.read(), "id") == [(1,), (2,)]
+
+
+def test_top_key_orders_nulls_ties_and_signs(spark):
+    data = [(1, -3, "1.50"), (1, -7, "1.50"), (1, 9, None), (2, 5, None), (2, 4, None), (3, 2**63 - 1, "-99.99"),
+            (3, -(2**63), "-99.99"), (4, -(2**63), "0.01"), (4, 1, "0.00"), (5, 2**63 - 1, "9.00")]
+    df = spark.createDataFrame(data, "g int, k long, s string").withColumn("s", F.col("s").cast("decimal(18,2)"))
+    got = df.groupBy("g").agg(top_key(df, "s", "k").alias("k"))
+    assert rows(got) == [(1, -7), (2, 4), (3, -(2**63)), (4, -(2**63)), (5, 2**63 - 1)]

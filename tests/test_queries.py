@@ -29,14 +29,14 @@ def test_entry(spark):
     assert entry.entry(spark).count() == 25
 
 
-def test_plans_have_no_products_or_python(spark):
+def test_plans_have_no_products_sorted_groups_or_python(spark):
     """Also with broadcasts off, as they are when the tables are large."""
     for threshold in ("10MB", "-1"):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
         try:
             for key, plan in QUERIES.items():
                 text = plan(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
-                assert not re.search("NestedLoop|CartesianProduct|EvalPython|InPandas", text), key
+                assert not re.search("NestedLoop|CartesianProduct|EvalPython|InPandas|SortAggregate", text), key
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -61,6 +61,14 @@ def test_children_are_summed_before_the_join(spark):
         assert above.rindex("partial_count") > above.rindex("SortMergeJoin")
 
 
+def test_queries_leave_no_table_or_view(spark):
+    for key in QUERIES:
+        if key.startswith(("view_", "src_25")):
+            QUERIES[key](spark, SMALL)
+    made = ("dept_", "employee", "project_", "high_", "top_", "temp_", "it_", "hr_", "finance_")
+    assert not [x.name for x in spark.catalog.listTables() if x.name.startswith(made)]
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     text = plan_of(spark, "dq_07_domain")
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in text

@@ -7,8 +7,9 @@ where the second term falls below zero the step goes up it instead, so that hidd
 among the unlabelled are not fitted as negatives.
 
 Training takes a sample bounded by ``POSITIVES`` and ``UNLABELLED`` documents, drawn by a hash
-of the id; the driver gets the sample's feature numbers only. All counts are over whole texts,
-and every document is scored in one pass; the weights (1 MB) go to every task.
+of the id, one text for each id, so that an id which many rows share cannot fill it; the driver
+gets the sample's feature numbers only. All counts are over whole texts, and every document is
+scored in one pass; the weights (1 MB) go to every task.
 
 Defined cases: null and empty texts have no features and score by the bias alone; equal rows
 get equal scores; documents without an id are scored and not learnt from; null labels are
@@ -57,7 +58,7 @@ def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             stops = np.searchsorted(owner, np.arange(int(owner.max(initial=-1)) + 2))
             for i in range(len(stops) - 1):
                 out[first + i] = found[stops[i] : stops[i + 1]]
-        yield pd.DataFrame({"positive": batch["positive"], "found": out})
+        yield batch[["doc_id", "positive"]].assign(found=out)
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> tuple[pd.DataFrame, float]:
@@ -73,10 +74,15 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[pd.DataFrame, float]:
 
     positives = docs.join(marks.filter("toxic = 1"), F.col("doc_id") == F.col("id")).filter(drawn(1, POSITIVES, n))
     unlabelled = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & drawn(2, UNLABELLED, total))
-    both = positives.select("text", F.lit(True).alias("positive")).unionAll(
-        unlabelled.select("text", F.lit(False).alias("positive"))
+    both = positives.select("doc_id", "text", F.lit(True).alias("positive")).unionAll(
+        unlabelled.select("doc_id", "text", F.lit(False).alias("positive"))
     )
-    return both.mapInPandas(featured, "positive boolean, found array<int>").toPandas(), n / max(known, 1)
+    # repeated rows of an id become one in each task before the shuffle
+    both = both.groupBy("doc_id", "positive").agg(F.min("text").alias("text"))
+    kind = dict(docs.dtypes)["doc_id"]
+    rows = both.mapInPandas(featured, f"doc_id {kind}, positive boolean, found array<int>").toPandas()
+    # in one order, so that a run adds up like any other
+    return rows.sort_values(["positive", "doc_id"], ignore_index=True), n / max(known, 1)
 
 
 def telling(in_positives: np.ndarray, in_others: np.ndarray, n: int, u: int) -> np.ndarray:

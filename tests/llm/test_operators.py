@@ -298,6 +298,18 @@ def test_no_positive_example(spark, hard):
     assert {r["predicted"] for r in toxicity.judge(docs, labels).collect()} == {0}
 
 
+def test_an_id_that_many_rows_share_is_learnt_once(spark):
+    rows = [(0, f"idiot {i}") for i in range(3000)] + [(i, f"idiot {i}" if i % 9 == 0 else f"calm {i}") for i in range(1, 900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 9 == 0)) for i in range(900)], "doc_id long, toxic int")
+    learnt, prior = toxicity.sample(docs, labels)
+    assert not learnt.duplicated(["positive", "doc_id"]).any() and 0.1 < prior < 0.12
+    want = {r["doc_id"]: r["score"] for r in toxicity.judge(docs.repartition(1), labels).collect()}
+    got = {r["doc_id"]: r["score"] for r in toxicity.judge(docs.repartition(7, "text"), labels).collect()}
+    assert want.keys() == got.keys() and all(abs(want[d] - got[d]) < 1e-9 for d in want if d)
+    assert min(got[i] for i in range(9, 900, 9)) > max(got[i] for i in range(1, 900) if i % 9)
+
+
 # op9
 
 

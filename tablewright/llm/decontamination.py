@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import bind, lower_ascii, split_words, text_key
 
 WINDOW = 10
-#: The largest benchmark that is broadcast, in bytes of its distinct windows.
+#: The largest benchmark that is broadcast, in bytes of its distinct windows and their items.
 BROADCAST_BYTES = 64 << 20
 #: Words of a document from which windows are made at once.
 BLOCK = 2048
@@ -92,8 +92,10 @@ def document_windows(docs: DataFrame, sizes: list[int]) -> DataFrame:
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, key, rows (how many equal rows), n_words, hits (word positions) and items."""
     grams = benchmark_windows(benchmark, window)
-    size = grams.groupBy("size").agg(F.count("*").alias("n"), F.sum(F.octet_length("gram")).alias("bytes")).collect()
-    if sum(64 * r["n"] + 2 * r["bytes"] for r in size) <= BROADCAST_BYTES:
+    # a window of many items has a row as long as their list
+    items = F.octet_length(F.concat_ws("", "items")) + 16 * F.size("items")
+    size = grams.groupBy("size").agg(F.count("*").alias("n"), F.sum(2 * F.octet_length("gram") + items).alias("bytes")).collect()
+    if sum(64 * r["n"] + r["bytes"] for r in size) <= BROADCAST_BYTES:
         grams = F.broadcast(grams)
     found = (
         document_windows(docs, sorted(r["size"] for r in size))

@@ -241,6 +241,20 @@ def test_spans_are_cut(spark, hard, monkeypatch):
     assert clean == 0
 
 
+def test_items_of_one_text_count_for_the_broadcast(spark, monkeypatch):
+    text = "one two three four five six seven eight nine ten"
+    bench = spark.range(5000).selectExpr("id AS item_id", f"'{text}' AS text")
+    docs = spark.createDataFrame([(1, f"so {text} it is"), (2, "none of it")], "doc_id long, text string")
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 10_000)  # the window alone is 48 bytes
+    found = decontamination.report(docs, bench)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in found.collect()} == {1: (10, 5000), 2: (0, 0)}
+
+
 # op7
 
 
@@ -360,6 +374,9 @@ def test_regions_split_by_pivots_and_in_blocks(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     want = brute_components(rows, 85, 4)
     assert Counter(map(tuple, jaccard_join.report(df, region=2000).collect())) == want
+    with monkeypatch.context() as m:
+        m.setattr(jaccard_join, "PIVOTS", 0)  # as if none was drawn
+        assert Counter(map(tuple, jaccard_join.report(df, region=2000).collect())) == want
     monkeypatch.setattr(jaccard_join, "MOST_SPLITS", 0)
     assert Counter(map(tuple, jaccard_join.report(df, region=2000).collect())) == want
 

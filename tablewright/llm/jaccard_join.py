@@ -197,7 +197,9 @@ def split(rows: DataFrame, sizes: DataFrame, percent: int, turn: int) -> tuple[D
     """Links with pivots, and the Voronoi regions with their boundaries replicated in."""
     r = 1 - percent / 100
     draw = F.pmod(F.xxhash64("cls", F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)
-    pivots = rows.join(sizes, "region").filter(draw < PIVOTS / F.col("members"))
+    # the least class is one as well, so that no region is without
+    drawn = (draw < PIVOTS / F.col("members")) | (F.col("cls") == F.col("least"))
+    pivots = rows.join(sizes, "region").filter(drawn)
     pivots = pivots.select("region", F.col("cls").alias("pivot"), F.col("n").alias("pn"), F.col("shingles").alias("ps"))
     common = F.size(F.array_intersect("shingles", "ps"))
     near = written(
@@ -235,9 +237,10 @@ def links(docs: DataFrame, listed: DataFrame, percent: int, words: int, region:
     rows = placed.join(sets.dropDuplicates(["cls"]), "cls").select("region", "cls", "n", "shingles")
     out, names = [], ["region", "cls", "n", "shingles"]
     for turn in range(MOST_SPLITS + 1):
-        sizes = written(
-            placed.groupBy("region").agg(F.count("*").alias("members"), F.sum("n").alias("shingles_in")), "region-sizes"
+        sizes = placed.groupBy("region").agg(
+            F.count("*").alias("members"), F.sum("n").alias("shingles_in"), F.min("cls").alias("least")
         )
+        sizes = written(sizes, "region-sizes")
         large = sizes.filter(F.col("shingles_in") > region)
         small = rows.join(large, "region", "left_anti")
         out.append(written(small_links(small, percent, region), "region-links"))

@@ -273,32 +273,38 @@ def links(docs: DataFrame, listed: DataFrame, percent: int, words: int, region:
 
 
 def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, region: int = REGION) -> DataFrame:
-    """A row for each row of ``docs``: doc_id, key (text hash), n_shingles, component_id."""
+    """A row for each row of ``docs``: doc_id, key (text hash), n_shingles, component_id, root.
+
+    ``root`` is the least class of the component, which tells components apart whatever ids they
+    have; null where there are no words.
+    """
     listed = written(heads(docs, percent, words), "heads")
     found = components(links(docs, listed, percent, words, region)).withColumnRenamed("node", "cls")
     of_class = listed.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
     labelled = of_class.join(found, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     of_root = labelled.groupBy("root").agg(F.min("least").alias("component"))
-    of_class = labelled.join(of_root, "root").select("cls", "component")
+    of_class = labelled.join(of_root, "root").select("cls", "component", "root")
     rows = listed.select("doc_id", "key", "n", F.when(F.col("n") > 0, F.col("cls")).alias("cls"))
     joined = rows.join(of_class, "cls", "left")
-    return joined.select("doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    component = F.coalesce("component", "doc_id").alias("component_id")
+    return joined.select("doc_id", "key", F.col("n").alias("n_shingles"), component, "root")
 
 
 def report(docs: DataFrame, **settings: int) -> DataFrame:
-    return join(docs, **settings).drop("key")
+    return join(docs, **settings).drop("key", "root")
 
 
 def deduplicated(docs: DataFrame, **settings: int) -> DataFrame:
     """``docs`` with one document of each component: of its smallest id, the first text by hash.
 
-    Equal rows of that id count as one document; documents without words stay. All columns stay.
+    Components whose documents share an id, or have none, are told apart by their root. Equal rows
+    of that id count as one document; documents without words stay. All columns stay.
     """
     found = join(docs.select("doc_id", "text"), **settings).filter(
         F.col("component_id").eqNullSafe(F.col("doc_id")) | (F.col("n_shingles") == 0)
     )
-    kept = found.groupBy("doc_id", (F.col("n_shingles") > 0).alias("has")).agg(F.min("key").alias("first"))
-    kept = kept.filter("has").select(F.col("doc_id").alias("kept_id"), F.col("first").alias("kept_key"))
+    kept = found.filter("n_shingles > 0").groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("x"))
+    kept = kept.select(F.col("x.doc_id").alias("kept_id"), F.col("x.key").alias("kept_key"))
     empty = found.filter("n_shingles = 0").select(F.col("doc_id").alias("kept_id"), F.col("key").alias("kept_key")).distinct()
     kept = kept.unionAll(empty)
     kept = kept.select(F.xxhash64("kept_id").alias("id"), F.col("kept_key").alias("key"))

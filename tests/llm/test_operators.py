@@ -381,6 +381,34 @@ def test_regions_split_by_pivots_and_in_blocks(spark, monkeypatch):
     assert Counter(map(tuple, jaccard_join.report(df, region=2000).collect())) == want
 
 
+def brute_groups(texts, percent, size):
+    """The texts as groups of linked ones."""
+    ids = [(i, t) for i, t in enumerate(texts)]
+    groups = defaultdict(set)
+    for (i, _, least), k in brute_components(ids, percent, size).items():
+        assert k == 1
+        groups[least].add(texts[i])
+    return list(groups.values())
+
+
+def test_one_text_of_each_component_whatever_its_id(spark):
+    """Documents without an id, and unlinked ones that share an id: each group keeps one text."""
+    rng = random.Random(21)
+    rows, kinds = [], (None, 4, 5, None)
+    for k in range(24):
+        text = prose(rng, 90)
+        for copy in range(1 + k % 3):
+            rows.append((kinds[k % 4] if copy == 0 or k % 2 else 100 + k, text + f" end{copy}"))
+    rows += [rows[0], (None, None), (None, ""), (4, rows[1][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    left = [t for (_, t) in jaccard_join.deduplicated(docs, percent=80, words=5).collect()]
+    groups = brute_groups(sorted({t for _, t in rows if t}), 80, 5)
+    assert len(groups) == 24 and all(sum(t in g for t in left) == 1 for g in groups)
+    assert len(left) == len(groups) + 2
+    stage = dict(corpus_pipeline.STAGES)["near duplicates"]
+    assert sorted(t or "" for (_, t) in stage(spark, docs, "").collect()) == sorted(t or "" for t in left)
+
+
 def test_connected_components(spark):
     rng = random.Random(1)
     pairs = [(i, i + 1) for i in range(60)] + [(100 + rng.randint(0, 50), 100 + rng.randint(0, 50)) for _ in range(40)] + [(7, 7)]

@@ -28,9 +28,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that occur again are cut out of the texts."""
+    """Passages of over 50 words, or of 400 bytes where words are longer, that occur again are cut out of the texts."""
     ship(spark)
-    return substrings.removed(docs)
+    return substrings.removed(docs, (substrings.BYTES, substrings.WORDS))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

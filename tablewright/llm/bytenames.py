@@ -28,8 +28,8 @@ def doubled(names: np.ndarray, size: int) -> np.ndarray:
 
 
 def names(data: np.ndarray, size: int) -> np.ndarray:
-    """Names of all strings of ``size`` bytes, by the binary digits of ``size``."""
-    power, at, out, done = VALUE[data], 1, None, 0
+    """Names of all strings of ``size`` bytes, or of ``size`` names, by the binary digits of ``size``."""
+    power, at, out, done = VALUE[data] if data.dtype == np.uint8 else data, 1, None, 0
     while True:
         if size & at:
             out = power if out is None else paired(out[: len(data) - done - at + 1], power[done:])

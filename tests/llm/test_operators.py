@@ -293,6 +293,50 @@ def test_passages_of_periods_and_cuts(spark, monkeypatch):
     assert Counter(map(tuple, substrings.report(df).collect())) == brute_passages(list(enumerate(texts)), 400)
 
 
+def brute_word_passages(rows, length):
+    """What is left of each text without the passages of ``length`` words that occur again."""
+    seen, found = Counter(), []
+    for _, t in rows:
+        at = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())]
+        words = [(t or "").encode()[a:z].lower() for a, z in at]
+        found.append((at, [tuple(words[i : i + length]) for i in range(len(words) - length + 1)]))
+        seen.update(found[-1][1])
+    out = []
+    for (d, t), (at, windows) in zip(rows, found):
+        data = (t or "").encode()
+        gone = bytearray(len(data))
+        for i, w in enumerate(windows):
+            if seen[w] > 1:
+                gone[at[i][0] : at[i + length - 1][1]] = b"\1" * (at[i + length - 1][1] - at[i][0])
+        out.append((d, hashlib.sha256(bytes(b for b, g in zip(data, gone) if not g)).hexdigest()))
+    return Counter(out)
+
+
+def test_passages_of_words_equal_brute_force(spark, docs):
+    """Repeats of 49 to 62 words at all offsets, long texts, periods, white space that differs."""
+    rng = random.Random(6)
+    part = prose(rng, 62).split(" ")
+    rows = list(docs)
+    for k in range(12):
+        for j in (0, 1, 2):
+            rows.append((1000 + 3 * k + j, f"{prose(rng, 20 + k)} {' '.join(part[k : len(part) - j])}\n{prose(rng, 30)}"))
+    rows += [(2000, " \n ".join(part).upper()), (2001, "a b c " * 300), (2002, f"{prose(rng, 9000)} {' '.join(part)}"), (2003, "x " * 50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = substrings.report(df, (substrings.WORDS,)).select("doc_id", "kept_sha256").collect()
+    assert Counter(map(tuple, got)) == brute_word_passages(rows, 51)
+
+
+def test_pipeline_cuts_short_passages_of_over_50_words(spark):
+    rng = random.Random(7)
+    words = [rng.choice("abcdefgh") + rng.choice("abcdefgh") * (i % 3) for i in range(51)]
+    rare, long = " ".join(words), "q" * 200 + " " + "z" * 250
+    texts = [f"{prose(rng, 30)} {x} {prose(rng, 30)}" for x in (rare, rare, " ".join(words[:50]), long, long)]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    left = {r["doc_id"]: r["text"] for r in dict(corpus_pipeline.STAGES)["repeated passages"](spark, docs, "").collect()}
+    assert len(rare) < 400 and all(rare not in left[i] and len(left[i]) == len(texts[i]) - len(rare) for i in (0, 1))
+    assert left[2] == texts[2] and all(long not in left[i] for i in (3, 4))
+
+
 # op8
 
 

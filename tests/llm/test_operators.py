@@ -164,6 +164,17 @@ def test_frequent_lines_go(spark, hard):
     assert all(r["n_chars"] == len(r["text"]) for r in kept if "\n" in r["text"])
 
 
+def test_pipeline_cuts_boilerplate_of_large_hosts(spark):
+    """One line in 30 texts of a host of 400, another in 20: only the first is over the count."""
+    rng = random.Random(8)
+    often, seldom = "All rights reserved by this host", "Some rights reserved by this host"
+    rows = [(i, (often if i < 30 else seldom if i < 50 else "own") + f"\n{prose(rng, 60)}", "h") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = dict(corpus_pipeline.STAGES)["quality"](spark, docs, "").collect()
+    found = Counter(r["text"].split("\n")[0] for r in left if "\n" in r["text"])
+    assert len(left) == 400 and found[often] == 0 and found[seldom] == 20
+
+
 # op3
 
 

@@ -1,10 +1,13 @@
-"""URL filter: listed rules by host and path, and association rules mined from labels by FP-growth.
+"""URL filter: listed rules by host and path, and association rules mined from labels, level by level.
 
-Everything is DataFrame functions and Spark ML's FP-growth, which runs in the JVM. A URL has
-at most ``MAX_TOKENS`` tokens (named parts: domain levels, first path parts, extension, query
-names), so a group of equal URLs can make no more than a bounded number of itemsets. Labelled
-URLs with the token of their label are the transactions. Rules for a label are kept above a
-support and a confidence, and only if no rule with fewer of the same tokens does as well.
+Everything is DataFrame functions. A URL's tokens are all its named parts: domain levels, path
+parts, extension, query names. Labelled URLs are the transactions. Rules for a label are kept
+above a support (a share of the labelled URLs and a number of them) and a confidence.
+
+Only rules that can be the surest one for some URL are mined, so that long URLs do not make every
+subset of their parts an itemset, and nothing is cut from a URL. Tokens below the support go;
+tokens that always occur together count as one; a set of tokens is not extended if it is always
+bad, or if it occurs as often as a set with a token less, which then says the same.
 
 Matching is an inverted index: each rule is filed under the rarest of its tokens, a URL's
 tokens are joined with it, and a rule counts when all its tokens are there. Spark broadcasts
@@ -17,7 +20,6 @@ are not mined; without labels nothing is mined and the listed rules still hold.
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +34,10 @@ RULES = [
     ("block", "com", "/de/"),
 ]
 MIN_SUPPORT = 0.0005
+#: Bad pages that a rule rests on, at least, however few are labelled.
+MIN_PAGES = 5
 MIN_CONFIDENCE = 0.5
 MIN_LIFT = 1.5
-MAX_TOKENS = 12
-BAD = "label=bad"
 
 
 def parts(url: Column) -> Column:
@@ -57,19 +59,19 @@ def listed(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Col
 
 
 def tokens(url: Column, host: Column, path: Column) -> Column:
-    """At most MAX_TOKENS named parts of a URL; digits become # so that ids do not tell pages apart."""
+    """The named parts of a URL; digits become # so that ids do not tell pages apart."""
 
     def plain(x: Column) -> Column:
         return F.regexp_replace(lower_ascii(x), "[0-9]+", "#")
 
     labels = F.filter(F.split(host, r"\."), lambda x: x != "")
-    levels = F.transform(F.slice(F.reverse(labels), 1, 4), lambda x, i: F.concat(F.lit("host"), i, F.lit("="), x))
+    levels = F.transform(F.reverse(labels), lambda x, i: F.concat(F.lit("host"), i, F.lit("="), x))
     steps = F.filter(F.split(path, "/"), lambda x: x != "")
-    named = F.transform(F.slice(steps, 1, 3), lambda x, i: F.concat(F.lit("path"), i, F.lit("="), plain(x)))
+    named = F.transform(steps, lambda x, i: F.concat(F.lit("path"), i, F.lit("="), plain(x)))
     ending = F.regexp_extract(path, r"\.([A-Za-z0-9]{1,5})$", 1)
     query = F.regexp_extract(url, r"\?([^#]*)", 1)
     asked = F.transform(
-        F.slice(F.array_distinct(F.filter(F.split(query, "&"), lambda x: x != "")), 1, 3),
+        F.array_distinct(F.filter(F.split(query, "&"), lambda x: x != "")),
         lambda x: F.concat(F.lit("query="), plain(F.regexp_extract(x, "^([^=]*)", 1))),
     )
     more = F.array(
@@ -77,7 +79,7 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
         F.when(F.instr(url, "#") > 0, F.lit("fragment")),
     )
     found = F.array_distinct(F.array_compact(F.concat(levels, named, asked, more)))
-    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.slice(found, 1, MAX_TOKENS))
+    return F.when(host == "", F.array().cast("array<string>")).otherwise(found)
 
 
 def with_parts(pages: DataFrame) -> DataFrame:
@@ -91,29 +93,58 @@ def mine(
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
     min_lift: float = MIN_LIFT,
-) -> DataFrame:
-    """tokens, confidence: pruned rules from tokens to a bad label (low quality or toxic)."""
+) -> tuple[DataFrame, DataFrame]:
+    """token, same: the class of each frequent token; and tokens, confidence: rules from classes to a bad label."""
     bad = F.greatest((F.col("quality") == 0).cast("int"), (F.col("toxic") == 1).cast("int"))
     marked = labels.groupBy(F.col("doc_id").alias("page_id")).agg(F.max(bad).alias("bad"))
     known = urls.join(marked.filter("bad IS NOT NULL"), "page_id").filter(F.size("tokens") > 0)
-    items = F.when(F.col("bad") == 1, F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens"))
-    baskets = written(known.select(items.alias("items")), "url-baskets")
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    rules = (
-        model.associationRules.filter((F.get("consequent", F.lit(0)) == BAD) & (F.col("lift") >= min_lift))
-        .select(F.array_sort("antecedent").alias("tokens"), "confidence")
-    )
-    # a rule is needless if it follows from one with a token less that is as sure
-    rules = written(rules, "url-rules")
-    shorter = rules.select(
-        "tokens", "confidence", F.explode(F.transform("tokens", lambda x: F.array_remove("tokens", x))).alias("part")
-    ).join(rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("sure")), "part")
-    needless = shorter.filter(F.col("sure") >= F.col("confidence")).select("tokens").distinct()
-    return rules.join(needless, "tokens", "left_anti")
-
-
-def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    baskets = known.groupBy("tokens").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
+    baskets = written(baskets.withColumn("basket", F.xxhash64("tokens")), "url-baskets")
+    total, all_bad = baskets.agg(F.sum("n"), F.sum("bad")).first()
+    least = max(min_support * (total or 0), MIN_PAGES)
+    sure = max(min_confidence, min_lift * (all_bad or 0) / (total or 1))
+    counts = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
+    marks = [F.bit_xor("basket").alias("x"), F.sum(F.pmod("basket", F.lit(1 << 31))).alias("y"), F.count("*").alias("z")]
+    held = baskets.select("basket", "n", "bad", F.explode("tokens").alias("token"))
+    frequent = written(held.groupBy("token").agg(*counts, *marks).filter(F.col("bad") >= least), "url-tokens")
+    first = frequent.groupBy("x", "y", "z").agg(F.min("token").alias("same"))
+    classes = written(frequent.join(first, ["x", "y", "z"]).select("token", "same"), "url-classes")
+    held = held.join(classes.filter("token = same"), "token").select("basket", "n", "bad", "token")
+    held = written(held, "url-held")
+    # the baskets of each set of the level
+    inside = held.select("basket", "n", "bad", F.array("token").alias("tokens"))
+    level = written(inside.groupBy("tokens").agg(*counts), "url-level")
+    found = level
+    while True:
+        open_ = level.filter("bad < n").select("tokens", F.col("n").alias("of"))
+        size = F.size("tokens")
+        stem = open_.select(F.slice("tokens", 1, size - 1).alias("stem"), F.element_at("tokens", -1).alias("last"))
+        other = stem.withColumnRenamed("last", "token")
+        longer = stem.join(other, "stem").filter("last < token")
+        longer = longer.select(F.concat("stem", F.array("last")).alias("tokens"), "token")
+        # every set with a token less must be open; the least of their counts must be undercut
+        whole = F.array_append("tokens", F.col("token"))
+        parts_ = longer.select(whole.alias("whole"), F.explode(F.transform(whole, lambda x: F.array_remove(whole, x))).alias("part"))
+        fits = parts_.join(open_.withColumnRenamed("tokens", "part"), "part").groupBy("whole")
+        fits = fits.agg(F.count("*").alias("k"), F.min("of").alias("of")).filter(F.col("k") == F.size("whole"))
+        wanted = fits.select("whole", "of", F.slice("whole", 1, F.size("whole") - 1).alias("tokens"), F.element_at("whole", -1).alias("token"))
+        wanted = written(wanted, "url-candidates")
+        if not wanted.head(1):
+            break
+        inside = inside.join(wanted, "tokens").join(held.select("basket", "token"), ["basket", "token"])
+        inside = inside.select("basket", "n", "bad", F.col("whole").alias("tokens"), "of")
+        level = inside.groupBy("tokens").agg(*counts, F.min("of").alias("of"))
+        level = written(level.filter((F.col("bad") >= least) & (F.col("n") < F.col("of"))).drop("of"), "url-level")
+        inside = written(inside.join(level.select("tokens"), "tokens", "left_semi").drop("of"), "url-inside")
+        found = found.unionAll(level)
+    rules = found.select("tokens", (F.col("bad") / F.col("n")).alias("confidence"))
+    return classes, rules.filter(F.col("confidence") >= sure - 1e-12)
+
+
+def match(urls: DataFrame, classes: DataFrame, rules: DataFrame) -> DataFrame:
     """url, confidence of the surest rule that fits: the URLs that a mined rule blocks."""
+    named = urls.select("url", F.explode("tokens").alias("token")).distinct().join(classes, "token")
+    urls = written(named.groupBy("url").agg(F.collect_set("same").alias("tokens")), "url-classes-held")
     frequency = urls.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     index = (
         rules.withColumn("id", F.xxhash64("tokens"))
@@ -136,7 +167,7 @@ def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]] = RULES, **limits: float) -> DataFrame:
     """A row for each page: host, path, the listed rule, the verdict, the surest mined rule."""
     urls = with_parts(pages)
-    blocked = match(urls, mine(urls, labels, **limits)).withColumnRenamed("url", "blocked_url")
+    blocked = match(urls, *mine(urls, labels, **limits)).withColumnRenamed("url", "blocked_url")
     by_list = bind(listed(F.col("host"), F.col("path"), rules), lambda x: x)
     method = F.when(F.col("confidence").isNotNull(), "block").otherwise("allow")
     joined = urls.join(blocked, F.col("url") == F.col("blocked_url"), "left").withColumn("listed", by_list)

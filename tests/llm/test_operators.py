@@ -235,6 +235,21 @@ def test_mined_rules_block(spark):
     assert {r["page_id"] for r in rows if r["verdict"] == "block"} == {i for i in range(120) if i % 3 == 0 and i % 2}
 
 
+def test_rules_on_deep_parts_of_long_urls(spark):
+    """The bad pages tell themselves by the sixth path part, host level or query name only; traps nest deep."""
+    urls = []
+    for i in range(120):
+        host, path, query = ["a"] * 6, ["p"] * 7, [f"q{j}=1" for j in range(5)]
+        if i % 3 == 0:
+            (host, path, query)[i // 3 % 3].__setitem__((0, 6, 4)[i // 3 % 3], ("ads", "ads", "ads=1")[i // 3 % 3])
+        urls.append((i, f"http://{'.'.join(host)}/{'/'.join(path)}?{'&'.join(query)}"))
+    urls += [(200 + i, "http://a.a/" + "t/" * (10 + i % 30)) for i in range(60)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    labels = [(i, int(i % 3 > 0), 0) for i in range(90)] + [(200 + i, 1, 0) for i in range(60)]
+    rows = url_filter.judge(pages, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert {r["page_id"] for r in rows if r["verdict"] == "block"} == {i for i in range(120) if i % 3 == 0}
+
+
 # op6
 
 

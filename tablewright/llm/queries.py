@@ -11,8 +11,11 @@ from tablewright.llm import (
     decontamination,
     importance,
     jaccard_join,
+    line_dedup,
+    merkle,
     packing,
     quality_rules,
+    spelling,
     sql,
     substrings,
     toxicity,
@@ -66,6 +69,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.report(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -79,6 +94,9 @@ QUERIES: dict[str, Query] = {
         op8_toxicity,
         op9_jaccard_join,
         op10_packing,
+        op11_line_dedup,
+        op12_spelling_variants,
+        op13_merkle_manifest,
     )
 }
 SQL: dict[str, str] = sql.SQL

@@ -96,3 +96,22 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS B
   coalesce(words.n, 0) > 0 AS contaminated
 FROM t LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
+
+SQL["op11_line_dedup"] = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+), x AS (
+  SELECT r, doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS p FROM t
+), k AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM x
+), shared AS (
+  SELECT key, max(doc_id) AS keeper FROM (SELECT DISTINCT key, doc_id FROM k WHERE length(key) >= 20)
+  GROUP BY key HAVING count(*) >= 3
+), told AS (
+  SELECT k.*, keeper IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS dropped FROM k LEFT JOIN shared USING (key)
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT dropped), '')) AS kept_sha256
+FROM told GROUP BY r
+"""

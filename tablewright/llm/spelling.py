@@ -204,12 +204,12 @@ def near_in_task(rows: pd.DataFrame) -> pd.DataFrame:
             here &= (apart < (size - tail)[a]) | (tail[a] == 0)
             a, b = a[here], b[here]
             near = pd.Series([words[i] for i in b], dtype=object)
-            parts.append(pd.DataFrame({"word": [words[i] for i in a], "near": near, "near_n": n[b]}))
+            parts.append(pd.DataFrame({"word": pd.Series([words[i] for i in a], dtype=object), "near": near, "near_n": n[b]}))
     pairs = pd.concat(parts) if parts else pd.DataFrame({"word": [], "near": [], "near_n": []})
     pairs = pairs.sort_values(["word", "near_n", "near"], ascending=[True, False, True])
     best = pairs.drop_duplicates("word").set_index("word")
     out = pairs.groupby("word").size().rename("n_near").to_frame().join(best)
-    return out.reset_index()[["word", "n_near", "near", "near_n"]]
+    return out.reset_index()[["word", "n_near", "near", "near_n"]].astype({"word": object, "near": object})
 
 
 def near_words(words: DataFrame, least_chars: int = LEAST_CHARS, limit: int = GROUP, task: int = TASK) -> DataFrame:

@@ -6,7 +6,8 @@ hinted here. What these functions add:
 * an outer join that preserves a dimension is split into a join that preserves the
   large side plus an anti join, because Spark cannot broadcast a preserved side and
   cannot split a hot key on the side it does not preserve;
-* the inner side of a semi or anti join is reduced to distinct keys first;
+* the inner side of a semi or anti join is reduced to distinct keys first, grouped so that
+  the join still shuffles both sides itself, which is what lets AQE split a hot key;
 * NULL keys, which match nothing, are spread over many tasks instead of hashing to one.
 """
 
@@ -24,9 +25,21 @@ def _pairs(on: str | list[str] | dict[str, str]) -> dict[str, str]:
     return dict(on) if isinstance(on, dict) else {c: c for c in on}
 
 
+def per_join_key(df: DataFrame, columns: list[str], *aggregates: Column) -> DataFrame:
+    """One row for each key value, for a join on the key whose other side may have a hot one.
+
+    AQE splits a join only where both sides come straight from a shuffle. An aggregate by the
+    join key would serve the join as it is partitioned, and stand in between. Grouped by the key
+    and a hash of it, its rows are shuffled once more, one for each key, and the join can be split.
+    """
+    extra = "__hash"
+    keyed = df.withColumn(extra, F.xxhash64(*columns)).groupBy(*columns, extra)
+    return keyed.agg(*(aggregates or [F.lit(True).alias("__one")])).drop(extra, "__one")
+
+
 def distinct_keys(df: DataFrame, columns: list[str]) -> DataFrame:
     """The distinct non-NULL key values; combined before the shuffle, so no key is hot."""
-    return df.select(*columns).dropna(subset=columns).distinct()
+    return per_join_key(df.select(*columns).dropna(subset=columns), columns)
 
 
 def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:

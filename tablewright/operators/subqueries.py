@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.joins import unmatched
+from tablewright.operators.joins import per_join_key
 
 
 def above_any(df: DataFrame, column: str, others: DataFrame, other: str) -> DataFrame:
@@ -18,14 +18,16 @@ def not_in(df: DataFrame, column: str, others: DataFrame, other: str) -> DataFra
     """``column NOT IN (others)`` with SQL's NULL rules.
 
     An empty set keeps all rows; a NULL in the set keeps none; a NULL ``column`` is
-    kept only by an empty set. The set is never broadcast as a whole: its two facts
-    come from one aggregate, which Spark runs once, and the rest is an anti join on
-    distinct keys.
+    kept only by an empty set. The set is never broadcast as a whole, and worked out once:
+    its two facts come from the same distinct values that the anti join uses. NULL is one of
+    them; comparing it as a value keeps the two plans equal, and the rows it matches go anyway.
     """
-    is_empty = others.agg(F.count("*") == 0).scalar()
-    has_null = others.agg(F.count("*") > F.count(other)).scalar()
-    kept = unmatched(df, others, {column: other})
-    return kept.filter(is_empty | (~has_null & F.col(column).isNotNull()))
+    value = "__value"
+    distinct = others.select(F.col(other).alias(value)).distinct()
+    facts = distinct.agg(F.struct(F.count("*").alias("n"), F.count(value).alias("known"))).scalar()
+    kept = df.join(distinct, F.col(column).eqNullSafe(F.col(value)), "left_anti")
+    none = facts["n"] == 0
+    return kept.filter(none | ((facts["n"] == facts["known"]) & F.col(column).isNotNull()))
 
 
 def single_value(
@@ -34,14 +36,11 @@ def single_value(
     """Add ``out``: the one ``value`` whose ``key`` equals ``on``, or NULL.
 
     A matched key with more than one row fails the job, as a scalar subquery does. ``found``
-    names a column that tells a matched NULL from no match.
+    names a column that tells a matched NULL from no match. Rows of a hot key in ``df`` are split.
     """
     count = "__count"
-    values = (
-        lookup.filter(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("__key"))
-        .agg(F.count("*").alias(count), F.first(value).alias(out))
-    )
+    known = lookup.filter(F.col(key).isNotNull()).select(F.col(key).alias("__key"), F.col(value).alias(out))
+    values = per_join_key(known, ["__key"], F.count("*").alias(count), F.first(out).alias(out))
     checked: Column = F.when(
         F.col(count) > 1, F.raise_error(F.concat(F.lit("more than one row for "), F.col(on).cast("string")))
     ).otherwise(F.col(out))

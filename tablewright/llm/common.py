@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import shutil
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import cache
 from pathlib import Path
 
@@ -45,13 +45,27 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return folder
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read from there: cuts its lineage."""
+def written(df: DataFrame, name: str, instead_of: Iterable[DataFrame] = ()) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read from there: cuts its lineage.
+
+    ``instead_of`` are tables of this function that nothing reads from now on; they are deleted.
+    """
     spark = df.sparkSession
     folder = scratch_folder(spark, name)
     df.write.parquet(folder)
+    out = spark.read.schema(df.schema).parquet(folder)
+    out.scratch_folder = folder
+    discarded(*instead_of)
     freed(spark)
-    return spark.read.schema(df.schema).parquet(folder)
+    return out
+
+
+def discarded(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing reads any more."""
+    for table_ in tables:
+        spark = table_.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table_.scratch_folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:

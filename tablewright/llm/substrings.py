@@ -17,9 +17,11 @@ windows. A cell is named by the units that all its windows share, and by its who
 leave by the first if unique, and are settled by the second if equal.
 Round 3: what is left are cells at the ends of repeats; their windows are named one by one.
 
-Names are compared within equal key names, so 128 bits decide. Every grouping combines before
-its shuffle and every join can be split, so hot passages and copies never gather in one task;
-text is shuffled by document only, and matches are intervals, never pairs.
+Names are compared within equal key names, so 128 bits decide; the strings themselves are not
+compared again. Every grouping combines before its shuffle and is dealt anew for the join that uses
+it, which AQE can split then, so hot passages and copies never gather in one task; text is shuffled
+by document only, and matches are intervals, never pairs. Each table of a round is deleted when the
+next one is written, and a measure leaves only its intervals.
 
 Defined cases: null and empty texts have no bytes; texts shorter than a window lose nothing;
 rows with equal id and text are two documents with equal texts; matches never cross documents.
@@ -37,9 +39,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.bytenames import AT_ONCE, doubled, names, paired, sliding_min
-from tablewright.llm.common import freed, text_key, written
+from tablewright.llm.common import text_key, written
 from tablewright.llm.words import AT_ONCE as BYTES_AT_ONCE
 from tablewright.llm.words import SPACE, U, word_hashes
+from tablewright.operators.joins import distinct_keys, per_join_key
 
 
 def bytes_of(rows: list[bytes]) -> Iterator[np.ndarray]:
@@ -151,7 +154,7 @@ ANCHORS = "k1 long, k2 long, start long, n int, before int, key long, whole long
 
 def in_documents(docs: DataFrame, items: DataFrame, name, schema: str, columns: list[str]) -> DataFrame:
     """``name`` applied to the texts that ``items`` lie in, with the items' columns as arrays."""
-    wanted = items.groupBy("k1", "k2").agg(*(F.collect_list(c).alias(c) for c in columns))
+    wanted = per_join_key(items, ["k1", "k2"], *(F.collect_list(c).alias(c) for c in columns))
     texts = docs.select("k1", "k2", F.col("text").cast("binary").alias("data"))
     return wanted.join(texts, ["k1", "k2"]).mapInPandas(name, schema)
 
@@ -219,42 +222,44 @@ WINDOWS = "k1 long, k2 long, key long, cell int, run long, many boolean, start l
 
 def several(rows: DataFrame, by: list[str]) -> DataFrame:
     """The groups of ``by`` in which two runs meet, or one that has copies; and the least run."""
-    met = rows.groupBy(*by).agg(F.min("run").alias("one"), F.max("run").alias("other"), F.max("many").alias("copied"))
-    return met.select(*by, "one", ((F.col("one") != F.col("other")) | F.col("copied")).alias("met"))
+    met = per_join_key(rows, by, F.min("run").alias("one"), F.max("run").alias("other"), F.max("many").alias("copied"))
+    return met.filter((F.col("one") != F.col("other")) | F.col("copied")).select(*by, "one")
 
 
 def repeated(docs: DataFrame, m: Measure = BYTES) -> DataFrame:
-    """k1, k2, start, n: runs of n windows (from the unit ``start`` on) that occur again."""
+    """k1, k2, start, n: runs of n windows (from the unit ``start`` on) that occur again; written."""
     docs = keyed(docs)
     texts = docs.select("k1", "k2", F.col("text").cast("binary").alias("data")).filter(F.octet_length("text") >= m.least)
     anchors = written(texts.mapInPandas(lambda x: find_anchors(x, m), ANCHORS), "anchors")
     runs = anchors.groupBy("key", "whole").agg(
         F.count("*").alias("copies"), F.min(F.struct("k1", "k2", "start", "n", "before")).alias("x")
     )
-    runs = written(runs.filter(F.col("copies") > 0), "runs")
+    runs = written(runs, "runs")
     copied = anchors.join(runs.filter("copies > 1").select("key", "whole"), ["key", "whole"], "left_semi")
-    met = runs.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    copied = written(copied.select("k1", "k2", "start", "n"), "copied", instead_of=[anchors])
+    met = per_join_key(runs, ["key"], F.count("*").alias("runs")).filter("runs > 1").select("key")
     open_ = runs.join(met, "key", "left_semi").select("x.*", "key", "whole", (F.col("copies") > 1).alias("many"))
     cells = in_documents(docs, open_, lambda x: find_cells(x, m), CELLS, ["start", "n", "before", "key", "whole", "many"])
-    cells = written(cells, "cells")
+    cells = written(cells, "cells", instead_of=[runs])
     # cells whose shared bytes meet another run, and of these the ones that are equal as a whole
-    by_core = several(cells.withColumn("many", F.lit(False)), ["key", "cell", "core"]).filter("met").drop("one", "met")
-    alive = written(cells.join(by_core, ["key", "cell", "core"], "left_semi"), "cells-alive")
+    by_core = several(cells.withColumn("many", F.lit(False)), ["key", "cell", "core"]).drop("one")
+    alive = written(cells.join(by_core, ["key", "cell", "core"], "left_semi"), "cells-alive", instead_of=[cells])
     by_all = several(alive.filter("full"), ["key", "cell", "all"]).withColumnRenamed("all", "as_all")
-    by_all = by_all.select(F.col("key").alias("as_key"), F.col("cell").alias("as_cell"), "as_all", "one", "met")
+    by_all = by_all.select(F.col("key").alias("as_key"), F.col("cell").alias("as_cell"), "as_all", "one")
     same = F.col("full") & (F.col("key") == F.col("as_key")) & (F.col("cell") == F.col("as_cell")) & (F.col("all") == F.col("as_all"))
-    told = written(alive.join(by_all, same, "left").withColumn("met", F.coalesce("met", F.lit(False))), "cells-told")
+    told = alive.join(by_all, same, "left").withColumn("met", F.col("one").isNotNull())
+    told = written(told.drop("as_key", "as_cell", "as_all"), "cells-told", instead_of=[alive])
     settled = told.filter(F.col("met") & ~F.col("many"))
     left = told.filter(~F.col("met") | (F.col("run") == F.col("one"))).withColumn("many", F.col("many") | F.col("met"))
     # only where a cell that is not settled may meet others
-    unsettled = left.filter(~F.col("many")).select("key", "cell", "core").distinct()
+    unsettled = distinct_keys(left.filter(~F.col("many")), ["key", "cell", "core"])
     left = left.join(unsettled, ["key", "cell", "core"], "left_semi")
     windows = in_documents(docs, left, lambda x: find_windows(x, m), WINDOWS, ["start", "n", "key", "cell", "run", "many"])
     windows = written(windows, "windows")
-    again = several(windows, ["key", "cell", "name"]).filter("met").select("key", "cell", "name")
-    ends = windows.filter(~F.col("many")).join(again, ["key", "cell", "name"], "left_semi")
-    out = [x.select("k1", "k2", "start", F.col("n").cast("int").alias("n")) for x in (copied, settled)]
-    return out[0].unionAll(out[1]).unionAll(ends.select("k1", "k2", "start", F.lit(1).alias("n")))
+    again = several(windows, ["key", "cell", "name"]).drop("one")
+    ends = windows.filter(~F.col("many")).join(again, ["key", "cell", "name"], "left_semi").withColumn("n", F.lit(1))
+    out = [x.select("k1", "k2", "start", F.col("n").cast("int").alias("n")) for x in (copied, settled, ends)]
+    return written(out[0].unionAll(out[1]).unionAll(out[2]), "repeats", instead_of=[copied, told, windows])
 
 
 def merged(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -276,18 +281,23 @@ def pieces(data: bytes, which: np.ndarray, first: np.ndarray, n: np.ndarray, mea
     return begins, ends
 
 
+def cut_one(
+    x: bytes, which: np.ndarray, starts: np.ndarray, counts: np.ndarray, measures: tuple[Measure, ...]
+) -> tuple[bytes, int, int]:
+    """What is left of a text, the bytes removed and the runs removed."""
+    if not len(which):
+        return x, 0, 0
+    begins, ends = merged(*pieces(x, which, starts, counts, measures))
+    left = b"".join(x[a:b] for a, b in zip([0, *ends], [*begins, len(x)], strict=True))
+    return left, len(x) - len(left), len(begins)
+
+
 def cut(
     data: pd.Series, which: pd.Series, starts: pd.Series, counts: pd.Series, measures: tuple[Measure, ...]
 ) -> Iterator[tuple[bytes, int, int]]:
-    """What is left of each text, the bytes removed and the runs removed."""
+    """``cut_one`` for each text; a null list has nothing to cut."""
     for x, k, s, n in zip(data, which, starts, counts, strict=True):
-        x = x or b""
-        if s is None or not len(s):
-            yield x, 0, 0
-            continue
-        begins, ends = merged(*pieces(x, np.asarray(k), np.asarray(s), np.asarray(n), measures))
-        left = b"".join(x[a:b] for a, b in zip([0, *ends], [*begins, len(x)], strict=True))
-        yield left, len(x) - len(left), len(begins)
+        yield cut_one(x or b"", np.asarray(k), np.asarray(s), np.asarray(n), measures) if k is not None else (x or b"", 0, 0)
 
 
 def with_spans(docs: DataFrame, measures: tuple[Measure, ...]) -> tuple[DataFrame, list[Column]]:
@@ -296,30 +306,42 @@ def with_spans(docs: DataFrame, measures: tuple[Measure, ...]) -> tuple[DataFram
     spans = found[0]
     for more in found[1:]:
         spans = spans.unionAll(more)
-    lists = [F.collect_list(c).alias(c + "_list") for c in ("which", "start", "n")]
-    spans = spans.groupBy(F.col("k1").alias("s1"), F.col("k2").alias("s2")).agg(*lists)
+    # a set: each copy of a row has found the same
+    spans = per_join_key(spans, ["k1", "k2"], F.collect_set(F.struct("which", "start", "n")).alias("spans"))
+    spans = spans.select(F.col("k1").alias("s1"), F.col("k2").alias("s2"), "spans")
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
     rows = keyed(rows).drop("doc_id", "text")
     joined = rows.join(spans, (F.col("k1") == F.col("s1")) & (F.col("k2") == F.col("s2")), "left")
-    freed(docs.sparkSession)
-    return joined, [F.col("row.text").cast("binary"), F.col("which_list"), F.col("start_list"), F.col("n_list")]
+    return joined, [F.col("row.text").cast("binary"), *(F.col(f"spans.{c}") for c in ("which", "start", "n"))]
 
 
-SUMMARY = "n_removed long, n_spans long, kept_sha256 string"
+SUMMARY = "n_removed long, n_spans long, kept_sha256 string, n_word_spans long"
 
 
-def report(docs: DataFrame, measures: tuple[Measure, ...] = (BYTES,)) -> DataFrame:
-    """A row for each row of ``docs``: bytes, bytes and runs removed, digest of what is left."""
+def report(docs: DataFrame, measures: tuple[Measure, ...] = (BYTES, WORDS)) -> DataFrame:
+    """A row for each row of ``docs``: bytes, bytes and runs removed, digest of what is left.
+
+    These go by the first measure, windows of 400 bytes. ``n_word_spans`` are the maximal runs of units
+    that the windows of the last one cover, 51 words, which may be shorter than 400 bytes;
+    ``repeats`` tells whether there is either.
+    """
+    other = len(measures) - 1
 
     def summary(data: pd.Series, which: pd.Series, starts: pd.Series, counts: pd.Series) -> pd.DataFrame:
-        found = cut(data, which, starts, counts, measures)
-        rows = [(removed, spans, hashlib.sha256(x).hexdigest()) for x, removed, spans in found]
-        return pd.DataFrame(rows, columns=["n_removed", "n_spans", "kept_sha256"])
+        rows = []
+        for x, k, s, n in zip(data, which, starts, counts, strict=True):
+            k, s, n = (np.array([] if v is None else v, np.int64) for v in (k, s, n))
+            left, lost, spans = cut_one(x or b"", *(v[k == 0] for v in (k, s, n)), measures)
+            first, many = s[k == other], n[k == other]
+            word_spans = len(merged(first, first + many + measures[other].length - 1)[0]) if len(first) else 0
+            rows.append((lost, spans, hashlib.sha256(left).hexdigest(), word_spans))
+        return pd.DataFrame(rows, columns=["n_removed", "n_spans", "kept_sha256", "n_word_spans"])
 
     joined, arguments = with_spans(docs.select("doc_id", "text"), measures)
     found = joined.withColumn("x", F.pandas_udf(summary, SUMMARY)(*arguments))
     n_bytes = F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("long").alias("n_bytes")
-    return found.select("row.doc_id", n_bytes, "x.n_removed", "x.n_spans", "x.kept_sha256")
+    repeats = ((F.col("x.n_spans") > 0) | (F.col("x.n_word_spans") > 0)).alias("repeats")
+    return found.select("row.doc_id", n_bytes, "x.n_removed", "x.n_spans", "x.kept_sha256", "x.n_word_spans", repeats)
 
 
 def removed(docs: DataFrame, measures: tuple[Measure, ...] = (BYTES,)) -> DataFrame:
@@ -331,6 +353,6 @@ def removed(docs: DataFrame, measures: tuple[Measure, ...] = (BYTES,)) -> DataFr
 
     joined, arguments = with_spans(docs, measures)
     cut_text = F.pandas_udf(remainder, "string")(*arguments)
-    left = joined.withColumn("left", F.when(F.col("start_list").isNull(), F.col("row.text")).otherwise(cut_text))
+    left = joined.withColumn("left", F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(cut_text))
     new = {"text": F.col("left"), "n_chars": F.length("left").cast("long")}
     return left.select(*(new.get(c, F.col("row")[c]).alias(c) for c in docs.columns))

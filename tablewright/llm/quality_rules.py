@@ -1,14 +1,16 @@
 """Quality rules: base statistics of a text, and lines that too many documents of a host share.
 
-Everything is DataFrame functions. Line hashes are counted after a distinct of (host, line,
-text), so exact copies of a text count as one document, and a hot line or host is combined
-before each shuffle. Frequent lines meet the lines again in an ordinary join, which AQE can
-broadcast when they are few and split when one of them is hot.
+Everything is DataFrame functions. Each text is read and hashed once: its statistics and line
+hashes are written, and the rest works on that table. Lines are counted after a distinct of (host,
+line, text), so exact copies of a text count as one document, and a hot line or host is combined
+before each shuffle. Frequent lines are written and meet the lines again in an ordinary join,
+which AQE can broadcast when they are few and split when one of them is hot.
 
 Defined cases: a null text has no words and fails the base rules; a null source is the host
-''; rows that repeat an id are judged by their own texts, and equal rows alike; an empty
-table gives an empty result; other columns are ignored by ``judge`` and kept by ``clean``.
-Two hashes of 64 bits stand for windows of words within one text and for lines of one host.
+''; rows that repeat an id are judged by their own texts, and equal rows alike; texts are judged
+whole at any length; an empty table gives an empty result; other columns are ignored by ``judge``
+and kept by ``clean``. Two hashes of 64 bits stand for windows of words within one text and for
+lines of one host.
 """
 
 from __future__ import annotations
@@ -16,11 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import SPACES, bind, lower_ascii, split_words, text_key
+from tablewright.llm.common import SPACES, bind, lower_ascii, split_words, text_key, written
 
-#: A line is frequent beyond this share of its host's distinct texts, and this number of them.
-HOST_SHARE = 0.10
-MIN_DOCUMENTS = 20
+#: A line is frequent beyond this number of distinct texts of its host, whatever the host's size.
+MAX_DOCUMENTS = 20
 #: A document that loses more than this share of its line characters is depleted.
 MAX_LOST = 0.5
 
@@ -78,14 +79,14 @@ def row_key() -> list[Column]:
 
 
 def base(docs: DataFrame) -> DataFrame:
-    """The row key and the base statistics, one row for each row of ``docs``."""
+    """The row key, the base statistics and the distinct lines, one row for each row of ``docs``."""
     text = F.coalesce("text", F.lit(""))
     counted = docs.select(
         *row_key(),
         F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         bind(lines_of(text), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        F.aggregate(line_hashes(text), F.lit(0), lambda sum_, x: sum_ + x["chars"]).alias("chars"),
+        F.coalesce(line_hashes(F.col("text")), F.array().cast("array<struct<line:bigint,chars:int>>")).alias("lines"),
         bind(
             split_words(text, SPACES),
             lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).cast("long").alias("again")),
@@ -93,80 +94,63 @@ def base(docs: DataFrame) -> DataFrame:
     )
     n, again = F.col("words.n"), F.col("words.again")
     return counted.select(
-        "doc_id", "host", "key", "chars", n.alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
+        "doc_id", "host", "key", "lines", characters("lines").alias("chars"), n.alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
         again.alias("n_repeat_words"), ((n < 50) | (100 * again > 50 * n)).alias("base_failed"),
     )
 
 
-def hashed_lines(docs: DataFrame) -> DataFrame:
-    """The row key with each distinct line of the text."""
-    return docs.select(*row_key(), F.explode(line_hashes(F.col("text"))).alias("x")).select(
-        "doc_id", "host", "key", "x.line", "x.chars"
-    )
-
+def frequent_lines(based: DataFrame, most: int = MAX_DOCUMENTS) -> DataFrame:
+    """host, line: the lines of more than ``most`` distinct texts of a host."""
+    lines = based.select("host", "key", F.explode("lines.line").alias("line")).distinct()
+    return lines.groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") > most).select("host", "line")
 
-def frequent_lines(docs: DataFrame, share: float = HOST_SHARE, least: int = MIN_DOCUMENTS) -> DataFrame:
-    """host, line: the lines of more than ``least`` distinct texts and ``share`` of the host's."""
-    sizes = docs.select(*row_key()[1:]).distinct().groupBy("host").agg(F.count("*").alias("texts"))
-    per_line = hashed_lines(docs).select("host", "line", "key").distinct().groupBy("host", "line")
-    many = per_line.agg(F.count("*").alias("n")).filter(F.col("n") > least)
-    return many.join(sizes, "host").filter(F.col("n") > share * F.col("texts")).select("host", "line")
 
+def lost_lines(based: DataFrame, most: int, rows: list[str]) -> DataFrame:
+    """``rows``, with the frequent lines of each and their characters, where there are any."""
+    frequent = written(frequent_lines(based, most), "lines-frequent")
+    lines = based.select(*dict.fromkeys([*rows, "host"]), F.explode("lines").alias("x")).withColumn("line", F.col("x.line"))
+    # a set: rows that are equal have lost the same
+    lost = lines.join(frequent, ["host", "line"]).groupBy(*rows).agg(F.collect_set("x").alias("lost"))
+    return lost.withColumn("lost_chars", characters("lost"))
 
-def lost_lines(docs: DataFrame, share: float, least: int) -> DataFrame:
-    """The row key, the hashes of the frequent lines and their characters, where there are any."""
-    lost = hashed_lines(docs).join(frequent_lines(docs, share, least), ["host", "line"])
-    return (
-        lost.select(*(F.col(c).alias(f"lost_{c}") for c in ("doc_id", "host", "key")), "line", "chars")
-        .distinct()
-        .groupBy("lost_doc_id", "lost_host", "lost_key")
-        .agg(F.collect_list("line").alias("lost_lines"), F.sum("chars").alias("lost_chars"))
-    )
 
+def characters(lines: str) -> Column:
+    return F.aggregate(lines, F.lit(0), lambda sum_, x: sum_ + x["chars"])
 
-def of_row(lost: DataFrame, rows: DataFrame) -> Column:
-    return (
-        rows["doc_id"].eqNullSafe(lost["lost_doc_id"])
-        & (rows["host"] == lost["lost_host"])
-        & (rows["key"] == lost["lost_key"])
-    )
 
-
-def judge(
-    docs: DataFrame, share: float = HOST_SHARE, least: int = MIN_DOCUMENTS, max_lost: float = MAX_LOST
-) -> DataFrame:
+def judge(docs: DataFrame, most: int = MAX_DOCUMENTS, max_lost: float = MAX_LOST) -> DataFrame:
     """A row for each row of ``docs``: statistics, share of line characters lost, ``kept``."""
-    stats, lost = base(docs), lost_lines(docs, share, least).drop("lost_lines")
-    joined = stats.join(lost, of_row(lost, stats), "left")
+    # numbered once written, so a row finds its own lines again, whatever rows are equal
+    based = written(base(docs).withColumn("row", F.monotonically_increasing_id()), "quality-base")
+    lost = written(lost_lines(based, most, ["row"]).drop("lost"), "quality-lost")
     gone = F.coalesce(F.col("lost_chars") / F.col("chars"), F.lit(0.0))
-    return joined.select(
+    return based.join(lost, "row", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         gone.alias("lost_share"), (~F.col("base_failed") & (gone <= max_lost)).alias("kept"),
     )
 
 
-def clean(
-    docs: DataFrame, share: float = HOST_SHARE, least: int = MIN_DOCUMENTS, max_lost: float = MAX_LOST
-) -> DataFrame:
+def clean(docs: DataFrame, most: int = MAX_DOCUMENTS, max_lost: float = MAX_LOST) -> DataFrame:
     """``docs`` without rejected documents, and without the frequent lines of the others.
 
     ``text`` keeps its other lines as they are, and ``n_chars`` follows it. All columns stay.
     """
-    passes = bind(
-        split_words(F.col("text"), SPACES),
-        lambda w: (F.size(w) >= 50) & (100 * repeated_words(w) <= 50 * F.size(w)),
-    )
-    rows = docs.filter(passes).select(F.struct(*docs.columns).alias("row"), *row_key())
-    lost = lost_lines(docs, share, least)
+    key = ["doc_id", "host", "key"]
+    based = written(base(docs).select(*key, "lines", "chars", "base_failed"), "quality-base")
+    lost = lost_lines(based, most, [*key, "chars", "base_failed"])
+    depleted = F.col("lost_chars") / F.col("chars") > max_lost
+    marked = lost.select(*key, "base_failed", depleted.alias("depleted"), F.col("lost.line").alias("lost_lines"))
+    failed = based.filter("base_failed").select(*key, "base_failed", F.lit(False), F.lit(None)).distinct()
+    marked = marked.filter(~F.col("base_failed")).unionAll(failed)
+    marked = written(marked, "quality-lost", instead_of=[based])
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *row_key())
+    same = [rows["doc_id"].eqNullSafe(marked["doc_id"]), rows["host"] == marked["host"], rows["key"] == marked["key"]]
+    met = rows.join(marked, same, "left").filter(F.expr("NOT coalesce(base_failed OR depleted, FALSE)"))
     text = F.col("row.text")
-    chars = F.aggregate(line_hashes(text), F.lit(0), lambda sum_, x: sum_ + x["chars"])
-    kept = rows.join(lost, of_row(lost, rows), "left").filter(
-        F.col("lost_lines").isNull() | (F.col("lost_chars") / chars <= max_lost)
-    )
     left = F.array_join(
         F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(F.col("lost_lines"), F.xxhash64(normalised(x)))),
         "\n",
     )
-    kept = kept.withColumn("left", F.when(F.col("lost_lines").isNull(), text).otherwise(left))
+    kept = met.withColumn("left", F.when(F.col("lost_lines").isNull(), text).otherwise(left))
     new = {"text": F.col("left"), "n_chars": F.length("left").cast("long")}
     return kept.select(*(new.get(c, F.col("row")[c]).alias(c) for c in docs.columns))

@@ -47,11 +47,8 @@ WITH t AS (
   SELECT r, count(*) - count(DISTINCT raw) AS n FROM lines GROUP BY r
 ), own AS (
   SELECT DISTINCT r, host, text, line FROM lines
-), hosts AS (
-  SELECT host, count(DISTINCT (text, none)) AS texts FROM t GROUP BY host
 ), frequent AS (
-  SELECT host, line FROM (SELECT host, line, count(DISTINCT text) AS n FROM own GROUP BY host, line)
-  JOIN hosts USING (host) WHERE n > 20 AND n > 0.1 * texts
+  SELECT host, line FROM own GROUP BY host, line HAVING count(DISTINCT text) > 20
 ), lost AS (
   SELECT r, sum(length(line)) AS chars, coalesce(sum(length(line)) FILTER (f.line IS NOT NULL), 0) AS lost
   FROM own LEFT JOIN (SELECT host, line FROM frequent) f USING (host, line) GROUP BY r

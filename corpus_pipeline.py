@@ -13,15 +13,12 @@ from tablewright.llm.common import ship, table, written
 
 #: Near duplicates here share four fifths of their shingles of five words.
 WORDS, PERCENT = 5, 80
-#: A count of texts alone makes a line boilerplate here: a share of the host would keep a line of
-#: 100,000 texts on a host that has a million.
-SHARE = 0.0
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go, and lines that more than 20 distinct texts of a host share, whatever its size."""
+    """Rejected documents go, and lines that more than 20 distinct texts of a host share."""
     ship(spark)
-    return quality_rules.clean(docs, share=SHARE)
+    return quality_rules.clean(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """UPDATE and DELETE as functions from the old table to the new one.
 
 Right-hand sides and conditions all see the old row. A condition that is NULL changes
-nothing. Write the result as a new state with ``sources.store.VersionedTable``.
+nothing. Write the result as a new state with ``sources.stored.StoredTable``; ``insert`` and
+``update_stored`` do so under the table's declared rules.
 """
 
 from __future__ import annotations
@@ -14,12 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.joins import distinct_keys, matched, unmatched
-from tablewright.operators.quality import IntegrityError, insert_violations, refuse
+from tablewright.operators.quality import IntegrityError, insert_violations, refuse, update_violations
 from tablewright.operators.subqueries import single_value
-from tablewright.session import new_folder
+from tablewright.plans.hierarchy import below
 from tablewright.sources.ingest import fill_missing
 from tablewright.sources.spec import ForeignKey, TableSpec
-from tablewright.sources.store import VersionedTable
+from tablewright.sources.stored import StoredTable, empty_like, snapshot
 
 
 def update(df: DataFrame, values: dict[str, Column], where: Column | None = None) -> DataFrame:
@@ -79,18 +80,37 @@ def delete_not_in(df: DataFrame, column: str, others: DataFrame, other: str) ->
 
 
 def insert(
-    store: VersionedTable, new: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None
+    stored: StoredTable, new: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None
 ) -> int:
-    """INSERT under the declared rules: all rows are published, or none and IntegrityError raised.
+    """INSERT under the declared rules: all rows are added, or none and IntegrityError raised.
 
     Only the new rows are checked, against each other, the keys in the table and the parents.
-    When another writer comes first, the check runs again over that writer's state.
     """
-
-    def check(old: DataFrame, rows: DataFrame) -> None:
+    staged = stored.stage(fill_missing(new, spec))
+    rows = stored.spark.table(staged)
+    try:
+        old = stored.read() if stored.state() else empty_like(rows)
         refuse(rows, insert_violations(old, rows, spec, parents))
+        return stored.append(rows)
+    finally:
+        stored.discard(staged)
 
-    return store.append(fill_missing(new, spec), check)
+
+def update_stored(
+    stored: StoredTable, values: dict[str, Column], where: Column, spec: TableSpec,
+    parents: dict[str, DataFrame] | None = None, children: list[tuple[str, DataFrame, ForeignKey]] | None = None,
+) -> int:
+    """UPDATE under the declared rules: the table moves to a new state, or IntegrityError is raised.
+
+    Only what the update touches is checked: the changed rows by their own rules; keys that are set, against
+    each other and the unchanged rows; foreign keys that are set, against their parents; and keys
+    that are given up, against ``children``, the tables that refer to this one.
+    """
+    state = stored.state()
+    old = stored.read(state)
+    chosen = F.coalesce(where, F.lit(False))
+    refuse(old, update_violations(old, update(old.filter(chosen), values), chosen, list(values), spec, parents, children))
+    return stored.write(update(old, values, chosen), after=state)
 
 
 def split(df: DataFrame, where: Column) -> tuple[DataFrame, DataFrame]:
@@ -98,12 +118,12 @@ def split(df: DataFrame, where: Column) -> tuple[DataFrame, DataFrame]:
     return df.filter(where), delete(df, where)
 
 
-def move(df: DataFrame, where: Column, store: VersionedTable) -> tuple[DataFrame, DataFrame]:
+def move(df: DataFrame, where: Column, stored: StoredTable) -> tuple[DataFrame, DataFrame]:
     """Archive rows and delete them: both parts are written in one pass over the table."""
     flag = "__moved"
     moved = F.coalesce(where, F.lit(False)).cast("int")
-    store.write(df.withColumn(flag, moved), partition_by=[flag])
-    written = store.read()
+    stored.write(df.withColumn(flag, moved), partition_by=(flag,))
+    written = stored.read()
     return tuple(written.filter(F.col(flag) == n).drop(flag) for n in (1, 0))
 
 
@@ -156,7 +176,8 @@ def delete_parents(
 
     Returns the new state of all tables, or raises before any of them is built: RESTRICT
     refuses when a child refers to a deleted row, NO ACTION when such a child remains.
-    Where cascades come back to a table, as along a hierarchy, they are followed level by level.
+    Along a hierarchy in one table, cascades are followed by pointer doubling, whatever its depth;
+    where they come back over other tables, level by level.
     """
     try:
         doomed, after = _cascade_down(tables, name, where, _below(tables, name))
@@ -197,7 +218,15 @@ def _cascade_down(
     after = {n: df for n, (df, _) in tables.items()}
     after[name] = delete(tables[name][0], where)
     for parent in order:
+        own = _own_cascade(tables, parent)
+        if own:
+            df, key = tables[parent][0], tables[parent][1].primary_key[0]
+            gone = below(df, key, own.columns[0], doomed[parent].select(key))
+            # written by now, so the plans below it do not grow with the rounds
+            doomed[parent], after[parent] = matched(df, gone, key), unmatched(df, gone, key)
         for child, fk in _references_to(tables, parent, "cascade"):
+            if fk is own:
+                continue
             rule = (fk.columns, doomed[parent], fk.parent_columns)
             after[child], _ = cascade(after[child], *rule)
             lost = matched(tables[child][0], doomed[parent], _on(fk.columns, fk.parent_columns))
@@ -206,6 +235,13 @@ def _cascade_down(
     return doomed, after
 
 
+def _own_cascade(tables: dict[str, tuple[DataFrame, TableSpec]], name: str) -> ForeignKey | None:
+    """The one foreign key by which a table cascades to itself, if it is on its whole primary key of one column."""
+    own = [fk for child, fk in _references_to(tables, name, "cascade") if child == name]
+    simple = len(own) == 1 and len(own[0].columns) == 1 and own[0].parent_columns == tables[name][1].primary_key
+    return own[0] if simple else None
+
+
 def _cascade_by_levels(
     tables: dict[str, tuple[DataFrame, TableSpec]], name: str, where: Column
 ) -> tuple[States, States]:
@@ -223,9 +259,7 @@ def _cascade_by_levels(
                 raise ValueError(f"{n} needs a primary key: deletes cascade to it in a cycle")
             if n in doomed:
                 rows = unmatched(rows, doomed[n], list(tables[n][1].primary_key))
-            path = new_folder(rows.sparkSession, f"doomed-{n}")
-            rows.write.parquet(path)
-            held[n] = rows.sparkSession.read.schema(rows.schema).parquet(path)
+            held[n] = snapshot(rows, f"doomed_{n}")
         held = {n: rows for n, rows in held.items() if not rows.isEmpty()}
         level = {}
         for parent, rows in held.items():
@@ -242,8 +276,7 @@ def _cascade_by_levels(
 def _below(tables: dict[str, tuple[DataFrame, TableSpec]], name: str) -> list[str]:
     """The table and those its deletes cascade to, parents before children."""
     children = {
-        n: {c for c, (_, s) in tables.items() for k in s.foreign_keys if k.parent == n and k.on_delete == "cascade"}
-        for n in tables
+        n: {c for c, fk in _references_to(tables, n, "cascade") if fk is not _own_cascade(tables, n)} for n in tables
     }
     reached, todo = set(), [name]
     while todo:

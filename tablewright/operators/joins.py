@@ -50,25 +50,33 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
     return left.join(right, common, how)
 
 
-def _key_test(right: DataFrame, on: str | list[str] | dict[str, str]) -> tuple[DataFrame, Column]:
+def _key_test(
+    right: DataFrame, on: str | list[str] | dict[str, str], unique: bool
+) -> tuple[DataFrame, Column]:
     """The distinct keys of ``right`` under fresh names, and the condition that matches them."""
     pairs = _pairs(on)
     names = {r: f"__key{i}" for i, r in enumerate(pairs.values())}
-    keys = distinct_keys(right.select(*[F.col(r).alias(n) for r, n in names.items()]), list(names.values()))
+    keys = right.select(*[F.col(r).alias(n) for r, n in names.items()])
+    keys = keys if unique else distinct_keys(keys, list(names.values()))
     return keys, reduce(lambda a, b: a & b, [F.col(l) == F.col(names[r]) for l, r in pairs.items()])
 
 
-def matched(left: DataFrame, right: DataFrame, on: str | list[str] | dict[str, str]) -> DataFrame:
+def matched(
+    left: DataFrame, right: DataFrame, on: str | list[str] | dict[str, str], unique: bool = False
+) -> DataFrame:
     """Rows of ``left`` with at least one match (EXISTS, IN); none is repeated.
 
-    ``on`` names common columns or maps left columns to right ones.
+    ``on`` names common columns or maps left columns to right ones. ``unique`` says that no key repeats in
+    ``right``: its rows are joined as they lie, so tables bucketed by the key are not shuffled.
     """
-    return left.join(*_key_test(right, on), "left_semi")
+    return left.join(*_key_test(right, on, unique), "left_semi")
 
 
-def unmatched(left: DataFrame, right: DataFrame, on: str | list[str] | dict[str, str]) -> DataFrame:
+def unmatched(
+    left: DataFrame, right: DataFrame, on: str | list[str] | dict[str, str], unique: bool = False
+) -> DataFrame:
     """Rows of ``left`` without a match, those with a NULL key among them."""
-    return left.join(*_key_test(right, on), "left_anti")
+    return left.join(*_key_test(right, on, unique), "left_anti")
 
 
 def left_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread: str) -> DataFrame:

@@ -8,6 +8,7 @@ rows carry is one row before any shuffle.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -84,9 +85,8 @@ def dangling(child: DataFrame, fk: ForeignKey, parent: DataFrame, rule: str) ->
     return lost.select(F.lit(rule).alias("rule"), text(fk.columns).alias("key"), F.col("__n").cast("string").alias("detail"))
 
 
-def validate(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None) -> DataFrame:
-    """All violations of a table's declared rules."""
-    key = list(spec.primary_key or spec.columns[:1])
+def own_rules(df: DataFrame, spec: TableSpec) -> dict[str, tuple[Column, Column]]:
+    """The rules that look at one row: ``{rule: (broken, detail)}``."""
     rules: dict[str, tuple[Column, Column]] = {}
     for f in spec.fields:
         if not f.nullable or f.name in spec.primary_key:
@@ -102,8 +102,21 @@ def validate(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | Non
             )
     for check in spec.checks:
         rules[f"{spec.name} check {check.name}"] = (broken(F.expr(check.condition)), F.lit(check.condition))
-    parts = [row_rules(df, rules, key)] if rules else []
-    if spec.primary_key:
+    return rules
+
+
+def key_of(spec: TableSpec) -> list[str]:
+    """What names a row in a report."""
+    return list(spec.primary_key or spec.columns[:1])
+
+
+def validate(
+    df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None, keyed: bool = True
+) -> DataFrame:
+    """All violations of a table's declared rules; ``keyed`` tells whether the primary key is looked at."""
+    rules = own_rules(df, spec)
+    parts = [row_rules(df, rules, key_of(spec))] if rules else []
+    if spec.primary_key and keyed:
         parts.append(duplicates(df, list(spec.primary_key), f"{spec.name} primary key"))
     for columns in spec.unique:
         parts.append(duplicates(df, list(columns), f"{spec.name} unique {','.join(columns)}"))
@@ -115,6 +128,96 @@ def validate(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | Non
     return reduce(DataFrame.unionByName, parts)
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def validate_all(tables: dict[str, tuple[DataFrame, TableSpec]]) -> DataFrame:
+    """All violations of the rules of tables that refer to each other, from one scan of each and one shuffle.
+
+    A row gives facts: the rules of one row that it breaks, the keys that it holds, and those that it
+    refers to. The facts of all tables meet in one aggregate, where a hot value is one row for each task:
+    a key that is held twice, or referred to and not held, breaks its rule. The result is that of
+    ``validate`` for each table.
+    """
+    spaces: list[tuple[str, tuple[str, ...]]] = []  # keys, as the table that holds them and its columns
+    for name, (_, spec) in tables.items():
+        keys = [*([spec.primary_key] if spec.primary_key else []), *spec.unique]
+        spaces += [(name, key) for key in keys]
+        spaces += [(fk.parent, fk.parent_columns) for fk in spec.foreign_keys]
+    spaces = list(dict.fromkeys(spaces))
+    uses = [(name, fk) for name, (_, spec) in tables.items() for fk in spec.foreign_keys]
+    row_names = [rule for df, spec in tables.values() for rule in own_rules(df, spec)]
+    facts = [_facts(name, tables, spaces, uses, row_names) for name in tables]
+    used = [F.count_if(F.col("role") == i).alias(f"used_{i}") for i in range(len(uses))]
+    met = reduce(DataFrame.unionAll, facts).groupBy("space", "k1", "k2", "text", "detail").agg(
+        F.count_if("held").alias("held"), F.first("shown", ignorenulls=True).alias("shown"), *used
+    )
+    shown = F.coalesce("shown", F.concat_ws("|", "k1", "k2"))
+    hits = []
+    for i, (name, columns) in enumerate(spaces):
+        spec = tables[name][1]
+        if columns == spec.primary_key or columns in spec.unique:
+            kind = "primary key" if columns == spec.primary_key else f"unique {','.join(columns)}"
+            hits.append(_hit((F.col("space") == i) & (F.col("held") > 1), f"{name} {kind}", shown, "held"))
+    for i, (name, fk) in enumerate(uses):
+        lost = (F.col("space") == spaces.index((fk.parent, fk.parent_columns))) & (F.col("held") == 0) & (F.col(f"used_{i}") > 0)
+        hits.append(_hit(lost, f"{name} foreign key {','.join(fk.columns)}", shown, f"used_{i}"))
+    of_row = F.col("space") >= len(spaces)
+    rule = F.element_at(F.array(*map(F.lit, row_names)), F.col("space") - len(spaces) + 1) if row_names else F.lit(None)
+    broken_row = F.struct(rule.alias("rule"), F.col("text").alias("key"), "detail")
+    # equal rows break a rule as often as they occur
+    found = F.when(of_row, F.array_repeat(broken_row, F.col("held").cast("int"))).otherwise(F.array_compact(F.array(*hits)))
+    suspects = met.filter(of_row | (F.col("held") != 1))
+    return suspects.select(F.explode(found).alias("x")).select("x.rule", "x.key", "x.detail")
+
+
+def _hit(condition: Column, rule: str, key: Column, count: str) -> Column:
+    hit = F.struct(F.lit(rule).alias("rule"), key.alias("key"), F.col(count).cast("string").alias("detail"))
+    return F.when(condition, hit)
+
+
+def _facts(
+    name: str, tables: dict[str, tuple[DataFrame, TableSpec]], spaces: list[tuple[str, tuple[str, ...]]],
+    uses: list[tuple[str, ForeignKey]], row_names: list[str],
+) -> DataFrame:
+    """space, k1, k2, text, detail, shown, held, role: what the rows of a table hold, refer to and break.
+
+    Whole numbers are compared as such, in k1 and k2; other keys as ``text``, each part with its length.
+    """
+    df, spec = tables[name]
+    none = F.lit(None)
+
+    def fact(space: int, columns: tuple[str, ...], role: int | None) -> Column:
+        owner, key = spaces[space]
+        types = [tables[owner][0].schema[c].dataType for c in key]
+        whole = len(key) <= 2 and all(isinstance(t, _INTEGRAL) for t in types)
+        values = [F.col(c).cast(t) for c, t in zip(columns, types)]
+        k1, k2 = [v.cast("bigint") for v in values] + [none] * (2 - len(values)) if whole else (none, none)
+        parts = [v.cast("string") for v in values]
+        as_text = none if whole else F.concat(*(F.concat(F.length(v).cast("string"), F.lit(":"), v) for v in parts))
+        made = F.struct(
+            F.lit(space).alias("space"), k1.cast("bigint").alias("k1"), k2.cast("bigint").alias("k2"),
+            as_text.cast("string").alias("text"), none.cast("string").alias("detail"),
+            (none if whole else text(columns)).cast("string").alias("shown"), F.lit(role is None).alias("held"),
+            F.lit(role).cast("int").alias("role"),
+        )
+        return F.when(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]), made)
+
+    def breach(number: int, is_broken: Column, detail: Column) -> Column:
+        made = F.struct(
+            F.lit(number).alias("space"), none.cast("bigint").alias("k1"), none.cast("bigint").alias("k2"),
+            text(key_of(spec)).alias("text"), detail.cast("string").alias("detail"), none.cast("string").alias("shown"),
+            F.lit(True).alias("held"), none.cast("int").alias("role"),
+        )
+        return F.when(is_broken, made)
+
+    facts = [fact(i, columns, None) for i, (owner, columns) in enumerate(spaces) if owner == name]
+    facts += [fact(spaces.index((fk.parent, fk.parent_columns)), fk.columns, i) for i, (child, fk) in enumerate(uses) if child == name]
+    rules = own_rules(df, spec)
+    facts += [breach(len(spaces) + row_names.index(rule), is_broken, detail) for rule, (is_broken, detail) in rules.items()]
+    return df.select(F.explode(F.array_compact(F.array(*facts))).alias("x")).select("x.*")
+
+
 def insert_violations(
     old: DataFrame, new: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None
 ) -> DataFrame:
@@ -130,6 +233,42 @@ def insert_violations(
     return reduce(DataFrame.unionByName, parts)
 
 
+def update_violations(
+    old: DataFrame, changed: DataFrame, chosen: Column, assigned: list[str], spec: TableSpec,
+    parents: dict[str, DataFrame] | None = None, children: list[tuple[str, DataFrame, ForeignKey]] | None = None,
+) -> DataFrame:
+    """The rules that an update breaks; ``changed`` are the new images of the rows ``chosen`` from ``old``.
+
+    Keys and foreign keys that hold no assigned column are as good as before and are not looked at.
+    """
+    touched = set(assigned)
+    kept = old.filter(~chosen)
+    own = replace(
+        spec,
+        unique=tuple(u for u in spec.unique if touched & set(u)),
+        foreign_keys=tuple(fk for fk in spec.foreign_keys if touched & set(fk.columns)),
+    )
+    parents = {**(parents or {}), spec.name: kept.unionByName(changed)}
+    parts = [validate(changed, own, parents, keyed=bool(touched & set(spec.primary_key)))]
+    keys = [("primary key", spec.primary_key)] if touched & set(spec.primary_key) else []
+    for kind, columns in [*keys, *((f"unique {','.join(u)}", u) for u in own.unique)]:
+        taken = matched(changed, kept, list(columns))
+        parts.append(
+            taken.select(F.lit(f"{spec.name} {kind}").alias("rule"), text(columns).alias("key"), F.lit("taken").alias("detail"))
+        )
+    # the table's own rows may refer to it as well, by a key that the update gives up
+    itself = [(spec.name, parents[spec.name], fk) for fk in spec.foreign_keys if fk.parent == spec.name]
+    for name, child, fk in [*(children or []), *itself]:
+        if touched & set(fk.parent_columns):
+            given_up = unmatched(old.filter(chosen), parents[spec.name], list(fk.parent_columns))
+            stuck = matched(given_up, child, dict(zip(fk.parent_columns, fk.columns)))
+            rule = f"{name} foreign key {','.join(fk.columns)}"
+            parts.append(
+                stuck.select(F.lit(rule).alias("rule"), text(fk.parent_columns).alias("key"), F.lit("still referred to").alias("detail"))
+            )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def enforce(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None) -> DataFrame:
     """Return ``df``, or raise with a few examples when any rule is broken."""
     return refuse(df, validate(df, spec, parents))

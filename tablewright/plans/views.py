@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.operators.changes import insert, update
+from tablewright.operators.changes import insert, update, update_stored
 from tablewright.operators.quality import IntegrityError, duplicates, outside_view
 from tablewright.sources.ingest import fill_missing
-from tablewright.sources.spec import TableSpec
-from tablewright.sources.store import VersionedTable
+from tablewright.sources.spec import ForeignKey, TableSpec
+from tablewright.sources.stored import StoredTable
 
 
 def create_view(df: DataFrame, name: str, replace: bool = False) -> DataFrame:
@@ -39,17 +39,17 @@ class TableView:
     """
 
     def __init__(
-        self, store: VersionedTable, spec: TableSpec, columns: list[str],
+        self, stored: StoredTable, spec: TableSpec, columns: list[str],
         where: Column | None = None, checked: bool = False,
     ):
-        self.store = store
+        self.stored = stored
         self.spec = spec
         self.columns = columns
         self.where = F.lit(True) if where is None else where
         self.checked = checked
 
     def read(self) -> DataFrame:
-        return self.store.read().filter(self.where).select(*self.columns)
+        return self.stored.read().filter(self.where).select(*self.columns)
 
     def _known(self, names: list[str]) -> None:
         unknown = set(names) - set(self.columns)
@@ -64,16 +64,17 @@ class TableView:
         """Add rows to the table; columns that the view does not show take their default."""
         self._known(new.columns)
         self._inside(fill_missing(new, self.spec))
-        return insert(self.store, new, self.spec, parents)
+        return insert(self.stored, new, self.spec, parents)
 
-    def update(self, values: dict[str, Column], where: Column) -> int:
-        """Change rows that the view shows; the others keep their values."""
+    def update(
+        self, values: dict[str, Column], where: Column,
+        parents: dict[str, DataFrame] | None = None, children: list[tuple[str, DataFrame, ForeignKey]] | None = None,
+    ) -> int:
+        """Change rows that the view shows, under the table's rules; the others keep their values."""
         self._known(list(values))
-        version = self.store.version()
-        old = self.store.read(version)
         chosen = F.coalesce(self.where & where, F.lit(False))
-        self._inside(update(old.filter(chosen), values))
-        return self.store.write(update(old, values, chosen), after=version)
+        self._inside(update(self.stored.read().filter(chosen), values))
+        return update_stored(self.stored, values, chosen, self.spec, parents, children)
 
 
 class MaterializedView:
@@ -84,17 +85,18 @@ class MaterializedView:
     the state they started with.
     """
 
-    def __init__(self, spark: SparkSession, path: str, plan: Callable[[], DataFrame], key: list[str] | None = None):
+    def __init__(self, stored: StoredTable, plan: Callable[[], DataFrame], key: list[str] | None = None):
         self.plan = plan
         self.key = key
-        self._store = VersionedTable(spark, path)
+        self._stored = stored
 
     def refresh(self) -> int:
-        folder = self._store.stage(self.plan())
-        if self.key and not duplicates(self._store.staged(folder), self.key, "unique").isEmpty():
+        staged = self._stored.stage(self.plan())
+        if self.key and not duplicates(self._stored.spark.table(staged), self.key, "unique").isEmpty():
+            self._stored.discard(staged)
             raise IntegrityError(f"refresh refused: {self.key} is not unique")
-        return self._store.publish(folder)
+        return self._stored.publish(staged)
 
-    def read(self, version: int | None = None) -> DataFrame:
+    def read(self, state: int | None = None) -> DataFrame:
         """The current result; raises LookupError before the first refresh."""
-        return self._store.read(version)
+        return self._stored.read(state)

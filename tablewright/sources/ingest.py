@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.plans.order import number_rows
 from tablewright.plans.prefix import dense_keys
 from tablewright.sources.spec import DEFAULT, TableSpec, cast_to, spark_type
 
@@ -93,7 +94,7 @@ def next_key(df: DataFrame, key: str) -> Column:
 
 
 def append_keyed(
-    df: DataFrame, new: DataFrame, spec: TableSpec, order_by: str, start: int | None = None
+    df: DataFrame, new: DataFrame, spec: TableSpec, order_by: str | list[str], start: int | None = None
 ) -> DataFrame:
     """Add rows that come without the table's serial key, which they get in the order of ``order_by``.
 
@@ -102,13 +103,18 @@ def append_keyed(
     """
     first = next_key(df, spec.serial) if start is None else start
     keyed = assign_keys(new, order_by, spec.serial, first)
-    return append(df, keyed if order_by in spec.columns else keyed.drop(order_by), spec)
+    foreign = {order_by} if isinstance(order_by, str) else set(order_by)
+    return append(df, keyed.drop(*(foreign - set(spec.columns))), spec)
 
 
-def assign_keys(new: DataFrame, order_by: str, key: str, start: int | Column = 1) -> DataFrame:
-    """Give new rows consecutive keys from ``start``, in the order of a unique bigint.
+def assign_keys(new: DataFrame, order_by: str | list[str], key: str, start: int | Column = 1) -> DataFrame:
+    """Give new rows consecutive keys from ``start``.
 
-    The keyed rows are the answer to "which keys were just assigned": filter or join them.
-    Keys that callers set themselves do not move ``start``.
+    The order is that of a unique bigint, or of one or more columns of any sortable type, NULL first; rows
+    that these do not tell apart get their keys in any order. The keyed rows are the answer to
+    "which keys were just assigned": filter or join them. Keys that callers set themselves do not move ``start``.
     """
-    return dense_keys(new, order_by, key, start)
+    if isinstance(order_by, str) and new.schema[order_by].dataType.typeName() in ("long", "integer", "short", "byte"):
+        return dense_keys(new, order_by, key, start)
+    columns = [order_by] if isinstance(order_by, str) else order_by
+    return number_rows(new, [F.col(c).asc_nulls_first() for c in columns], key, start)

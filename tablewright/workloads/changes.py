@@ -8,13 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalars import rounded_quotient, three_bands
-from tablewright.operators import changes, quality, subqueries
+from tablewright.operators import changes, joins, quality, subqueries
 from tablewright.operators.aggregates import per_key
 from tablewright.plans.views import TableView
-from tablewright.session import new_folder
 from tablewright.sources.ingest import literal_rows
 from tablewright.sources.spec import Check, ForeignKey, SetDefault, alter, references, table
-from tablewright.sources.store import VersionedTable
+from tablewright.sources.stored import StoredTable
 from tablewright.sources.tables import Tables, day
 from tablewright.workloads import fixed
 from tablewright.workloads.registry import query
@@ -176,9 +175,9 @@ def update_by_count(t: Tables) -> DataFrame:
 
 def _salaries(t: Tables, where=None, checked: bool = False) -> TableView:
     """Names, departments and salaries of the employees, over a stored copy."""
-    store = VersionedTable(t.spark, new_folder(t.spark, "emp"))
-    store.write(t.emp)
-    return TableView(store, EMP, ["emp_id", "emp_name", "dept_id", "salary"], where, checked)
+    stored = StoredTable.fresh(t.spark, "emp")
+    stored.write(t.emp)
+    return TableView(stored, EMP, ["emp_id", "emp_name", "dept_id", "salary"], where, checked)
 
 
 def _hired(t: Tables, *people: tuple) -> DataFrame:
@@ -204,7 +203,7 @@ def update_through_view(t: Tables) -> DataFrame:
     """Rows of other departments are not shown, so the same condition leaves them alone."""
     view = _salaries(t, F.col("dept_id") == 1)
     view.update({"salary": F.col("salary") + 2000}, F.col("salary") < 30000)
-    return view.store.read()
+    return view.stored.read()
 
 
 @query(
@@ -216,7 +215,7 @@ def update_through_view(t: Tables) -> DataFrame:
 def insert_through_view(t: Tables) -> DataFrame:
     view = _salaries(t)
     view.insert(_hired(t, (-1, "Newcomer", 2, "41500.50")))
-    return view.store.read()
+    return view.stored.read()
 
 
 @query(
@@ -231,7 +230,7 @@ def insert_through_checked_view(t: Tables) -> DataFrame:
     outside = [(-2, "Elsewhere", 2, 0), (-3, "Nowhere", None, 0)]
     refused = sum(_refused(lambda: view.insert(_hired(t, row))) for row in outside)
     view.insert(_hired(t, (-1, "Newcomer", 1, "41500.50")))
-    return view.store.read().select(F.lit(refused).alias("refused"), "*")
+    return view.stored.read().select(F.lit(refused).alias("refused"), "*")
 
 
 @query(
@@ -247,8 +246,8 @@ def insert_under_rules(t: Tables) -> DataFrame:
     spec = replace(
         EMP, unique=(("email",),), checks=(Check("salary", "salary >= 0"),), foreign_keys=(references("dept_id", dept), own)
     )
-    store = VersionedTable(t.spark, new_folder(t.spark, "emp"))
-    store.write(t.emp)
+    stored = StoredTable.fresh(t.spark, "emp")
+    stored.write(t.emp)
     columns = ["emp_id", "emp_name", "segment", "dept_id", "salary", "manager_id", "email"]
     sound = (-1, "Newcomer", "AUTO", 1, "41500.50", 7, "new@x.org")
     unsound = [
@@ -260,11 +259,89 @@ def insert_under_rules(t: Tables) -> DataFrame:
     ]
 
     def add(rows: list[tuple]) -> None:
-        changes.insert(store, literal_rows(t.spark, spec, rows, columns), spec, {"dept": t.dept})
+        changes.insert(stored, literal_rows(t.spark, spec, rows, columns), spec, {"dept": t.dept})
 
     refused = sum(_refused(lambda: add(rows)) for rows in unsound)
     add([sound])
-    return store.read().select(F.lit(refused).alias("refused"), "*")
+    return stored.read().select(F.lit(refused).alias("refused"), "*")
+
+
+UNDER_RULES = replace(
+    EMP,
+    unique=(("email",),),
+    checks=(Check("salary", "salary >= 0"),),
+    foreign_keys=(ForeignKey(("dept_id",), "dept", ("dept_id",)), ForeignKey(("manager_id",), "emp", ("emp_id",))),
+)
+
+
+@query(
+    "dml_08_update_under_rules",
+    """SELECT 7 AS refused, * REPLACE (
+         CASE WHEN emp_id = 12 THEN -12 ELSE emp_id END AS emp_id,
+         CASE WHEN emp_id = 12 THEN 'moved@x.org' ELSE email END AS email,
+         CASE WHEN manager_id = 12 THEN -12 ELSE manager_id END AS manager_id,
+         CASE WHEN emp_id = 21 THEN 3 ELSE dept_id END AS dept_id)
+       FROM emp""",
+    "emp dept",
+)
+def update_under_rules(t: Tables) -> DataFrame:
+    """Of ten updates seven break a rule and leave no trace."""
+    stored = StoredTable.fresh(t.spark, "emp")
+    stored.write(t.emp)
+    key, boss = F.col("emp_id"), F.col("manager_id")
+    parents = {"dept": t.dept}
+
+    def change(values: dict, where) -> None:
+        changes.update_stored(stored, values, where, UNDER_RULES, parents)
+
+    unsound = [
+        ({"emp_id": F.lit(1)}, key == 21),  # a key that another row has
+        ({"emp_id": F.lit(-5)}, key.isin(21, 22)),  # one key for two rows
+        ({"salary": F.lit(-1)}, key == 21),
+        ({"dept_id": F.lit(99)}, key == 21),
+        ({"manager_id": F.lit(-7)}, key == 21),
+        ({"email": F.lit("same@x.org")}, key.isin(21, 23)),
+        ({"emp_id": -key}, key == 12),  # others report to 12
+    ]
+    refused = sum(_refused(lambda: change(*x)) for x in unsound)
+    # together the key and what refers to it may change
+    moved = {"emp_id": F.when(key == 12, -key).otherwise(key), "manager_id": F.when(boss == 12, -boss).otherwise(boss)}
+    change(moved, (key == 12) | (boss == 12))
+    change({"email": F.lit("moved@x.org")}, key == -12)
+    change({"dept_id": F.lit(3)}, key == 21)
+    return stored.read().select(F.lit(refused).alias("refused"), "*")
+
+
+@query(
+    "dml_12_update_view_under_rules",
+    """SELECT 2 AS refused, * REPLACE (CASE WHEN dept_id = 1 AND emp_id < 500 THEN CAST(0 AS DECIMAL(10,2)) ELSE salary END AS salary) FROM emp""",
+    "emp",
+)
+def update_view_under_rules(t: Tables) -> DataFrame:
+    """A view lets through what it shows, and the table's rules still hold."""
+    stored = StoredTable.fresh(t.spark, "emp")
+    stored.write(t.emp)
+    view = TableView(stored, UNDER_RULES, ["emp_id", "salary", "dept_id"], F.col("dept_id") == 1)
+    below_zero, same_key = {"salary": F.lit(-1)}, {"emp_id": F.lit(-9)}
+    refused = sum(_refused(lambda: view.update(values, F.col("emp_id") < 500)) for values in (below_zero, same_key))
+    view.update({"salary": F.lit(0)}, F.col("emp_id") < 500)
+    return stored.read().select(F.lit(refused).alias("refused"), "*")
+
+
+@query(
+    "dml_14_delete_in_partitions",
+    """SELECT 2 AS written, * FROM emp
+       WHERE (segment IN ('BUILDING', 'MACHINERY') AND (hire_date < '2020-01-01' OR segment = 'MACHINERY')) IS NOT TRUE""",
+    "emp",
+)
+def delete_in_partitions(t: Tables) -> DataFrame:
+    """One partition loses some rows and is written again, one loses all and goes, the others' files stay."""
+    stored = StoredTable.fresh(t.spark, "emp")
+    stored.write(t.emp, partition_by=("segment",))
+    early = F.col("hire_date") < day("2020-01-01")
+    where = F.col("segment").isin("BUILDING", "MACHINERY") & (early | (F.col("segment") == "MACHINERY"))
+    written = stored.delete_in_partitions(where, ("segment",))
+    return stored.read().select(F.lit(written).alias("written"), *t.emp.columns)
 
 
 @query(
@@ -339,8 +416,8 @@ def delete_not_in_with_null(t: Tables) -> DataFrame:
     "proj",
 )
 def move(t: Tables) -> DataFrame:
-    store = VersionedTable(t.spark, new_folder(t.spark, "proj"))
-    moved, kept = changes.move(t.proj, F.col("end_date") < day("2024-01-01"), store)
+    stored = StoredTable.fresh(t.spark, "proj")
+    moved, kept = changes.move(t.proj, F.col("end_date") < day("2024-01-01"), stored)
     return moved.select(F.lit("moved").alias("part"), "*").union(kept.select(F.lit("kept").alias("part"), "*"))
 
 
@@ -352,7 +429,7 @@ def move(t: Tables) -> DataFrame:
 )
 def audit(t: Tables) -> DataFrame:
     """The audit rows are written before the update and must agree with its result."""
-    table_ = VersionedTable(t.spark, new_folder(t.spark, "staff"))
+    table_ = StoredTable.fresh(t.spark, "staff")
     before = table_.write(t.staff)
     where = F.col("department") == "BUILDING"
     after = table_.write(changes.update(table_.read(), {"salary": F.col("salary") + 5000}, where))
@@ -405,6 +482,31 @@ def cascade_hierarchy(t: Tables) -> DataFrame:
     return changes.delete_parents({"emp": (t.emp, spec)}, "emp", where)["emp"]
 
 
+BUCKETS = 16
+
+
+def _bucketed(t: Tables, name: str, key: str) -> DataFrame:
+    """A table stored in buckets of its key, so that joins on the key move no row."""
+    stored = StoredTable.fresh(t.spark, name)
+    stored.write(t.scan(name), bucket_by=(BUCKETS, key))
+    return stored.read()
+
+
+@query(
+    "dml_20_cascade_bucketed",
+    """SELECT * FROM lineitem WHERE l_orderkey NOT IN
+         (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
+)
+def cascade_bucketed(t: Tables) -> DataFrame:
+    """Orders and lines lie in buckets of the order key: the delete moves neither."""
+    return cascade_in_buckets(_bucketed(t, "orders", "o_orderkey"), _bucketed(t, "lineitem", "l_orderkey"))
+
+
+def cascade_in_buckets(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    gone = orders.filter(F.col("o_orderstatus") == "F")
+    return joins.unmatched(lines, gone, {"l_orderkey": "o_orderkey"}, unique=True)
+
+
 _RESTRICT_SQL = """SELECT * FROM dept WHERE ({0}) IS NOT TRUE
        OR EXISTS (SELECT 1 FROM emp JOIN dept x USING (dept_id) WHERE {0})"""
 

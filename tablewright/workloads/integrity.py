@@ -382,7 +382,4 @@ def _quoted(condition: str) -> str:
     ]),
 )
 def report(t: Tables) -> DataFrame:
-    tables = shop(t)
-    parents = {name: df for name, (df, _) in tables.items()}
-    parts = [quality.validate(df, spec, parents) for df, spec in tables.values()]
-    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    return quality.validate_all(shop(t))

@@ -22,7 +22,7 @@ from tablewright.sources.spec import (
     alter,
     table,
 )
-from tablewright.sources.store import VersionedTable, empty_like, snapshot
+from tablewright.sources.stored import StoredTable, empty_like, snapshot
 from tablewright.sources.tables import Tables, day
 from tablewright.workloads.changes import STAFF
 from tablewright.workloads.registry import query
@@ -197,6 +197,29 @@ def assign_keys(t: Tables) -> DataFrame:
     return ingest.assign_keys(orders, "arrival", "id").drop("arrival")
 
 
+@query(
+    "src_11_keys_by_name",
+    """SELECT CAST(ROW_NUMBER() OVER (ORDER BY segment, emp_name) AS BIGINT) AS id, segment, emp_name FROM emp""",
+    "emp",
+)
+def keys_by_name(t: Tables) -> DataFrame:
+    """Rows that have only names get keys in the order of these."""
+    return ingest.assign_keys(t.emp.select("segment", "emp_name"), ["segment", "emp_name"], "id").select("id", "segment", "emp_name")
+
+
+@query(
+    "src_11_insert_names",
+    """SELECT * FROM staff UNION ALL
+       SELECT (SELECT MAX(emp_id) FROM staff) + ROW_NUMBER() OVER (ORDER BY p_name, p_partkey),
+         'Part', p_name, NULL, NULL, NULL, 'ACTIVE' FROM (SELECT DISTINCT p_name, p_partkey FROM part)""",
+    "staff",
+)
+def insert_names(t: Tables) -> DataFrame:
+    """A whole table of names is added to one with a serial key; equal names go by their part."""
+    new = t.scan("part").select(F.lit("Part").alias("first_name"), F.col("p_name").alias("last_name"), "p_partkey")
+    return ingest.append_keyed(t.staff, new, STAFF, ["last_name", "p_partkey"])
+
+
 @query(
     "src_11_insert_without_key",
     """SELECT * FROM staff UNION ALL
@@ -232,10 +255,10 @@ def ctas(t: Tables) -> DataFrame:
 @query("src_14_snapshot", "SELECT * FROM proj WHERE end_date < '2024-01-01'", "proj")
 def snapshot_(t: Tables) -> DataFrame:
     """The snapshot still shows rows that the table has lost since."""
-    base = VersionedTable(t.spark, new_folder(t.spark, "proj"))
+    base = StoredTable.fresh(t.spark, "proj")
     base.write(t.proj)
     old = F.col("end_date") < day("2024-01-01")
-    taken = snapshot(base.read().filter(old), new_folder(t.spark, "deleted_projects"))
+    taken = snapshot(base.read().filter(old), "deleted_projects")
     base.write(delete(base.read(), old))
     return taken
 
@@ -250,7 +273,7 @@ def before_after(t: Tables) -> DataFrame:
     rows = t.staff.filter(F.col("department") == "MACHINERY").select(
         "emp_id", F.col("salary").alias("old_salary"), (F.col("salary") + 5000).alias("new_salary")
     )
-    return snapshot(rows, new_folder(t.spark, "salary_updates"))
+    return snapshot(rows, "salary_updates")
 
 
 @query("src_16_empty_clone", "SELECT * FROM staff WHERE 1 = 0", "staff")
@@ -296,6 +319,45 @@ def add_timestamp(t: Tables) -> DataFrame:
     return changed.select("*", (moments == 1).alias("one_moment"), between.alias("of_the_change")).drop("created_date")
 
 
+@query(
+    "src_18_add_to_stored",
+    """SELECT *, 'A' AS grade, CAST(NULL AS INTEGER) AS room FROM staff
+       UNION ALL SELECT -emp_id, first_name, last_name, department, salary, hire_date, status, 'A', 7 FROM staff
+       UNION ALL SELECT -1000000 - emp_id, first_name, last_name, department, salary, hire_date, status, 'C', NULL FROM staff
+       UNION ALL SELECT -2000000 - emp_id, first_name, last_name, department, salary, hire_date, status, 'B', NULL FROM staff""",
+    "staff",
+)
+def add_to_stored(t: Tables) -> DataFrame:
+    """A stored table gets columns without a file being rewritten; old rows show the default of that time.
+
+    Rows added later take the default that holds then, or what they bring.
+    """
+    stored = StoredTable.fresh(t.spark, "staff")
+    stored.write(t.staff)
+    stored.add_column("grade", "STRING", "'A'")
+    stored.add_column("room", "INT")
+    stored.append(t.staff.withColumns({"emp_id": -F.col("emp_id"), "room": F.lit(7)}))
+    stored.set_default("grade", "'C'")
+    stored.append(t.staff.withColumn("emp_id", -1000000 - F.col("emp_id")))
+    stored.append(t.staff.withColumns({"emp_id": -2000000 - F.col("emp_id"), "grade": F.lit("B")}))
+    return stored.read()
+
+
+@query(
+    "src_21_widen_stored",
+    """SELECT p_partkey AS id, CAST(p_size AS BIGINT) AS size FROM part
+       UNION ALL SELECT -p_partkey, p_size + 3000000000 FROM part""",
+)
+def widen_stored(t: Tables) -> DataFrame:
+    """A stored table moves to a state with the wider type, in which values fit that did not before."""
+    stored = StoredTable.fresh(t.spark, "part")
+    first = stored.write(t.scan("part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("size")))
+    changed, _ = alter(stored.read(first), table("part", "id bigint, size int"), SetType("size", "bigint"))
+    stored.write(changed, after=first)
+    stored.append(t.scan("part").select((-F.col("p_partkey")).alias("id"), (F.col("p_size") + 3000000000).alias("size")))
+    return stored.read()
+
+
 @query("src_20_drop_column", "SELECT * EXCLUDE (hire_date) FROM staff", "staff")
 def drop_column(t: Tables) -> DataFrame:
     return alter(t.staff, STAFF, DropColumn("hire_date"))[0]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.functions.scalars import average, money
 from tablewright.operators.aggregates import per_key
 from tablewright.operators.ranking import top_key, with_rows
+from tablewright.plans.order import rank_by
 from tablewright.plans.prefix import rank_in_group
 from tablewright.sources.tables import Tables
 from tablewright.workloads.registry import query, sql_avg
@@ -39,6 +40,28 @@ def rank_correlated(t: Tables) -> DataFrame:
     return ranked.select("emp_id", "salary_rank")
 
 
+_RANK_BY = """CASE WHEN dept_id IS NULL OR {0} IS NULL THEN 1
+           ELSE CAST(RANK() OVER (PARTITION BY dept_id ORDER BY {0} DESC NULLS LAST) AS BIGINT) END"""
+
+
+@query(
+    "win_01_rank_by_date",
+    f"SELECT emp_id, dept_id, hire_date, {_RANK_BY.format('hire_date')} AS date_rank FROM emp",
+    "emp",
+)
+def rank_by_date(t: Tables) -> DataFrame:
+    return rank_by(t.emp.select("emp_id", "dept_id", "hire_date"), "dept_id", "hire_date", "date_rank")
+
+
+@query(
+    "win_01_rank_by_text",
+    f"SELECT emp_id, dept_id, email, {_RANK_BY.format('email')} AS email_rank FROM emp",
+    "emp",
+)
+def rank_by_text(t: Tables) -> DataFrame:
+    return rank_by(t.emp.select("emp_id", "dept_id", "email"), "dept_id", "email", "email_rank")
+
+
 @query(
     "win_02_rank_with_average",
     f"""WITH ranked AS (SELECT *, {_RANK.format('segment')} AS salary_rank FROM emp),

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from tablewright.functions.scalars import above
 from tablewright.operators.quality import IntegrityError
 from tablewright.plans.views import MaterializedView, create_view, drop_view, rename_view
-from tablewright.session import new_folder
 from tablewright.sources.ingest import fill_missing, literal_rows
 from tablewright.sources.spec import AddColumn, Field, alter, table
-from tablewright.sources.store import VersionedTable
+from tablewright.sources.stored import StoredTable
 from tablewright.sources.tables import Tables
 from tablewright.workloads.aggregation import (
     DASHBOARD_SQL,
@@ -166,9 +165,7 @@ def high_budget(t: Tables) -> DataFrame:
 
 @query("mv_01_with_data", DEPT_SUMMARY_SQL, "emp dept proj")
 def with_data(t: Tables) -> DataFrame:
-    mv = MaterializedView(
-        t.spark, new_folder(t.spark, "dept_summary"), lambda: dept_summary(t.dept, t.emp, t.proj)
-    )
+    mv = MaterializedView(StoredTable.fresh(t.spark, "dept_summary"), lambda: dept_summary(t.dept, t.emp, t.proj))
     mv.refresh()
     return mv.read()
 
@@ -183,11 +180,9 @@ def with_data(t: Tables) -> DataFrame:
     "emp dept proj",
 )
 def stale_then_refreshed(t: Tables) -> DataFrame:
-    base = VersionedTable(t.spark, new_folder(t.spark, "emp"))
+    base = StoredTable.fresh(t.spark, "emp")
     base.write(t.emp)
-    mv = MaterializedView(
-        t.spark, new_folder(t.spark, "dept_summary"), lambda: dept_summary(t.dept, base.read(), t.proj)
-    )
+    mv = MaterializedView(StoredTable.fresh(t.spark, "dept_summary"), lambda: dept_summary(t.dept, base.read(), t.proj))
     mv.refresh()
     columns = table("columns", "emp_id bigint, emp_name varchar(50), dept_id int, salary numeric(10,2)")
     base.append(fill_missing(literal_rows(t.spark, columns, [(-8, "Newcomer", 1, 54000)]), EMP))
@@ -210,7 +205,7 @@ def keyed_refresh(t: Tables) -> DataFrame:
 
     A refresh that would repeat a key is refused and leaves the last result in place.
     """
-    base = VersionedTable(t.spark, new_folder(t.spark, "emp"))
+    base = StoredTable.fresh(t.spark, "emp")
     base.write(t.emp)
     copies = [1]
 
@@ -218,7 +213,7 @@ def keyed_refresh(t: Tables) -> DataFrame:
         repeated = F.explode(F.array_repeat(F.lit(0), copies[0]))
         return dept_summary(t.dept, base.read(), t.proj).withColumn("copy", repeated).drop("copy")
 
-    mv = MaterializedView(t.spark, new_folder(t.spark, "dept_summary"), plan, key=["dept_id"])
+    mv = MaterializedView(StoredTable.fresh(t.spark, "dept_summary"), plan, key=["dept_id"])
     mv.refresh()
     reader = mv.read()
     columns = table("columns", "emp_id bigint, emp_name varchar(50), dept_id int, salary numeric(10,2)")
@@ -246,7 +241,7 @@ def populated_later(t: Tables) -> DataFrame:
         overview = project_overview(t.proj, t.dept, t.emp).drop("location")
         return overview.withColumnRenamed("team_size", "assigned_employees")
 
-    mv = MaterializedView(t.spark, new_folder(t.spark, "project_stats"), plan)
+    mv = MaterializedView(StoredTable.fresh(t.spark, "project_stats"), plan)
     try:
         mv.read()
     except LookupError:

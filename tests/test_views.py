@@ -9,7 +9,7 @@ from tablewright.operators import changes
 from tablewright.operators.quality import IntegrityError
 from tablewright.plans.views import MaterializedView, create_view, drop_view, rename_view
 from tablewright.sources.ingest import append, literal_rows
-from tablewright.sources.store import ConcurrentChange, VersionedTable, snapshot
+from tablewright.sources.stored import ConcurrentChange, StoredTable, snapshot
 from tablewright.workloads import viewing
 from tablewright.workloads.aggregation import dashboard, dept_summary
 from tests.fixtures import COMPANY_EMP, company, rows
@@ -69,12 +69,10 @@ def test_dashboard_after_writes(t):
 
 
 def test_materialized_view_is_stale_until_refreshed(spark, t, tmp_path):
-    base = VersionedTable(spark, str(tmp_path / "emp"))
+    base = StoredTable.fresh(spark, "emp")
     emp = changes.update(t.emp, {"salary": F.lit(52000)}, F.col("emp_name") == "John Smith")
     base.write(hire(emp, 6, "Alice Johnson", 102, 58000))
-    mv = MaterializedView(
-        spark, str(tmp_path / "mv"), lambda: dept_summary(t.dept, base.read(), t.proj), key=["dept_id"]
-    )
+    mv = MaterializedView(StoredTable.fresh(spark, "mv"), lambda: dept_summary(t.dept, base.read(), t.proj), key=["dept_id"])
     with pytest.raises(LookupError, match="not been populated"):
         mv.read()
     mv.refresh()
@@ -94,7 +92,7 @@ def test_materialized_view_is_stale_until_refreshed(spark, t, tmp_path):
 
 def test_refresh_with_repeated_key_keeps_the_old_result(spark, tmp_path):
     plans = [spark.range(2), spark.range(2).union(spark.range(1))]
-    mv = MaterializedView(spark, str(tmp_path / "mv"), lambda: plans[0], key=["id"])
+    mv = MaterializedView(StoredTable.fresh(spark, "mv"), lambda: plans[0], key=["id"])
     mv.refresh()
     plans.reverse()
     with pytest.raises(IntegrityError):
@@ -102,18 +100,17 @@ def test_refresh_with_repeated_key_keeps_the_old_result(spark, tmp_path):
     assert rows(mv.read()) == [(0,), (1,)]
 
 
-def test_versions_and_snapshots(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"))
-    assert table.version() is None
+def test_states_and_snapshots(spark):
+    table = StoredTable.fresh(spark, "t")
+    assert table.state() is None
     table.write(spark.range(3))
-    taken = snapshot(table.read(), str(tmp_path / "s"))
+    taken = snapshot(table.read(), "s")
     pinned = table.read()
     table.write(table.read().filter("id > 0"))
     table.append(spark.range(7, 8))
-    assert rows(table.read()) == [(1,), (2,), (7,)]
-    assert rows(table.read(2)) == [(1,), (2,)]
-    assert rows(pinned) == rows(taken) == [(0,), (1,), (2,)]
-    with pytest.raises(LookupError, match="version 9"):
+    assert sorted(rows(table.read())) == [(1,), (2,), (7,)]
+    assert sorted(rows(pinned)) == sorted(rows(taken)) == sorted(rows(table.read(1))) == [(0,), (1,), (2,)]
+    with pytest.raises(LookupError, match="state 9"):
         table.read(9)
 
 
@@ -138,35 +135,70 @@ def test_shared_folder_comes_from_the_session(spark, tmp_path, monkeypatch):
         session.shared_folder(Cluster())
 
 
-def test_two_writers_of_one_state(spark, tmp_path):
-    one, two = (VersionedTable(spark, str(tmp_path / "t")) for _ in range(2))
+def test_two_writers_of_one_state(spark):
+    one = StoredTable.fresh(spark, "t")
+    two = StoredTable(spark, one.name)
     one.write(spark.range(2))
-    seen, schema = two.version(), two.read().schema
-    one.append(spark.range(5, 6))
-    # the version that the second writer would take is gone
-    assert not two._commit(seen + 1, schema, [])
-    with pytest.raises(ConcurrentChange, match="version 2, not 1"):
+    seen = two.state()
+    staged = two.stage(spark.range(9))
+    assert one.state() == seen and sorted(rows(one.read())) == [(0,), (1,)]  # what is staged is not a state
+    one.write(spark.range(5))
+    with pytest.raises(ConcurrentChange, match="state 2, not 1"):
+        two.publish(staged, after=seen)
+    with pytest.raises(ConcurrentChange, match="state 2, not 1"):
         two.write(spark.range(9), after=seen)
-    two.append(spark.range(7, 8))
-    assert sorted(rows(one.read())) == [(0,), (1,), (5,), (7,)]
+    assert one.read().count() == 5
+    assert two.publish(staged) == 3 and one.read().count() == 9
 
 
-def test_append_keeps_the_schema(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"))
+def test_append_keeps_names_and_types(spark):
+    table = StoredTable.fresh(spark, "t")
     table.write(spark.range(1))
-    with pytest.raises(ValueError, match="holds struct<id:bigint>"):
-        table.append(spark.range(1).withColumn("x", F.lit(1)))
-    assert table.version() == 1
+    for wrong in (spark.range(1).withColumn("x", F.lit(1)), spark.range(1).select(F.col("id").cast("int"))):
+        with pytest.raises(ValueError, match="holds"):
+            table.append(wrong)
+    assert table.state() == 1 and table.read().count() == 1
 
 
-def test_vacuum_keeps_what_the_newest_states_name(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"))
-    table.write(spark.range(1))
-    table.append(spark.range(1, 2))
-    table.write(spark.range(4))
+def test_vacuum_drops_older_states(spark):
+    table = StoredTable.fresh(spark, "t")
+    for n in (1, 2, 4):
+        table.write(spark.range(n))
     table.vacuum(keep=2)
-    assert rows(table.read(2)) == [(0,), (1,)] and table.read().count() == 4
+    assert table.states() == [2, 3] and table.read(2).count() == 2 and table.read().count() == 4
     with pytest.raises(LookupError):
         table.read(1)
-    table.vacuum(keep=1)
-    assert len(list((tmp_path / "t").glob("rows-*"))) == 1 and table.version() == 3
+
+
+def files(table):
+    return {f.rsplit("/", 2)[1] + "/" + f.rsplit("/", 1)[1] for f in table.read().inputFiles()}
+
+
+def test_a_new_column_rewrites_no_file(spark):
+    table = StoredTable.fresh(spark, "t")
+    table.write(spark.range(3))
+    old = files(table)
+    table.add_column("kind", "STRING", "'A'")
+    table.add_column("size", "DECIMAL(4,1)", "0.0")
+    table.add_column("note", "STRING")
+    assert files(table) == old and table.read().filter("kind = 'A' AND size = 0 AND note IS NULL").count() == 3
+    table.set_default("kind", "'B'")
+    table.append(spark.range(5, 6))
+    table.set_default("kind", None)
+    table.append(spark.range(6, 7))
+    assert {r[0]: r[1] for r in rows(table.read().select("id", "kind"))} == {0: "A", 1: "A", 2: "A", 5: "B", 6: None}
+    assert old < files(table)
+
+
+def test_a_delete_leaves_other_partitions_alone(spark):
+    table = StoredTable.fresh(spark, "t")
+    part = F.when(F.col("id") % 4 < 3, F.concat(F.lit("it's "), F.col("id") % 4))
+    table.write(spark.range(40).withColumn("part", part), partition_by=("part",))
+    before = files(table)
+    where = ((F.col("id") % 4 == 1) & (F.col("id") < 20)) | F.col("part").isNull()
+    assert table.delete_in_partitions(where, ("part",)) == 2
+    assert sorted(r[0] for r in rows(table.read().select("id"))) == [i for i in range(40) if not (i % 4 == 1 and i < 20 or i % 4 == 3)]
+    kept = {f for f in before if f.split("/")[0].endswith((" 0", " 2", "%200", "%202"))}
+    assert kept and kept <= files(table) and not (before - kept) & files(table)
+    assert table.delete_in_partitions(F.col("id") < 0, ("part",)) == 0
+    assert table.delete_in_partitions(F.lit(True), ("part",)) == 3 and table.read().count() == 0

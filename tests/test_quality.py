@@ -1,11 +1,14 @@
 """Integrity rules and deletes of parents in the small shop."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from tablewright.operators import changes, quality
 from tablewright.sources.ingest import literal_rows
 from tablewright.sources.spec import Check, ForeignKey, references, table
+from tablewright.workloads import QUERIES
 from tests.fixtures import SHOP, rows, shop
 
 
@@ -136,3 +139,37 @@ def test_no_action_looks_at_remaining_children(spark, rule, refused):
     else:
         after = changes.delete_parents(schema, "a", F.col("a") == 1)
         assert rows(after["b"]) == [(20, 2)] and rows(after["c"]) == [(2, 2, 20)]
+
+
+def test_one_pass_validation_equals_the_rules_one_by_one(spark):
+    """Hot and NULL keys, text keys, composite keys, equal rows, references to a unique key and to the own table."""
+    a = table(
+        "a", "id bigint!, code varchar(3), boss int, x numeric(4,1)", primary_key=("id",), unique=(("code",),),
+        checks=(Check("x", "x >= 0"),), foreign_keys=(ForeignKey(("boss",), "a", ("id",)),),
+    )
+    b = table(
+        "b", "a_id int, line int, code text, u text, v text, w int", primary_key=("a_id", "line"), unique=(("u", "v"), ("w",)),
+        foreign_keys=(references("a_id", a), ForeignKey(("code",), "a", ("code",)), ForeignKey(("w",), "b", ("w",))),
+    )
+    c = table("c", "u text, v text, n int", foreign_keys=(ForeignKey(("u", "v"), "b", ("u", "v")),))
+    rows_a = [(1, "x", None, 1.0), (1, "y", 2, -1.0), (2, "y", 9, None), (None, "long", None, -3.0), (None, "long", None, -3.0), (4, None, 1, 5.0)]
+    rows_b = [(1, 1, "x", "p", "q", 1)] * 2 + [(7, 1, "z", "p|q", None, 2), (7, None, None, "p", "q|r", 3), (7, None, "z", "p|q", "r", 3)]
+    rows_b += [(None, 2, "y", None, None, None), (2, 2, "y", "p", "q|r", 4)]
+    rows_c = [("p", "q", 1), ("p|q", "r", 1), ("p", "q|r", 2), ("no", "such", 1), ("no", "such", 2), (None, "q", 1), ("p|q|r", "", 1)]
+    frames = [
+        spark.createDataFrame(rows_a, "id long, code string, boss int, x double").withColumn("x", F.col("x").cast("decimal(6,1)")),
+        spark.createDataFrame(rows_b, "a_id int, line int, code string, u string, v string, w int"),
+        spark.createDataFrame(rows_c, "u string, v string, n int"),
+    ]
+    tables = dict(zip("abc", zip(frames, (a, b, c))))
+    parents = dict(zip("abc", frames))
+    want = [r for df, spec in tables.values() for r in rows(quality.validate(df, spec, parents), "rule", "key", "detail")]
+    got = rows(quality.validate_all(tables), "rule", "key", "detail")
+    assert sorted(got, key=repr) == sorted(want, key=repr) and len({r[0] for r in want}) > 9
+
+
+def test_the_report_reads_each_table_once(spark):
+    found = QUERIES["dq_17_report"](spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"\] parquet", plan)) == 4
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1

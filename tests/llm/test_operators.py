@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import duckdb
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tests.compare import differences
 from tokenizers import Tokenizer
 
@@ -201,14 +202,55 @@ def test_roles_are_recovered(spark):
     assert sum(found.get(k) == r for k, r in true.items()) > 0.75 * len(true)
 
 
-def test_blocks_do_not_change_the_roles(spark, hard):
-    turns = spark.read.parquet(f"{hard}/conversations.parquet").filter("conv_id = 3")
+def brute_turns(rows, model):
+    """conv_id, turn, role, n_lines, text of the turns of the best of all paths, by steps through every state of every line."""
+    change, emission = map(transcripts.scaled, model)
+    n, by = len(transcripts.STATES), defaultdict(list)
+    for r in rows:
+        by[r["conv_id"]].append(r)
+    out = []
+    for conv, lines in by.items():
+        lines.sort(key=lambda r: (r["turn"] is not None, r["turn"] or 0, r["line"], r["text"]))
+        best = {n: (0, ())}
+        for r in lines:
+            tie = r["tie"] % 2**64
+            following = {}
+            for state in range(n):
+                noise = ((tie >> (8 * state)) ^ (tie << (3 * state))) % 2**transcripts.NOISE
+                ways = [(x + int(change[s, state]), path) for s, (x, path) in best.items() if change[s, state] > transcripts.NEVER]
+                if ways:
+                    x, path = max(ways)
+                    following[state] = (x + int(emission[state, r["seen"]]) + noise, (*path, state))
+            best = following
+        _, path = max(best.values())
+        for r, state in zip(lines, path):
+            if state % 2 == 0 or not out or out[-1][0] != conv:
+                out.append([conv, r["turn"], transcripts.ROLES[state // 2], 0, []])
+            out[-1][3] += 1
+            out[-1][4].append(r["shown"])
+    return Counter((c, t, role, k, f"<|{role}|>\n" + "\n".join(x) + "\n<|end|>") for c, t, role, k, x in out)
+
+
+def test_the_same_turns_at_every_block_size(spark):
+    """Turns of many lines, which run on over the borders of small blocks, against steps through all paths."""
+    rng = random.Random(9)
+    rows = []
+    for conv in range(6):
+        for turn in range(25 if conv else 90):
+            text = "\n".join(prose(rng, rng.randint(1, 9)) + rng.choice(["", "?"]) for _ in range(rng.choice([1, 1, 2, 5, 9])))
+            rows.append((conv, turn, ("user", "assistant")[turn % 2], text))
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     lines = transcripts.transcripts(turns)
-    model = transcripts.counted(transcripts.observed(lines))
-    whole, cut = (
-        [(r["turn"], r["role"]) for r in transcripts.parse(lines, model, n).orderBy("turn").collect()] for n in (10**6, 7)
-    )
-    assert len(whole) == 600 and whole == cut
+    seen = transcripts.observed(lines)
+    model = transcripts.counted(seen)
+    strip = F.regexp_replace("text", r"^\s*\W{0,3}[A-Za-z]{1,12}\W{0,3}:\s+", "")
+    shown = F.when(transcripts.marker_of(F.col("text")) == "none", F.col("text")).otherwise(strip)
+    known = seen.select("conv_id", "turn", "line", "text", "seen", shown.alias("shown"), F.xxhash64("turn", "line", "text").alias("tie"))
+    want = brute_turns([r.asDict() for r in known.collect()], model)
+    assert max(k for _, _, _, k, _ in want) > 9
+    for block, few in ((1, 8), (2, 1024), (3, 4), (256, 1024), (10**6, 1024)):
+        found = transcripts.parse(lines.drop("role"), model, block, few).collect()
+        assert Counter((r["conv_id"], r["turn"], r["role"], r["n_lines"], r["rendered"]) for r in found) == want
 
 
 def test_hard_conversations(spark, hard):

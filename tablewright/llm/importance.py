@@ -3,14 +3,16 @@
 Texts are bags of hashed words and word pairs. The target model is counted on the documents
 labelled as good, the raw model on all documents; both are smoothed distributions over
 ``BUCKETS`` buckets, so their size is fixed and the two together (1 MB) go to every task. The
-weight of a text is its mean log ratio per feature times ``STRENGTH``; Gumbel noise drawn from
-a hash of the id turns the ``k`` largest sums into a sample without replacement in proportion
-to the weights. The k-th largest key is found exactly by a search that narrows the range of written keys:
-a few passes, each a histogram of at most 65,536 rows.
+log weight of a text is the log of the ratio of its probabilities under the two models, the sum over its
+features. Gumbel noise drawn from a hash of id and text turns the ``k`` largest sums into a sample without
+replacement in proportion to the weights. The k-th largest key is found exactly by a search that
+narrows the range of written keys: a few passes, each a histogram of at most 65,536 rows.
 
 Counts are summed per task before Spark shuffles them, so a hot text or bucket is one row per
-task. Defined cases: null and empty texts have no features and weight 0; equal rows get equal
-keys, and rows that tie with the last key are all kept; without labels both models are equal.
+task. Defined cases: null and empty texts have no features and log weight 0; rows of one id but other
+texts draw their own noise, so do texts without an id; equal rows get equal keys, and of rows that tie with
+the last key those written first are kept, as many as fill ``k``; texts count whole at any length;
+without labels both models are equal; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +30,6 @@ from tablewright.operators.joins import left_outer
 
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
-STRENGTH = 20.0
 
 
 def features(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -70,7 +71,7 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> np.ndarray:
 
 
 def weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """doc_id, n_features, weight of each row of ``docs``."""
+    """doc_id, draw (a hash of id and text), n_features and weight (the log of it) of each row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -80,14 +81,17 @@ def weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
                 size = int(owner.max(initial=-1)) + 1
                 n[first : first + size] = np.bincount(owner, minlength=size)
                 total[first : first + size] = np.bincount(owner, shared.value[bucket], minlength=size)
-            yield batch[["doc_id"]].assign(n_features=n, weight=STRENGTH * total / np.maximum(n, 1))
+            yield batch[["doc_id", "draw"]].assign(n_features=n, weight=total)
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInPandas(score, f"doc_id {kind}, n_features long, weight double")
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, draw long, n_features long, weight double"
+    return docs.select("doc_id", "text", "draw").mapInPandas(score, schema)
 
 
-def kth_largest(keys: DataFrame, k: int) -> float:
-    """The k-th largest of column ``key``, by narrowing its range 65,536-fold until it is one value."""
+def kth_largest(keys: DataFrame, k: int) -> tuple[float, int]:
+    """The k-th largest of column ``key``, by narrowing its range 65,536-fold until it is one value.
+
+    And how many of the rows that have it are among the first ``k``.
+    """
     low, high = keys.agg(F.min("key"), F.max("key")).first()
     while low < high:
         step = (high - low) / 65536
@@ -101,7 +105,7 @@ def kth_largest(keys: DataFrame, k: int) -> float:
                 low, high = row["low"], row["high"]
                 break
             k -= row["n"]
-    return low
+    return low, k
 
 
 def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = 0) -> DataFrame:
@@ -112,9 +116,15 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
     docs, labels = docs.select("doc_id", "text"), labels.select("doc_id", "quality")
     if share is None:
         share = labels.agg(F.avg((F.col("quality") == 1).cast("int"))).first()[0] or 0.0
-    uniform = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    keyed = weights(docs, log_ratios(docs, labels)).withColumn("key", F.col("weight") - F.log(-F.log(uniform)))
-    keyed = written(keyed, "importance")
+    drawn = docs.withColumn("draw", F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(1 << 52)))
+    uniform = (F.col("draw") + 0.5) / float(1 << 52)
+    keyed = weights(drawn, log_ratios(docs, labels)).withColumn("key", F.col("weight") - F.log(-F.log(uniform)))
+    keyed = written(keyed.drop("draw").withColumn("row", F.monotonically_increasing_id()), "importance")
     k = round(share * keyed.count())
-    last = kth_largest(keyed, k) if k else float("inf")
-    return keyed.withColumn("kept", F.col("key") >= last)
+    kept = F.lit(False)
+    if k:
+        last, of_last = kth_largest(keyed, k)
+        ties = keyed.filter(F.col("key") == last).select((-F.col("row")).alias("key"))
+        row, _ = kth_largest(ties, of_last)
+        kept = (F.col("key") > last) | ((F.col("key") == last) & (-F.col("row") >= row))
+    return keyed.withColumn("kept", kept).drop("row")

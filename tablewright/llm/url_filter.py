@@ -1,13 +1,15 @@
-"""URL filter: listed rules by host and path, and association rules mined from labels, level by level.
+"""URL filter: listed rules by host and path, and association rules that FP-growth mines from labels.
 
-Everything is DataFrame functions. A URL's tokens are all its named parts: domain levels, path
-parts, extension, query names. Labelled URLs are the transactions. Rules for a label are kept
-above a support (a share of the labelled URLs and a number of them) and a confidence.
+Everything is DataFrame functions and Spark's FP-growth. A URL's tokens are all its named parts: domain
+levels, path parts, extension, query names; nothing is cut from a URL. The transactions are the
+tokens of the labelled bad URLs, so the support of a set is the bad pages that have it (a share of
+the labelled URLs and a number of them, at least); how many labelled URLs have it at all then gives
+its confidence.
 
-Only rules that can be the surest one for some URL are mined, so that long URLs do not make every
-subset of their parts an itemset, and nothing is cut from a URL. Tokens below the support go;
-tokens that always occur together count as one; a set of tokens is not extended if it is always
-bad, or if it occurs as often as a set with a token less, which then says the same.
+So that long URLs do not make every subset of their parts an itemset, what cannot make a rule surer is left
+out before: tokens below the support; tokens of every labelled URL; tokens that are always bad, which are
+rules by themselves; and tokens that always occur together count as one. Sets grow with the
+combinations of what is left on bad URLs, and no join pairs tokens with each other.
 
 Matching is an inverted index: each rule is filed under the rarest of its tokens, a URL's
 tokens are joined with it, and a rule counts when all its tokens are there. Spark broadcasts
@@ -20,10 +22,14 @@ are not mined; without labels nothing is mined and the listed rules still hold.
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import bind, lower_ascii, written
+from tablewright.operators.joins import per_join_key
 
 #: The listed rules, as (verdict, host, path).
 RULES = [
@@ -103,65 +109,58 @@ def mine(
     total, all_bad = baskets.agg(F.sum("n"), F.sum("bad")).first()
     least = max(min_support * (total or 0), MIN_PAGES)
     sure = max(min_confidence, min_lift * (all_bad or 0) / (total or 1))
+    held = baskets.select("basket", "n", "bad", F.explode("tokens").alias("token"))
     counts = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     marks = [F.bit_xor("basket").alias("x"), F.sum(F.pmod("basket", F.lit(1 << 31))).alias("y"), F.count("*").alias("z")]
-    held = baskets.select("basket", "n", "bad", F.explode("tokens").alias("token"))
     frequent = written(held.groupBy("token").agg(*counts, *marks).filter(F.col("bad") >= least), "url-tokens")
     first = frequent.groupBy("x", "y", "z").agg(F.min("token").alias("same"))
-    classes = written(frequent.join(first, ["x", "y", "z"]).select("token", "same"), "url-classes")
-    held = held.join(classes.filter("token = same"), "token").select("basket", "n", "bad", "token")
-    held = written(held, "url-held")
-    # the baskets of each set of the level
-    inside = held.select("basket", "n", "bad", F.array("token").alias("tokens"))
-    level = written(inside.groupBy("tokens").agg(*counts), "url-level")
-    found = level
-    while True:
-        open_ = level.filter("bad < n").select("tokens", F.col("n").alias("of"))
-        size = F.size("tokens")
-        stem = open_.select(F.slice("tokens", 1, size - 1).alias("stem"), F.element_at("tokens", -1).alias("last"))
-        other = stem.withColumnRenamed("last", "token")
-        longer = stem.join(other, "stem").filter("last < token")
-        longer = longer.select(F.concat("stem", F.array("last")).alias("tokens"), "token")
-        # every set with a token less must be open; the least of their counts must be undercut
-        whole = F.array_append("tokens", F.col("token"))
-        parts_ = longer.select(whole.alias("whole"), F.explode(F.transform(whole, lambda x: F.array_remove(whole, x))).alias("part"))
-        fits = parts_.join(open_.withColumnRenamed("tokens", "part"), "part").groupBy("whole")
-        fits = fits.agg(F.count("*").alias("k"), F.min("of").alias("of")).filter(F.col("k") == F.size("whole"))
-        wanted = fits.select("whole", "of", F.slice("whole", 1, F.size("whole") - 1).alias("tokens"), F.element_at("whole", -1).alias("token"))
-        wanted = written(wanted, "url-candidates")
-        if not wanted.head(1):
-            break
-        inside = inside.join(wanted, "tokens").join(held.select("basket", "token"), ["basket", "token"])
-        inside = inside.select("basket", "n", "bad", F.col("whole").alias("tokens"), "of")
-        level = inside.groupBy("tokens").agg(*counts, F.min("of").alias("of"))
-        level = written(level.filter((F.col("bad") >= least) & (F.col("n") < F.col("of"))).drop("of"), "url-level")
-        inside = written(inside.join(level.select("tokens"), "tokens", "left_semi").drop("of"), "url-inside")
-        found = found.unionAll(level)
-    rules = found.select("tokens", (F.col("bad") / F.col("n")).alias("confidence"))
-    return classes, rules.filter(F.col("confidence") >= sure - 1e-12)
+    classes = frequent.join(first, ["x", "y", "z"]).select("token", "same", "n", "bad")
+    classes = written(classes, "url-classes")
+    mixed = classes.filter((F.col("token") == F.col("same")) & (F.col("bad") < F.col("n")) & (F.col("n") < (total or 0)))
+    held = held.join(mixed.select("token"), "token").select("basket", "n", "bad", "token")
+    reduced = held.groupBy("basket", "n", "bad").agg(F.array_sort(F.collect_list("token")).alias("items"))
+    reduced = written(reduced.groupBy("items").agg(*counts), "url-reduced")
+    sets = _sets(reduced, least).unionAll(classes.filter("token = same").select(F.array("token"), "n", "bad")).distinct()
+    rules = sets.select("tokens", (F.col("bad") / F.col("n")).alias("confidence"))
+    return classes.select("token", "same"), rules.filter(F.col("confidence") >= sure - 1e-12)
+
+
+def _sets(baskets: DataFrame, least: float) -> DataFrame:
+    """tokens, n, bad: the sets of two tokens or more that ``least`` bad pages have, and who has them."""
+    bad = baskets.filter((F.col("bad") > 0) & (F.size("items") > 1))
+    # FP-growth knows no weights: a basket is there for each of its pages
+    pages = written(bad.select(F.explode(F.array_repeat("items", F.col("bad").cast("int"))).alias("items")), "url-bad")
+    many = pages.count()
+    if many < least:
+        return baskets.select(F.col("items").alias("tokens"), "n", "bad").limit(0)
+    # a share that stands for the whole number ``least`` whatever the rounding
+    model = FPGrowth(itemsCol="items", minSupport=(math.ceil(least) - 0.5) / many).fit(pages)
+    found = model.freqItemsets.filter(F.size("items") > 1).select(F.array_sort("items").alias("tokens"), F.col("freq").alias("bad"))
+    found = written(found.withColumn("id", F.monotonically_increasing_id()), "url-sets")
+    held = _filed(baskets.select("items", "n"), "items", found)
+    return held.groupBy("id", "tokens", "bad").agg(F.sum("n").alias("n")).select("tokens", "n", "bad")
+
+
+def _filed(baskets: DataFrame, items: str, sets: DataFrame) -> DataFrame:
+    """Every basket with every set of ``sets`` (tokens) that lies in it, by an inverted index.
+
+    A set is filed under the rarest of its tokens, so common tokens lead to few sets.
+    """
+    token = F.explode(items).alias("token")
+    frequency = per_join_key(baskets.select(token), ["token"], F.count("*").alias("often"))
+    filed = sets.select("id", F.explode("tokens").alias("token")).join(frequency, "token")
+    rarest = filed.groupBy("id").agg(F.min(F.struct("often", "token")).alias("rarest"))
+    index = written(sets.join(rarest, "id").withColumn("token", F.col("rarest.token")).drop("rarest"), "url-index")
+    met = baskets.select("*", token).join(index, "token")
+    return met.filter(F.size(F.array_except("tokens", items)) == 0).drop("token")
 
 
 def match(urls: DataFrame, classes: DataFrame, rules: DataFrame) -> DataFrame:
     """url, confidence of the surest rule that fits: the URLs that a mined rule blocks."""
     named = urls.select("url", F.explode("tokens").alias("token")).distinct().join(classes, "token")
-    urls = written(named.groupBy("url").agg(F.collect_set("same").alias("tokens")), "url-classes-held")
-    frequency = urls.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    index = (
-        rules.withColumn("id", F.xxhash64("tokens"))
-        .select("id", "tokens", "confidence", F.explode("tokens").alias("token"))
-        .join(frequency, "token")
-        .groupBy("id", "tokens", "confidence")
-        .agg(F.min(F.struct("n", "token")).alias("rarest"))
-        .select(F.col("rarest.token").alias("token"), F.col("tokens").alias("needs"), "confidence")
-    )
-    return (
-        urls.select("url", "tokens").distinct()
-        .select("url", "tokens", F.explode("tokens").alias("token"))
-        .join(index, "token")
-        .filter(F.size(F.array_except("needs", "tokens")) == 0)
-        .groupBy("url")
-        .agg(F.max("confidence").alias("confidence"))
-    )
+    urls = written(named.groupBy("url").agg(F.collect_set("same").alias("held")), "url-held")
+    rules = written(rules.withColumn("id", F.xxhash64("tokens")), "url-rules")
+    return _filed(urls, "held", rules).groupBy("url").agg(F.max("confidence").alias("confidence"))
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]] = RULES, **limits: float) -> DataFrame:

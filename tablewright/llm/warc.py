@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import scratch_folder
+from tablewright.operators.joins import per_join_key
 
 END = "\r\n\r\n"
 #: The digits of base 32, as conv() writes them and as WARC digests do.
@@ -55,11 +56,8 @@ def resolve(records: DataFrame, min_bytes: int = 0) -> DataFrame:
     Payloads of fewer than ``min_bytes`` bytes are all responses.
     """
     large = records.filter(F.col("payload_bytes") >= min_bytes)
-    originals = (
-        large.filter(F.col("record_type") == "response")
-        .groupBy(F.col("payload_digest").alias("of_digest"))
-        .agg(F.max("page_id").alias("original"), F.count("*").alias("n"))
-    )
+    responses = large.filter(F.col("record_type") == "response").withColumn("of_digest", F.col("payload_digest"))
+    originals = per_join_key(responses, ["of_digest"], F.max("page_id").alias("original"), F.count("*").alias("n"))
     # a payload of one response needs no change, but revisits from other archives may refer to it
     once = (F.col("n") == 1) & (F.col("record_type") == "response")
     found = records.join(

@@ -1,10 +1,12 @@
 """Every operator over hard small tables and empty ones, against SQL or a brute-force version."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import duckdb
 import public_tokenizers
@@ -17,6 +19,7 @@ import corpus_pipeline
 from tablewright.llm import (
     components,
     decontamination,
+    importance,
     jaccard_join,
     packing,
     quality_rules,
@@ -191,6 +194,37 @@ def test_sample_has_its_size_and_prefers_the_target(spark, hard):
     assert len(hard_rows) == len(hard_tables()["documents"]) and all(r["weight"] == 0 for r in hard_rows if r["n_features"] == 0)
 
 
+def test_weights_and_keys_equal_plain_counts(spark):
+    """The models counted word by word, the weight a sum over a text's features, and the k largest keys."""
+    rng = random.Random(12)
+    texts = [prose(rng, rng.randint(1, 60)) for _ in range(60)] + [None, "", "one", "one", "x " * 500]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, prose(rng, 20)) for _ in range(20)] + [(7, prose(rng, 9)), (7, texts[7]), (7, texts[7])]
+    labels = [(i, int(i % 3 > 0)) for i in range(50)] + [(None, 1), (1, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = importance.resample(docs, spark.createDataFrame(labels, "doc_id long, quality int"), share=0.37).collect()
+    good = {d for d, q in labels if q == 1 and d is not None}
+    bags = [Counter(next(iter(importance.features([t])), (0, [], []))[1].tolist()) for _, t in rows]
+    raw, target = Counter(), Counter()
+    for (d, _), bag in zip(rows, bags):
+        raw.update(bag)
+        if d in good:
+            target.update(bag)
+    sums = [sum(c.values()) + importance.BUCKETS for c in (raw, target)]
+    want = Counter()
+    for (d, _), bag in zip(rows, bags):
+        weight = sum(n * (math.log((target[b] + 1) / sums[1]) - math.log((raw[b] + 1) / sums[0])) for b, n in bag.items())
+        want[d, sum(bag.values()), round(weight, 6)] += 1
+    assert Counter((r["doc_id"], r["n_features"], round(r["weight"], 6)) for r in found) == want
+    k = round(0.37 * len(rows))
+    kept = [r["key"] for r in found if r["kept"]]
+    assert len(kept) == k and sorted(kept) == sorted(r["key"] for r in found)[-k:]
+    assert len({r["key"] for r in found if r["doc_id"] is None}) == 20  # each text draws for itself
+    draws = [r["key"] - r["weight"] for r in importance.resample(docs.limit(0).unionAll(
+        spark.range(4000).selectExpr("id AS doc_id", "'' AS text")), spark.createDataFrame(labels, "doc_id long, quality int")).collect()]
+    below = sum(x < -math.log(math.log(2)) for x in draws) / len(draws)  # the median of Gumbel noise
+    assert abs(below - 0.5) < 0.03
+
+
 # op4
 
 
@@ -277,6 +311,37 @@ def test_mined_rules_block(spark):
     assert {r["page_id"] for r in rows if r["verdict"] == "block"} == {i for i in range(120) if i % 3 == 0 and i % 2}
 
 
+def test_mined_rules_equal_enumerated_ones(spark):
+    """The surest of all sets of tokens that enough bad pages have, for every URL; tokens that go together, hot ones."""
+    rng = random.Random(13)
+    urls = []
+    for i in range(400):
+        host = rng.choice(["a.net", "b.net", "www.a.net", "c.org", "d.e.net"])
+        path = "/".join(rng.choice("pqr") for _ in range(rng.randint(0, 2)))
+        query = "&".join(sorted(rng.sample(["u=1", "v=2", "w"], rng.randint(0, 2))))
+        urls.append((i, f"http://{host}/{path}{'?' + query if query else ''}"))
+    bad = {i for i, u in urls if ("a.net" in u and "u=" in u and rng.random() < 0.9) or ("/q" in u and "w" in u.split("?")[-1]) or rng.random() < 0.1}
+    labels = [(i, int(i not in bad), 0) for i in range(300)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    found = url_filter.judge(pages, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), rules=[], min_confidence=0.4)
+    held = {r["page_id"]: r["tokens"] for r in url_filter.with_parts(pages).collect()}
+    sets = defaultdict(lambda: [0, 0])
+    for i in range(300):
+        for k in range(1, len(held[i]) + 1):
+            for x in combinations(sorted(held[i]), k):
+                sets[x][0] += 1
+                sets[x][1] += i in bad
+    total_bad = sum(i in bad for i in range(300))
+    sure = max(0.4, 1.5 * total_bad / 300)
+    rules = {frozenset(x): b / n for x, (n, b) in sets.items() if b >= 5 and b / n >= sure - 1e-12}
+    assert len(rules) > 20
+    for r in found.collect():
+        best = max((c for x, c in rules.items() if x <= set(held[r["page_id"]])), default=None)
+        assert (r["mined_confidence"] is None) == (best is None), r
+        assert best is None or abs(r["mined_confidence"] - best) < 1e-12
+        assert r["verdict"] == ("block" if best else "allow")
+
+
 def test_rules_on_deep_parts_of_long_urls(spark):
     """The bad pages tell themselves by the sixth path part, host level or query name only; traps nest deep."""
     urls = []

@@ -10,11 +10,11 @@ tell nothing. So documents are first brought to regions in which distances mean
    sizes or the next, so each band is joined with the boundary of the next one replicated in.
    In a band, classes that share one of their rarest shared hashes (a prefix filter, so none is
    lost) are gathered to regions by connected components.
-3. A region of more than REGION shingles is split: pivots drawn from it by a hash, every member
+3. A region of more than ``REGION`` shingles is split: pivots drawn from it by a hash, every member
    at its distance from each, home in the Voronoi region of the nearest, and replicated into
    every region whose pivot is at most 2r further (triangle inequality). Members within r of a
-   pivot are linked to it, so they need to meet only members beyond r, and those that are too
-   near the pivot for that (triangle inequality again) leave. Regions are split again until
+   pivot are linked to it, so they need to meet only members beyond r, and those that are
+   too near the pivot for that (triangle inequality again) leave. Regions are split again until
    they are small; one that pivots cannot split is joined exactly in blocks.
 4. Small regions are joined exactly, many to a task, and give links that span what is linked.
    Components of the links, and the classes' members, give the result.
@@ -41,13 +41,15 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import text_key, written
 from tablewright.llm.components import components
 from tablewright.llm.words import SPACE, U, encoded, mixed, runs, word_hashes
+from tablewright.operators.joins import per_join_key
 
 WORDS = 4
 PERCENT = 85
 #: The share of a set that is listed beyond the share that a linked set may lack.
 HEAD = 0.05
-#: Shingles of a region that one task joins.
-REGION = 400_000
+#: Shingles beyond which a region is split by pivots, and shingles that one task joins.
+REGION = 10_000
+TASK = 400_000
 PIVOTS = 16
 MOST_SPLITS = 8
 
@@ -100,12 +102,12 @@ def least_shared(n: Column, percent: int) -> Column:
 def shared_hashes(listed: DataFrame, percent: int) -> DataFrame:
     """cls, n, hash: of classes that may have links, their rarest shared hashes, enough to meet."""
     posts = listed.select("cls", "n", F.explode("head").alias("hash"))
-    met = posts.groupBy("hash").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low <> high")
+    met = per_join_key(posts, ["hash"], F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low <> high")
     shared = written(posts.join(met.select("hash"), "hash", "left_semi").select("cls", "n", "hash").distinct(), "shared")
     enough = shared.groupBy("cls").agg(F.count("*").alias("m"), F.max("n").alias("of"))
     enough = enough.filter(F.col("m") >= least_shared(F.col("of"), percent)).select("cls")
     alive = written(shared.join(enough, "cls", "left_semi"), "shared-alive")
-    counts = alive.groupBy("hash").agg(F.count("*").alias("k")).filter("k > 1")
+    counts = per_join_key(alive, ["hash"], F.count("*").alias("k")).filter("k > 1")
     by_class = W.partitionBy("cls")  # a class's own list
     ranked = alive.join(counts, "hash").withColumns(
         {"m": F.count("*").over(by_class), "rank": F.row_number().over(by_class.orderBy("k", "hash"))}
@@ -119,8 +121,8 @@ def regions(shared: DataFrame, percent: int) -> DataFrame:
     band = F.floor(F.log("n") / step)
     posts = shared.select("cls", "n", "hash", F.explode(F.array(band, band - 1)).alias("band"), band.alias("home"))
     posts = posts.withColumn("node", F.xxhash64("cls", "band"))
-    groups = posts.groupBy("hash", "band").agg(
-        F.min("node").alias("low"), F.count("*").alias("k"), F.min("home").alias("first")
+    groups = per_join_key(
+        posts, ["hash", "band"], F.min("node").alias("low"), F.count("*").alias("k"), F.min("home").alias("first")
     )
     groups = groups.filter((F.col("k") > 1) & (F.col("first") == F.col("band"))).drop("k", "first")
     met = written(posts.join(groups, ["hash", "band"]).select("node", "low", "cls", "n").distinct(), "region-links")
@@ -176,10 +178,10 @@ def region_links(cls: np.ndarray, sets: list[np.ndarray], percent: int) -> Itera
                 yield int(cls[i]), int(cls[j])
 
 
-def small_links(rows: DataFrame, percent: int, region: int) -> DataFrame:
+def small_links(rows: DataFrame, percent: int, task: int) -> DataFrame:
     """a, b: links within regions that fit a task; many regions go to one."""
     total = rows.agg(F.sum("n")).first()[0] or 0
-    tasks = max(1, -(-2 * int(total) // region))
+    tasks = max(1, -(-2 * int(total) // task))
 
     def joined(group: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -219,9 +221,12 @@ def split(rows: DataFrame, sizes: DataFrame, percent: int, turn: int) -> tuple[D
     return links, inside.select("region", "cls", "new")
 
 
-def in_blocks(rows: DataFrame, sizes: DataFrame, region: int) -> DataFrame:
-    """Regions that pivots do not split, as pairs of parts: every two members share one."""
-    parts = F.ceil(2 * F.col("shingles_in") / F.lit(region))
+def in_blocks(rows: DataFrame, sizes: DataFrame, task: int) -> DataFrame:
+    """Regions that pivots do not split, as pairs of parts: every two members share one.
+
+    A region that a task can hold is one part.
+    """
+    parts = F.when(F.col("shingles_in") <= task, 1).otherwise(F.ceil(2 * F.col("shingles_in") / F.lit(task)))
     part = F.pmod(F.xxhash64("cls", F.lit(-1)), F.col("parts"))
     dealt = rows.join(sizes.select("region", parts.alias("parts")), "region").withColumn("part", part)
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
@@ -230,7 +235,7 @@ def in_blocks(rows: DataFrame, sizes: DataFrame, region: int) -> DataFrame:
     return dealt.select(pair.alias("region"), "cls", "n", "shingles")
 
 
-def links(docs: DataFrame, listed: DataFrame, percent: int, words: int, region: int) -> DataFrame:
+def links(docs: DataFrame, listed: DataFrame, percent: int, words: int, region: int, task: int) -> DataFrame:
     """a, b: links between classes that connect all that is connected."""
     placed = written(regions(shared_hashes(listed.filter("n > 0"), percent), percent), "regions")
     sets = written(class_sets(docs, listed, placed, words), "sets")
@@ -243,22 +248,23 @@ def links(docs: DataFrame, listed: DataFrame, percent: int, words: int, region:
         sizes = written(sizes, "region-sizes")
         large = sizes.filter(F.col("shingles_in") > region)
         small = rows.join(large, "region", "left_anti")
-        out.append(written(small_links(small, percent, region), "region-links"))
+        out.append(written(small_links(small, percent, task), "region-links"))
         if not large.head(1):
             break
         rows = written(rows.join(large.select("region"), "region", "left_semi").select(*names), "large-regions")
         if turn == MOST_SPLITS:
-            out.append(written(small_links(in_blocks(rows, large, region), percent, region), "region-links"))
+            out.append(written(small_links(in_blocks(rows, large, task), percent, task), "region-links"))
             break
         found, inside = split(rows, large, percent, turn)
         out.append(written(found, "region-links"))
         inside = written(inside, "voronoi")
-        # a region that hardly shrinks is joined in blocks
+        # a region that hardly shrinks is joined as it is where a task can hold it, else in blocks
         after = inside.groupBy("region").agg(F.count("*").alias("after"))
-        stuck = written(large.join(after, "region").filter(F.col("after") > 3 * F.col("members")), "stuck")
+        most = F.when(F.col("shingles_in") <= task, 1.5).otherwise(3.0) * F.col("members")
+        stuck = written(large.join(after, "region").filter(F.col("after") > most), "stuck")
         if stuck.head(1):
-            blocks = in_blocks(rows.join(stuck.select("region"), "region", "left_semi"), stuck, region)
-            out.append(written(small_links(blocks, percent, region), "region-links"))
+            blocks = in_blocks(rows.join(stuck.select("region"), "region", "left_semi"), stuck, task)
+            out.append(written(small_links(blocks, percent, task), "region-links"))
         inside = inside.join(stuck.select("region"), "region", "left_anti")
         rows = written(
             inside.select("cls", "new").join(rows.drop("region").dropDuplicates(["cls"]), "cls")
@@ -272,14 +278,16 @@ def links(docs: DataFrame, listed: DataFrame, percent: int, words: int, region:
     return whole
 
 
-def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, region: int = REGION) -> DataFrame:
+def join(
+    docs: DataFrame, percent: int = PERCENT, words: int = WORDS, region: int = REGION, task: int = TASK
+) -> DataFrame:
     """A row for each row of ``docs``: doc_id, key (text hash), n_shingles, component_id, root.
 
     ``root`` is the least class of the component, which tells components apart whatever ids they
     have; null where there are no words.
     """
     listed = written(heads(docs, percent, words), "heads")
-    found = components(links(docs, listed, percent, words, region)).withColumnRenamed("node", "cls")
+    found = components(links(docs, listed, percent, words, region, task)).withColumnRenamed("node", "cls")
     of_class = listed.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
     labelled = of_class.join(found, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     of_root = labelled.groupBy("root").agg(F.min("least").alias("component"))

@@ -572,12 +572,13 @@ def test_regions_split_by_pivots_and_in_blocks(spark, monkeypatch):
     rows = list(enumerate(texts))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     want = brute_components(rows, 85, 4)
-    assert Counter(map(tuple, jaccard_join.report(df, region=2000).collect())) == want
+    assert Counter(map(tuple, jaccard_join.report(df, region=2000, task=2000).collect())) == want
+    assert Counter(map(tuple, jaccard_join.report(df, region=2000).collect())) == want  # joined whole where pivots do not help
     with monkeypatch.context() as m:
         m.setattr(jaccard_join, "PIVOTS", 0)  # as if none was drawn
-        assert Counter(map(tuple, jaccard_join.report(df, region=2000).collect())) == want
+        assert Counter(map(tuple, jaccard_join.report(df, region=2000, task=2000).collect())) == want
     monkeypatch.setattr(jaccard_join, "MOST_SPLITS", 0)
-    assert Counter(map(tuple, jaccard_join.report(df, region=2000).collect())) == want
+    assert Counter(map(tuple, jaccard_join.report(df, region=2000, task=2000).collect())) == want
 
 
 def brute_groups(texts, percent, size):

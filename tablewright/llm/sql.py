@@ -112,3 +112,97 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (droppe
   sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT dropped), '')) AS kept_sha256
 FROM told GROUP BY r
 """
+
+#: CRC-32 of a list of bytes, by its table of 256 entries in the one row of ``crc``.
+CRC_TABLE = """crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab
+)"""
+CRC = """xor(list_reduce(list_concat([4294967295], {bytes}), lambda c, b: xor(c >> 8, tab[1 + (xor(c, b) & 255)])), 4294967295)"""
+
+SQL["op12_spelling_variants"] = (
+    rf"""
+WITH RECURSIVE {CRC_TABLE}, runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents WHERE text IS NOT NULL
+), hashed AS (
+  SELECT run, n, {CRC.format(bytes="list_transform(range(octet_length(encode(id || ':' || run))), lambda i: CAST('0x' || substr(hex(encode(id || ':' || run)), 2 * i + 1, 2) AS BIGINT))")} AS h
+  FROM (SELECT id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY id, run), crc
+), words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+    ELSE run END AS word, n FROM hashed
+), v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM words WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cut AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)
+), pairs AS (
+  SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT cut.word, v.word FROM cut JOIN v ON cut.rest = v.word
+  UNION SELECT v.word, cut.word FROM cut JOIN v ON cut.rest = v.word
+), best AS (
+  SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY m DESC, near) AS k
+  FROM (SELECT pairs.word, near, v.n AS m FROM pairs JOIN v ON near = v.word)
+), told AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * v.n THEN near END AS form,
+    CASE WHEN m >= 10 * v.n THEN m END AS form_n
+  FROM v LEFT JOIN (SELECT * FROM best WHERE k = 1) b USING (word)
+), chain AS (
+  SELECT word, word AS last, 0 AS k FROM told
+  UNION ALL SELECT chain.word, told.form, k + 1 FROM chain JOIN told ON chain.last = told.word WHERE told.form IS NOT NULL
+), ends AS (
+  SELECT word, arg_max(last, k) AS root FROM chain GROUP BY word
+)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM told JOIN ends USING (word)
+"""
+)
+
+_FIELDS = "doc_id", "source", "lang", "n_chars"
+_LEAF = " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in _FIELDS)
+_SIBLINGS = """coalesce(string_agg(d, '') OVER (PARTITION BY {0}lvl, idx // 3 ORDER BY idx
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(d, '') OVER (PARTITION BY {0}lvl, idx // 3 ORDER BY idx
+    ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r"""
+
+SQL["op13_merkle_manifest"] = (
+    rf"""
+WITH RECURSIVE {CRC_TABLE}, t AS (
+  SELECT *, {CRC.format(bytes="list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))")} % 2 = 0 AS touched
+  FROM documents, crc
+), h AS (
+  SELECT doc_id, source IS NOT NULL AS has, coalesce(source, '') AS src, sha256({_LEAF} || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256({_LEAF} || coalesce(strlen(cut) || ':' || cut, '-')) AS tampered
+  FROM (SELECT *, CASE WHEN touched THEN replace(text, chr(10), '') ELSE text END AS cut FROM t)
+), leaf AS (
+  SELECT *, row_number() OVER () AS doc, row_number() OVER (PARTITION BY has, src ORDER BY doc_id NULLS FIRST, leaf) - 1 AS lo,
+    count(*) OVER (PARTITION BY has, src) AS n FROM h
+), nodes AS (
+  SELECT has, src, 0 AS lvl, lo AS idx, n, leaf AS d FROM leaf
+  UNION ALL SELECT has, src, lvl + 1, idx // 3, (max(n) + 2) // 3, sha256(string_agg(d, '' ORDER BY idx))
+  FROM nodes WHERE n > 1 GROUP BY has, src, lvl, idx // 3
+), sides AS (
+  SELECT has, src, lvl, idx, {_SIBLINGS.format("has, src, ")} FROM nodes WHERE n > 1
+), walk AS (
+  SELECT doc, has, src, 0 AS lvl, lo AS idx, tampered AS d, '' AS proof FROM leaf
+  UNION ALL SELECT doc, w.has, w.src, w.lvl + 1, w.idx // 3, sha256(l || w.d || r), proof || l || r
+  FROM walk w JOIN sides s ON w.has = s.has AND w.src = s.src AND w.lvl = s.lvl AND w.idx = s.idx
+), up AS (
+  SELECT doc, arg_max(d, lvl) AS d, arg_max(proof, lvl) AS proof FROM walk GROUP BY doc
+), subs AS (
+  SELECT has, src, d, row_number() OVER (ORDER BY has, src) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1
+), above AS (
+  SELECT 0 AS lvl, idx, n, d FROM subs
+  UNION ALL SELECT lvl + 1, idx // 3, (max(n) + 2) // 3, sha256(string_agg(d, '' ORDER BY idx)) FROM above WHERE n > 1 GROUP BY lvl, idx // 3
+), sides_above AS (
+  SELECT lvl, idx, {_SIBLINGS.format("")} FROM above WHERE n > 1
+), walk_above AS (
+  SELECT doc, 0 AS lvl, s.idx, up.d, proof FROM up JOIN leaf USING (doc) JOIN subs s ON leaf.has = s.has AND leaf.src = s.src
+  UNION ALL SELECT doc, w.lvl + 1, w.idx // 3, sha256(l || w.d || r), proof || l || r
+  FROM walk_above w JOIN sides_above s ON w.lvl = s.lvl AND w.idx = s.idx
+), ends AS (
+  SELECT doc, arg_max(d, lvl) AS d, arg_max(proof, lvl) AS proof FROM walk_above GROUP BY doc
+)
+SELECT doc_id, leaf, subs.d AS subroot, top.d AS root, sha256(proof) AS proof_sha256, ends.d AS folded_root, ends.d = top.d AS verified
+FROM leaf JOIN ends USING (doc) JOIN subs ON leaf.has = subs.has AND leaf.src = subs.src, (SELECT d FROM above WHERE n = 1) top
+"""
+)

@@ -30,24 +30,27 @@ SYMBOLS = "#*$%&|<>"
 
 def lines_of(text: Column) -> Column:
     """The lines that have a word."""
-    return F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    return F.filter(F.split(text, "\n"), lambda line: F.trim(line, F.lit(" \t\x0b\x0c\r")) != "")
 
 
-def normalised(line: Column) -> Column:
-    return lower_ascii(F.trim(F.regexp_replace(line, SPACES, " ")))
+def normalised_lines(text: Column) -> Column:
+    """All lines with A-Z lowered and white space made one space; a line without a word is empty."""
+    # on the whole text, line breaks apart: one pass instead of one for each line
+    return F.transform(F.split(lower_ascii(F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " ")), "\n"), lambda x: F.trim(x))
 
 
 def repeated_words(words: Column) -> Column:
     """How many words lie in a 3-word window that occurs twice or more.
 
-    Windows are hashed and sorted with their positions, so equal ones are neighbours.
+    Windows are hashed; where some are equal, they are sorted with their positions, so that equal
+    ones are neighbours.
     """
 
     def windows(w: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), F.size(w) - 2),
-            lambda i: F.struct(F.xxhash64(w[i - 1], w[i], w[i + 1]).alias("h"), i.alias("at")),
-        )
+        return F.transform(F.sequence(F.lit(1), F.size(w) - 2), lambda i: F.xxhash64(w[i - 1], w[i], w[i + 1]))
+
+    def placed(hashes: Column) -> Column:
+        return F.transform(hashes, lambda h, i: F.struct(h.alias("h"), (i + 1).alias("at")))
 
     def covered(s: Column) -> Column:
         again = F.filter(
@@ -60,17 +63,22 @@ def repeated_words(words: Column) -> Column:
 
     return bind(
         words,
-        lambda w: F.when(F.size(w) < 3, 0).otherwise(bind(F.sort_array(windows(w)), covered)),
+        lambda w: F.when(F.size(w) < 3, 0).otherwise(
+            bind(
+                windows(w),
+                lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(
+                    bind(F.sort_array(placed(h)), covered)
+                ),
+            )
+        ),
     )
 
 
 def line_hashes(text: Column) -> Column:
     """The distinct normalised lines of a text: hash and characters."""
 
-    def entry(line: Column) -> Column:
-        return bind(normalised(line), lambda x: F.struct(F.xxhash64(x).alias("line"), F.length(x).alias("chars")))
-
-    return F.array_distinct(F.transform(lines_of(text), entry))
+    lines = F.array_distinct(F.filter(normalised_lines(text), lambda x: x != ""))
+    return F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("line"), F.length(x).alias("chars")))
 
 
 #: What tells one row of documents from another here; equal rows share it and the verdict.
@@ -147,10 +155,10 @@ def clean(docs: DataFrame, most: int = MAX_DOCUMENTS, max_lost: float = MAX_LOST
     same = [rows["doc_id"].eqNullSafe(marked["doc_id"]), rows["host"] == marked["host"], rows["key"] == marked["key"]]
     met = rows.join(marked, same, "left").filter(F.expr("NOT coalesce(base_failed OR depleted, FALSE)"))
     text = F.col("row.text")
-    left = F.array_join(
-        F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(F.col("lost_lines"), F.xxhash64(normalised(x)))),
-        "\n",
-    )
+    # the lines as they are beside what they are compared by
+    both = F.arrays_zip(F.split(text, "\n").alias("line"), normalised_lines(text).alias("key"))
+    left = F.filter(both, lambda x: ~F.array_contains(F.col("lost_lines"), F.xxhash64(x["key"])))
+    left = F.array_join(F.transform(left, lambda x: x["line"]), "\n")
     kept = met.withColumn("left", F.when(F.col("lost_lines").isNull(), text).otherwise(left))
     new = {"text": F.col("left"), "n_chars": F.length("left").cast("long")}
     return kept.select(*(new.get(c, F.col("row")[c]).alias(c) for c in docs.columns))

@@ -20,6 +20,13 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # a bloom filter of a filtered side's keys goes before the other side's shuffle, if that side is
+    # worth it; up to 256 MB of keys, some 100 million, in 64 MB
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "10g",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256m",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "100000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "536870912",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -449,6 +449,21 @@ def cascade(t: Tables) -> DataFrame:
     return kept
 
 
+@query(
+    "dml_20_cascade_lost",
+    """SELECT * FROM lineitem WHERE l_orderkey IN
+         (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 200000)""",
+)
+def cascade_lost(t: Tables) -> DataFrame:
+    """The lines that go with few orders: on large tables a bloom filter of these keeps the other lines from the shuffle."""
+    gone = t.scan("orders").filter((F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 200000))
+    return lines_lost(t.scan("lineitem"), gone)
+
+
+def lines_lost(lines: DataFrame, gone: DataFrame) -> DataFrame:
+    return joins.matched(lines, gone, {"l_orderkey": "o_orderkey"}, unique=True)
+
+
 @query(
     "dml_20_cascade_chain",
     """SELECT * FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders

@@ -142,11 +142,10 @@ def dashboard_view(t: Tables) -> DataFrame:
 
 @query(
     "view_13_high_budget",
-    """SELECT p.project_name, p.budget, d.dept_name, TIMESTAMP '2024-06-30 12:00:00' AS created_date,
-         CASE WHEN p.budget > 150000 THEN 'Critical Review Required'
-              WHEN p.budget > 100000 THEN 'Management Approval Needed'
-              ELSE 'Standard Process' END AS approval_status
-       FROM proj p JOIN dept d ON p.dept_id = d.dept_id WHERE p.budget > 75000""",
+    f"""SELECT p.project_name, p.budget, d.dept_name, TIMESTAMP '2024-06-30 12:00:00' AS created_date,
+         CASE {' '.join(f"WHEN p.budget > {least} THEN '{label}'" for label, least in fixed.APPROVALS.items())}
+              ELSE '{fixed.APPROVAL_ELSE}' END AS approval_status
+       FROM proj p JOIN dept d ON p.dept_id = d.dept_id WHERE p.budget > {fixed.HIGH_BUDGET}""",
     "dept proj",
 )
 def high_budget(t: Tables) -> DataFrame:

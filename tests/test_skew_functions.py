@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.operators import changes, joins, subqueries
+from tablewright.sources.tables import Tables
+from tablewright.workloads.changes import lines_lost
 from tests.test_skew import N, final_plan, hot, people, skew  # noqa: F401
 
 
@@ -55,3 +57,40 @@ def test_not_in_with_hot_keys(spark, hot, skew):  # noqa: F811
 def test_a_repeated_key_of_a_lookup_still_fails(spark, hot):  # noqa: F811
     with pytest.raises(Exception, match="more than one row"):
         subqueries.single_value(hot, "customer", many(spark), "person", "name", "found").collect()
+
+
+def shuffled_rows(df):
+    """What was written to the shuffles of the plan that ran."""
+    df.collect()
+    plan, total = [df._jdf.queryExecution().executedPlan()], 0
+    while plan:
+        node = plan.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            plan.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            plan.append(node.plan())
+        else:
+            if name == "ShuffleExchangeExec":
+                total += node.metrics().apply("shuffleRecordsWritten").value()
+            plan += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_a_bloom_filter_goes_before_the_shuffle(spark):
+    """Few orders go: most lines are kept from the shuffle, and the result is the same."""
+    t = Tables(spark, "/root/testdata/sf0.01")
+    gone = t.scan("orders").filter("o_orderstatus = 'P' AND o_totalprice > 200000")
+    found = {}
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for least in ("0", "1000g"):
+        settings["spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"] = least
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = lines_lost(t.scan("lineitem"), gone)
+        found[least] = (sorted(map(tuple, df.collect())), shuffled_rows(df), "might_contain" in df._jdf.queryExecution().optimizedPlan().toString())
+    for k in settings:
+        spark.conf.unset(k)
+    with_filter, without = found["0"], found["1000g"]
+    assert with_filter[0] == without[0] and with_filter[2] and not without[2]
+    assert with_filter[1] < without[1] / 2

@@ -11,9 +11,9 @@ of the id, one text for each id, so that an id which many rows share cannot fill
 gets the sample's feature numbers only. All counts are over whole texts, and every document is
 scored in one pass; the weights (1 MB) go to every task.
 
-Defined cases: null and empty texts have no features and score by the bias alone; equal rows
-get equal scores; documents without an id are scored and not learnt from; null labels are
-ignored; without a positive example every score is 0.
+Defined cases: null and empty texts have no features and score by the bias alone; texts of any length
+are scored whole; equal rows get equal scores; documents without an id are scored and not learnt from;
+null labels are ignored; without a positive example every score is below 1e-15; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -97,6 +97,25 @@ def telling(in_positives: np.ndarray, in_others: np.ndarray, n: int, u: int) ->
     return (a > usual_a) & (ratio > EVIDENCE)
 
 
+def risk(z: np.ndarray, positive: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
+    """What a step lowers, and its gradient by the scores ``z``.
+
+    That is the risk while its second term is not negative, and else the second term with its sign changed.
+    """
+    n, u = positive.sum(), (~positive).sum()
+    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    loss = np.logaddexp(0, z)  # of calling a text negative
+    rest = loss[~positive].mean() - prior * loss[positive].mean()
+    g = np.zeros(len(z))
+    if rest >= 0:
+        g[positive] = prior * (p[positive] - 1) / n - prior * p[positive] / n
+        g[~positive] = p[~positive] / u
+        return prior * np.logaddexp(0, -z[positive]).mean() + rest, g
+    g[positive] = prior * p[positive] / n
+    g[~positive] = -p[~positive] / u
+    return -rest, g
+
+
 def train(rows: pd.DataFrame, prior: float, steps: int = STEPS) -> tuple[np.ndarray, float]:
     """Weights and bias by full-batch Adam on the non-negative risk."""
     found = rows.pop("found").tolist()
@@ -114,16 +133,7 @@ def train(rows: pd.DataFrame, prior: float, steps: int = STEPS) -> tuple[np.ndar
     m, v, mb, vb = np.zeros(FEATURES), np.zeros(FEATURES), 0.0, 0.0
     for step in range(1, steps + 1):
         z = np.bincount(owner, weight[flat], minlength=len(found)) + bias
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        loss = np.logaddexp(0, z)  # of calling a text negative
-        rest = loss[~positive].mean() - prior * loss[positive].mean()
-        g = np.zeros(len(found))
-        if rest >= 0:
-            g[positive] = prior * (p[positive] - 1) / n - prior * p[positive] / n
-            g[~positive] = p[~positive] / u
-        else:
-            g[positive] = prior * p[positive] / n
-            g[~positive] = -p[~positive] / u
+        _, g = risk(z, positive, prior)
         gw = np.bincount(flat, g[owner], minlength=FEATURES) + 1e-5 * weight
         gb = g.sum()
         m, v, mb, vb = 0.9 * m + 0.1 * gw, 0.99 * v + 0.01 * gw**2, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb**2

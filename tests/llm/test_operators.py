@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -495,6 +496,24 @@ def test_pipeline_cuts_short_passages_of_over_50_words(spark):
 # op8
 
 
+@pytest.mark.parametrize("shift", [0.0, 4.0])
+def test_the_gradient_of_the_risk_equals_differences(shift):
+    """On either side of where the second term of the risk turns negative."""
+    rng = np.random.default_rng(3)
+    positive = np.arange(40) < 15
+    z = rng.normal(size=40) + np.where(positive, shift, -shift)
+    prior = 0.45
+    value, gradient = toxicity.risk(z, positive, prior)
+    loss = np.logaddexp(0, z)
+    rest = loss[~positive].mean() - prior * loss[positive].mean()
+    assert (rest < 0) == (shift > 0)
+    assert abs(value - (-rest if rest < 0 else prior * np.logaddexp(0, -z[positive]).mean() + rest)) < 1e-12
+    for i in range(40):
+        step = np.where(np.arange(40) == i, 1e-6, 0)
+        slope = (toxicity.risk(z + step, positive, prior)[0] - toxicity.risk(z - step, positive, prior)[0]) / 2e-6
+        assert abs(slope - gradient[i]) < 1e-8
+
+
 def test_held_out_toxicity(spark, hard):
     rows = {r["doc_id"]: r for r in QUERIES["op8_toxicity"](spark, "/root/testdata/sf0.1").collect()}
     labels = duckdb.sql("select doc_id, toxic from '/root/testdata/sf0.1/labels.parquet' where toxic is not null").fetchall()

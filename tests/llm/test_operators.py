@@ -155,10 +155,26 @@ def test_archives_round_trip(spark, hard):
     back = warc.read_archives(spark, folder, payloads=True).collect()
     want = Counter((r["page_id"], (r["html"] or "").encode()) for r in pages.collect())
     assert Counter((r["page_id"], bytes(r["payload"])) for r in back) == want
+    plain = warc.scratch_folder(spark, "test")
+    spark.createDataFrame([("WARC/1.1",)], "value string").write.text(plain)
+    with pytest.raises(Exception, match="no gzip file"):
+        warc.read_archives(spark, plain).collect()
     again = warc.resolve(warc.read_archives(spark, folder, payloads=True), min_bytes=5).collect()
     assert {r["record_type"] for r in again if r["payload_bytes"] < 5} == {"response"}
 
 
+def test_revisits_have_fresh_headers(spark):
+    pages = spark.createDataFrame([(1, "http://a/1", "same"), (2, "http://a/2\r\nx", "same"), (3, None, "other")], "page_id long, url string, html string")
+    folder = warc.scratch_folder(spark, "test")
+    warc.write_archives(warc.resolve(warc.as_records(pages)), folder, "2024-05-06T07:08:09Z")
+    text = "".join(r["value"] for r in spark.read.option("lineSep", "\0").text(folder).collect())
+    head = dict(x.split(": ", 1) for x in text.split("WARC-Type: revisit")[1].split("\r\n\r\n")[0].strip().split("\r\n"))
+    assert head["WARC-Refers-To"] == "<urn:record:2>" and head["WARC-Refers-To-Target-URI"] == "http://a/2x"
+    assert head["WARC-Date"] == head["WARC-Refers-To-Date"] == "2024-05-06T07:08:09Z" and head["WARC-Target-URI"] == "http://a/1"
+    found = {r["page_id"]: (r["record_type"], r["refers_to"], r["refers_to_uri"]) for r in warc.read_archives(spark, folder).collect()}
+    assert found == {1: ("revisit", 2, "http://a/2x"), 2: ("response", None, None), 3: ("response", None, None)}
+
+
 # op2
 
 

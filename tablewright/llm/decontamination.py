@@ -1,12 +1,14 @@
 """Benchmark decontamination: 10-word windows of documents found in a hash set of benchmark windows.
 
-Everything is DataFrame functions. The benchmark's windows are a table keyed by the window's
-own words, so a hit of the join is verified by the strings themselves. That table is
-broadcast when its counted size is below ``BROADCAST_BYTES``; beyond it the same join is left
-to Spark, which shuffles. Documents are read once: each row yields its windows and one marker
-row; only markers and hits leave the join, so the only shuffle holds a row for each document
-and hit. Windows are made from blocks of words, so a very long text is never one array of
-strings.
+Everything is DataFrame functions. Words are hashed once and windows by the hashes of their words; a
+bitmap of the benchmark's window hashes, at most ``BITMAP_WORDS`` numbers of 64 bits, tells which windows of a
+document can be one of these, and only such a window is made a string. The benchmark's windows
+are a table keyed by the window's own words, so a hit of the join is verified by the strings
+themselves. That table is broadcast when its counted size is below ``BROADCAST_BYTES``; beyond it the same
+join is left to Spark, which shuffles the windows that the bitmap lets through and can split a hot one.
+Documents are read once: each row yields these windows and one marker row; only markers and hits leave
+the join, so the only other shuffle holds a row for each document and hit. Windows are made from blocks
+of words, so a very long text is never one array of strings.
 
 Defined cases: null and empty texts have no words and are clean; an item without an id still
 hits, but is not counted; items that repeat an id count once; equal rows of documents give
@@ -15,16 +17,21 @@ equal rows of the result; an empty benchmark hits nothing.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import bind, lower_ascii, split_words, text_key
+from tablewright.operators.joins import per_join_key
 
 WINDOW = 10
 #: The largest benchmark that is broadcast, in bytes of its distinct windows and their items.
 BROADCAST_BYTES = 64 << 20
 #: Words of a document from which windows are made at once.
 BLOCK = 2048
+#: The bitmap has a power of two of 64-bit numbers, 16 bits for a window, and at most so many (1 MB).
+BITMAP_WORDS = 1 << 17
 
 #: Characters that are no part of a word, after A-Z are lowered.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -43,19 +50,41 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
         size = F.least(F.size(w), F.lit(window))
         return F.transform(
             F.sequence(F.lit(1), F.size(w) - size + 1),
-            lambda i: F.struct(F.concat_ws(" ", F.slice(w, i, size)).alias("gram"), size.alias("size")),
-        )
+            lambda i: F.struct(
+                F.concat_ws(" ", F.slice(w, i, size)).alias("gram"), size.alias("size"),
+                window_hash(F.transform(F.slice(w, i, size), lambda x: F.xxhash64(x)), F.lit(1), size).alias("hash"),
+            ),
+        )
 
     each = bind(words_of(F.col("text")), lambda w: F.when(F.size(w) > 0, grams(w)))
-    return (
-        benchmark.select(F.col("item_id").cast("string").alias("item"), F.explode(each).alias("x"))
-        .groupBy("x.gram", "x.size")
-        .agg(F.collect_set("item").alias("items"))
-    )
+    each = benchmark.select(F.col("item_id").cast("string").alias("item"), F.explode(each).alias("x"))
+    keys = each.select("x.gram", "x.size", "x.hash", "item")
+    return per_join_key(keys, ["gram", "size", "hash"], F.collect_set("item").alias("items"))
 
 
-def document_windows(docs: DataFrame, sizes: list[int]) -> DataFrame:
-    """doc_id, key, n_words, at, size, gram: every window of ``sizes`` words, and a marker at -1."""
+def window_hash(hashes: Column, at: Column, size: Column | int) -> Column:
+    return F.xxhash64(F.slice(hashes, at, size))
+
+
+def bitmap(grams: DataFrame, n: int) -> tuple[Column, int]:
+    """The bits of the window hashes as a constant array, and how many numbers it has."""
+    words = min(BITMAP_WORDS, max(64, 1 << (n // 4).bit_length()))
+    place, _ = _place(F.col("hash"), words)
+    rows = grams.groupBy(place.alias("place")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(hash & 63 AS INT))")).alias("bits"))
+    bits = [0] * words
+    for r in rows.collect():  # as many as the bitmap has numbers, at most
+        bits[r["place"]] = r["bits"]
+    return F.from_json(F.lit(json.dumps(bits)), "array<bigint>"), words
+
+
+def _place(hash_: Column, words: int) -> tuple[Column, Column]:
+    """The number and the bit in it that stand for a hash."""
+    place = F.shiftrightunsigned(hash_, 6).bitwiseAND(F.lit(words - 1)).cast("int")
+    return place, hash_.bitwiseAND(F.lit(63)).cast("int")
+
+
+def document_windows(docs: DataFrame, sizes: list[int], bits: Column, bit_words: int) -> DataFrame:
+    """doc_id, key, n_words, at, size, gram: the windows of ``sizes`` words that the bitmap has, and a marker at -1."""
     longest = max(sizes, default=1)
 
     def blocks(w: Column) -> Column:
@@ -67,10 +96,15 @@ def document_windows(docs: DataFrame, sizes: list[int]) -> DataFrame:
             ),
         )
 
+    def told(hashes: Column, i: Column) -> Column:
+        place, bit = _place(F.get(hashes, i - 1), bit_words)
+        return F.getbit(F.get(bits, place), bit) == 1
+
     def windows(size: int) -> Column:
         last = F.least(F.size("b.words") - size + 1, F.lit(BLOCK))
+        hashes = F.transform(F.sequence(F.lit(1), last), lambda i: window_hash(F.col("hashes"), i, size))
         of_size = F.transform(
-            F.sequence(F.lit(1), last),
+            bind(hashes, lambda h: F.filter(F.sequence(F.lit(1), last), lambda i: told(h, i))),
             lambda i: F.struct(
                 (F.col("b.start") + i - 1).alias("at"), F.lit(size).alias("size"),
                 F.concat_ws(" ", F.slice("b.words", i, size)).alias("gram"),
@@ -84,6 +118,8 @@ def document_windows(docs: DataFrame, sizes: list[int]) -> DataFrame:
         "doc_id", text_key(F.col("text")).alias("key"),
         F.explode(bind(words_of(F.col("text")), blocks)).alias("b"),
     )
+    # a column of its own: the hashes of the words serve windows of every size
+    cut = cut.select("doc_id", "key", "b", F.transform("b.words", lambda x: F.xxhash64(x)).alias("hashes"))
     return cut.select(
         "doc_id", "key", "b.n_words", F.explode(F.concat(first, *map(windows, sizes))).alias("x")
     ).select("doc_id", "key", "n_words", "x.at", "x.size", "x.gram")
@@ -95,11 +131,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     # a window of many items has a row as long as their list
     items = F.octet_length(F.concat_ws("", "items")) + 16 * F.size("items")
     size = grams.groupBy("size").agg(F.count("*").alias("n"), F.sum(2 * F.octet_length("gram") + items).alias("bytes")).collect()
+    bits = bitmap(grams, sum(r["n"] for r in size))
     if sum(64 * r["n"] + r["bytes"] for r in size) <= BROADCAST_BYTES:
         grams = F.broadcast(grams)
     found = (
-        document_windows(docs, sorted(r["size"] for r in size))
-        .join(grams.drop("size"), "gram", "left")
+        document_windows(docs, sorted(r["size"] for r in size), *bits)
+        .join(grams.drop("size", "hash"), "gram", "left")
         .filter(F.col("items").isNotNull() | (F.col("at") < 0))
     )
     spread = F.flatten(F.transform("at", lambda x: F.sequence(x["at"], x["at"] + x["size"] - 1)))

@@ -149,9 +149,8 @@ def validate_all(tables: dict[str, tuple[DataFrame, TableSpec]]) -> DataFrame:
     row_names = [rule for df, spec in tables.values() for rule in own_rules(df, spec)]
     facts = [_facts(name, tables, spaces, uses, row_names) for name in tables]
     used = [F.count_if(F.col("role") == i).alias(f"used_{i}") for i in range(len(uses))]
-    met = reduce(DataFrame.unionAll, facts).groupBy("space", "k1", "k2", "text", "detail").agg(
-        F.count_if("held").alias("held"), F.first("shown", ignorenulls=True).alias("shown"), *used
-    )
+    met = reduce(DataFrame.unionAll, facts).groupBy("space", "k1", "k2", "text", "shown", "detail")
+    met = met.agg(F.count_if("held").alias("held"), *used)
     shown = F.coalesce("shown", F.concat_ws("|", "k1", "k2"))
     hits = []
     for i, (name, columns) in enumerate(spaces):
@@ -198,7 +197,7 @@ def _facts(
         made = F.struct(
             F.lit(space).alias("space"), k1.cast("bigint").alias("k1"), k2.cast("bigint").alias("k2"),
             as_text.cast("string").alias("text"), none.cast("string").alias("detail"),
-            (none if whole else text(columns)).cast("string").alias("shown"), F.lit(role is None).alias("held"),
+            (none if whole else F.concat_ws("|", *parts)).cast("string").alias("shown"), F.lit(role is None).alias("held"),
             F.lit(role).cast("int").alias("role"),
         )
         return F.when(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]), made)

@@ -149,9 +149,9 @@ def validate_all(tables: dict[str, tuple[DataFrame, TableSpec]]) -> DataFrame:
     row_names = [rule for df, spec in tables.values() for rule in own_rules(df, spec)]
     facts = [_facts(name, tables, spaces, uses, row_names) for name in tables]
     used = [F.count_if(F.col("role") == i).alias(f"used_{i}") for i in range(len(uses))]
-    met = reduce(DataFrame.unionAll, facts).groupBy("space", "k1", "k2", "text", "shown", "detail")
+    met = reduce(DataFrame.unionAll, facts).groupBy("space", "k1", "k2", "text", "detail")
     met = met.agg(F.count_if("held").alias("held"), *used)
-    shown = F.coalesce("shown", F.concat_ws("|", "k1", "k2"))
+    shown = F.coalesce("detail", F.concat_ws("|", "k1", "k2"))
     hits = []
     for i, (name, columns) in enumerate(spaces):
         spec = tables[name][1]
@@ -165,9 +165,9 @@ def validate_all(tables: dict[str, tuple[DataFrame, TableSpec]]) -> DataFrame:
     rule = F.element_at(F.array(*map(F.lit, row_names)), F.col("space") - len(spaces) + 1) if row_names else F.lit(None)
     broken_row = F.struct(rule.alias("rule"), F.col("text").alias("key"), "detail")
     # equal rows break a rule as often as they occur
-    found = F.when(of_row, F.array_repeat(broken_row, F.col("held").cast("int"))).otherwise(F.array_compact(F.array(*hits)))
+    found = F.when(of_row, F.array_repeat(broken_row, F.col("held").cast("int"))).otherwise(F.array(*hits))
     suspects = met.filter(of_row | (F.col("held") != 1))
-    return suspects.select(F.explode(found).alias("x")).select("x.rule", "x.key", "x.detail")
+    return suspects.select(F.explode(found).alias("x")).filter("x is not null").select("x.rule", "x.key", "x.detail")
 
 
 def _hit(condition: Column, rule: str, key: Column, count: str) -> Column:
@@ -179,42 +179,50 @@ def _facts(
     name: str, tables: dict[str, tuple[DataFrame, TableSpec]], spaces: list[tuple[str, tuple[str, ...]]],
     uses: list[tuple[str, ForeignKey]], row_names: list[str],
 ) -> DataFrame:
-    """space, k1, k2, text, detail, shown, held, role: what the rows of a table hold, refer to and break.
+    """space, k1, k2, text, detail, held, role: what the rows of a table hold, refer to and break.
 
-    Whole numbers are compared as such, in k1 and k2; other keys as ``text``, each part with its length.
+    Whole numbers are compared as such, in k1 and k2; other keys as ``text``, each part with its length, and
+    shown as ``detail``. No lambda is near the rows: with one, Spark interprets all of an array for each row.
+    What a row breaks is built for the few rows that break anything.
     """
     df, spec = tables[name]
     none = F.lit(None)
 
+    def made(space: int, k1: Column, k2: Column, text: Column, detail: Column, role: int | None, breaches: Column) -> Column:
+        return F.struct(
+            F.lit(space).alias("space"), k1.cast("bigint").alias("k1"), k2.cast("bigint").alias("k2"),
+            text.cast("string").alias("text"), detail.cast("string").alias("detail"), F.lit(role is None).alias("held"),
+            F.lit(role).cast("int").alias("role"), breaches.cast("array<struct<space:int,detail:string>>").alias("breaches"),
+        )
+
     def fact(space: int, columns: tuple[str, ...], role: int | None) -> Column:
         owner, key = spaces[space]
         types = [tables[owner][0].schema[c].dataType for c in key]
         whole = len(key) <= 2 and all(isinstance(t, _INTEGRAL) for t in types)
         values = [F.col(c).cast(t) for c, t in zip(columns, types)]
-        k1, k2 = [v.cast("bigint") for v in values] + [none] * (2 - len(values)) if whole else (none, none)
+        k1, k2 = values + [none] * (2 - len(values)) if whole else (none, none)
         parts = [v.cast("string") for v in values]
         as_text = none if whole else F.concat(*(F.concat(F.length(v).cast("string"), F.lit(":"), v) for v in parts))
-        made = F.struct(
-            F.lit(space).alias("space"), k1.cast("bigint").alias("k1"), k2.cast("bigint").alias("k2"),
-            as_text.cast("string").alias("text"), none.cast("string").alias("detail"),
-            (none if whole else F.concat_ws("|", *parts)).cast("string").alias("shown"), F.lit(role is None).alias("held"),
-            F.lit(role).cast("int").alias("role"),
-        )
-        return F.when(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]), made)
-
-    def breach(number: int, is_broken: Column, detail: Column) -> Column:
-        made = F.struct(
-            F.lit(number).alias("space"), none.cast("bigint").alias("k1"), none.cast("bigint").alias("k2"),
-            text(key_of(spec)).alias("text"), detail.cast("string").alias("detail"), none.cast("string").alias("shown"),
-            F.lit(True).alias("held"), none.cast("int").alias("role"),
-        )
-        return F.when(is_broken, made)
+        shown = none if whole else F.concat_ws("|", *parts)
+        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+        return F.when(known, made(space, k1, k2, as_text, shown, role, none))
 
     facts = [fact(i, columns, None) for i, (owner, columns) in enumerate(spaces) if owner == name]
     facts += [fact(spaces.index((fk.parent, fk.parent_columns)), fk.columns, i) for i, (child, fk) in enumerate(uses) if child == name]
     rules = own_rules(df, spec)
-    facts += [breach(len(spaces) + row_names.index(rule), is_broken, detail) for rule, (is_broken, detail) in rules.items()]
-    return df.select(F.explode(F.array_compact(F.array(*facts))).alias("x")).select("x.*")
+    if rules:
+        breaches = [
+            F.when(is_broken, F.struct(F.lit(len(spaces) + row_names.index(rule)).alias("space"), detail.cast("string").alias("detail")))
+            for rule, (is_broken, detail) in rules.items()
+        ]
+        any_broken = reduce(lambda a, b: a | b, [is_broken for is_broken, _ in rules.values()])
+        facts.append(F.when(any_broken, made(-1, none, none, text(key_of(spec)), none, None, F.array(*breaches))))
+    if not facts:
+        facts = [F.when(F.lit(False), made(-1, none, none, none, none, None, none))]
+    found = df.select(F.explode(F.array(*facts)).alias("x")).filter("x is not null").select("x.*")
+    each = found.select("*", F.explode_outer("breaches").alias("breach")).filter("breaches is null or breach is not null")
+    space, detail = F.coalesce("breach.space", "space").alias("space"), F.coalesce("breach.detail", "detail").alias("detail")
+    return each.select(space, "k1", "k2", "text", detail, "held", "role")
 
 
 def insert_violations(

@@ -173,3 +173,9 @@ def test_the_report_reads_each_table_once(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"\] parquet", plan)) == 4
     assert found._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+
+
+def test_the_report_interprets_nothing_for_each_row(spark):
+    """A lambda in the array that a row is exploded to takes the whole of it out of the compiled code."""
+    plan = QUERIES["dq_17_report"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("explode") >= 9 and "lambda" not in plan

@@ -11,11 +11,14 @@ tell nothing. So documents are first brought to regions in which distances mean
    In a band, classes that share one of their rarest shared hashes (a prefix filter, so none is
    lost) are gathered to regions by connected components.
 3. A region of more than ``REGION`` shingles is split: pivots drawn from it by a hash, every member
-   at its distance from each, home in the Voronoi region of the nearest, and replicated into
-   every region whose pivot is at most 2r further (triangle inequality). Members within r of a
-   pivot are linked to it, so they need to meet only members beyond r, and those that are
-   too near the pivot for that (triangle inequality again) leave. Regions are split again until
-   they are small; one that pivots cannot split is joined exactly in blocks.
+   at its distance from each, and home in the Voronoi region of the nearest. Two linked members
+   meet at the home of the one nearer to its pivot, so the other is replicated into every region
+   whose pivot is at most r further than its own (triangle inequality), unless pivots connect the
+   two already: it is linked to that pivot, or to its own and links of pivots lead from one to the
+   other. A group of near copies is thus not copied to each of its pivots. Members at home within
+   r of the pivot need to meet only members beyond r, and those that are too near the pivot for
+   that (triangle inequality again) leave. Regions are split again until they are small; one that
+   pivots cannot split is joined exactly in blocks.
 4. Small regions are joined exactly, many to a task, and give links that span what is linked.
    Components of the links, and the classes' members, give the result.
 
@@ -195,6 +198,17 @@ def small_links(rows: DataFrame, percent: int, task: int) -> DataFrame:
     return dealt.groupBy("task").applyInPandas(joined, "a long, b long")
 
 
+def with_kin(pivots: DataFrame, percent: int) -> DataFrame:
+    """``pivots`` with ``kin``: those of a region that have the same one are connected by links of its pivots."""
+    other = pivots.select("region", F.col("pivot").alias("other"), F.col("pn").alias("on"), F.col("ps").alias("os"))
+    common = F.size(F.array_intersect("ps", "os"))
+    linked = 100 * common >= percent * (F.col("pn") + F.col("on") - common)
+    pairs = written(pivots.join(other, "region").filter(linked).select("region", "pivot", "other"), "pivot-links")
+    low = pairs.groupBy("region", "pivot").agg(F.min("other").alias("low")).withColumnRenamed("pivot", "other")
+    kin = pairs.join(low, ["region", "other"]).groupBy("region", "pivot").agg(F.min("low").alias("kin"))
+    return pivots.join(kin, ["region", "pivot"])
+
+
 def split(rows: DataFrame, sizes: DataFrame, percent: int, turn: int) -> tuple[DataFrame, DataFrame]:
     """Links with pivots, and the Voronoi regions with their boundaries replicated in."""
     r = 1 - percent / 100
@@ -203,19 +217,23 @@ def split(rows: DataFrame, sizes: DataFrame, percent: int, turn: int) -> tuple[D
     drawn = (draw < PIVOTS / F.col("members")) | (F.col("cls") == F.col("least"))
     pivots = rows.join(sizes, "region").filter(drawn)
     pivots = pivots.select("region", F.col("cls").alias("pivot"), F.col("n").alias("pn"), F.col("shingles").alias("ps"))
+    pivots = written(with_kin(written(pivots, "pivots"), percent), "pivots")
     common = F.size(F.array_intersect("shingles", "ps"))
     near = written(
         rows.join(pivots, "region")
-        .select("region", "cls", "n", "pivot", (F.col("n") + F.col("pn") - common).alias("union"), common.alias("common"))
+        .select("region", "cls", "pivot", "kin", (F.col("n") + F.col("pn") - common).alias("union"), common.alias("common"))
         .withColumn("d", 1 - F.col("common") / F.col("union")),
         "pivot-distances",
     )
     linked = 100 * F.col("common") >= percent * F.col("union")
     links = near.filter(linked & (F.col("cls") != F.col("pivot"))).select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
-    home = near.groupBy("region", "cls").agg(F.min("d").alias("least"))
-    inside = near.join(home, ["region", "cls"]).filter(F.col("d") <= F.col("least") + 2 * r + 1e-9)
+    home = near.groupBy("region", "cls").agg(F.min(F.struct("d", "pivot", "kin", linked.alias("linked"))).alias("home"))
+    kept = F.col("pivot") == F.col("home.pivot")
+    border = ~linked & (F.col("d") <= F.col("home.d") + r + 1e-9)
+    kept |= border & ~(F.col("home.linked") & (F.col("kin") == F.col("home.kin")))
+    inside = near.join(home, ["region", "cls"]).filter(kept)
     inside = inside.withColumns({"linked": linked, "new": F.xxhash64("region", "pivot")})
-    # members linked to the pivot need to meet only those that are not
+    # members linked to the pivot are at home, and need to meet only those that are not
     beyond = inside.filter(~F.col("linked")).groupBy("new").agg(F.min("d").alias("outer"))
     inside = inside.join(beyond, "new").filter(~F.col("linked") | (F.col("d") >= F.col("outer") - r - 1e-9))
     return links, inside.select("region", "cls", "new")

@@ -590,6 +590,38 @@ def brute_components(rows, percent, size):
     return Counter((d, len(s), least[top(i)] if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets)))
 
 
+def test_near_copies_are_not_copied_to_every_pivot(spark):
+    """Each link is with a pivot, met in a region, or between texts that a pivot connects; few rows are replicated."""
+    rng = random.Random(5)
+    base, fresh = list(range(300)), iter(range(1000, 10**6))
+    rates = [(0.01, 0.02, 0.04, 0.07)[i % 4] for i in range(159)]
+    sets = [set(base)] + [{next(fresh) if rng.random() < rate else x for x in base} for rate in rates]
+    # and some that are linked with few
+    sets += [{next(fresh) if rng.random() < 0.02 else x for x in sets[rng.randrange(80, 160)]} for _ in range(40)]
+    data = [(7, i, len(s), sorted(s)) for i, s in enumerate(sets)]
+    rows = spark.createDataFrame(data, "region long, cls long, n long, shingles array<long>")
+    sizes = spark.createDataFrame([(7, len(sets), sum(map(len, sets)), 0)], "region long, members long, shingles_in long, least long")
+    links, inside = jaccard_join.split(rows, sizes, 85, 0)
+    met = {(r.new, r.cls) for r in inside.collect()}
+    to_pivots = {(r.a, r.b) for r in links.collect()}
+    assert 0 < len(met) < 2 * len(sets)
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in to_pivots:
+        root[find(a)] = find(b)
+    of = defaultdict(set)
+    for new, cls in met:
+        of[cls].add(new)
+    linked = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if 100 * len(a & b) >= 85 * len(a | b)]
+    assert len(linked) > 2000 and to_pivots
+    assert not [(i, j) for i, j in linked if find(i) != find(j) and not of[i] & of[j]]
+
+
 @pytest.mark.parametrize(("percent", "size", "region"), [(85, 4, 400_000), (80, 5, 400_000), (85, 4, 600)])
 def test_components_equal_brute_force(spark, hard, docs, percent, size, region):
     df = spark.read.parquet(f"{hard}/documents.parquet")

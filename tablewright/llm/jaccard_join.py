@@ -209,8 +209,11 @@ def with_kin(pivots: DataFrame, percent: int) -> DataFrame:
     return pivots.join(kin, ["region", "pivot"])
 
 
-def split(rows: DataFrame, sizes: DataFrame, percent: int, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Links with pivots, and the Voronoi regions with their boundaries replicated in."""
+def split(
+    rows: DataFrame, sizes: DataFrame, percent: int, turn: int, most: Column
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links with pivots, the Voronoi regions with their boundaries replicated in, and the regions left as they
+    are, which would have more than ``most`` rows."""
     r = 1 - percent / 100
     draw = F.pmod(F.xxhash64("cls", F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)
     # the least class is one as well, so that no region is without
@@ -227,16 +230,26 @@ def split(rows: DataFrame, sizes: DataFrame, percent: int, turn: int) -> tuple[D
     )
     linked = 100 * F.col("common") >= percent * F.col("union")
     links = near.filter(linked & (F.col("cls") != F.col("pivot"))).select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
-    home = near.groupBy("region", "cls").agg(F.min(F.struct("d", "pivot", "kin", linked.alias("linked"))).alias("home"))
-    kept = F.col("pivot") == F.col("home.pivot")
-    border = ~linked & (F.col("d") <= F.col("home.d") + r + 1e-9)
-    kept |= border & ~(F.col("home.linked") & (F.col("kin") == F.col("home.kin")))
+    entry = F.struct("d", "pivot", "kin", linked.alias("linked"))
+    home = near.groupBy("region", "cls").agg(F.min(entry).alias("home"), F.collect_list(entry).alias("near"))
+
+    def border(d: Column, kin: Column, is_linked: Column) -> Column:
+        apart = ~(F.col("home.linked") & (kin == F.col("home.kin")))
+        return ~is_linked & (d <= F.col("home.d") + r + 1e-9) & apart
+
+    # a region that would have too many rows is not replicated; its unlinked rows are counted before they are made
+    unlinked = F.size(F.filter("near", lambda x: border(x.d, x.kin, x.linked) | (~x.linked & (x.pivot == F.col("home.pivot")))))
+    home = written(home.select("region", "cls", "home", unlinked.alias("unlinked")), "homes")
+    after = home.groupBy("region").agg(F.sum("unlinked").alias("after"))
+    crowded = written(sizes.join(after, "region").filter(F.col("after") > most).select("region"), "crowded")
+    kept = border(F.col("d"), F.col("kin"), linked) | (F.col("pivot") == F.col("home.pivot"))
+    home = home.drop("unlinked").join(crowded, "region", "left_anti")
     inside = near.join(home, ["region", "cls"]).filter(kept)
     inside = inside.withColumns({"linked": linked, "new": F.xxhash64("region", "pivot")})
     # members linked to the pivot are at home, and need to meet only those that are not
     beyond = inside.filter(~F.col("linked")).groupBy("new").agg(F.min("d").alias("outer"))
     inside = inside.join(beyond, "new").filter(~F.col("linked") | (F.col("d") >= F.col("outer") - r - 1e-9))
-    return links, inside.select("region", "cls", "new")
+    return links, inside.select("region", "cls", "new"), crowded
 
 
 def in_blocks(rows: DataFrame, sizes: DataFrame, task: int) -> DataFrame:
@@ -273,13 +286,14 @@ def links(docs: DataFrame, listed: DataFrame, percent: int, words: int, region:
         if turn == MOST_SPLITS:
             out.append(written(small_links(in_blocks(rows, large, task), percent, task), "region-links"))
             break
-        found, inside = split(rows, large, percent, turn)
+        # a region that hardly shrinks is joined as it is where a task can hold it, else in blocks
+        most = F.when(F.col("shingles_in") <= task, 1.5).otherwise(3.0) * F.col("members")
+        found, inside, crowded = split(rows, large, percent, turn, most)
         out.append(written(found, "region-links"))
         inside = written(inside, "voronoi")
-        # a region that hardly shrinks is joined as it is where a task can hold it, else in blocks
         after = inside.groupBy("region").agg(F.count("*").alias("after"))
-        most = F.when(F.col("shingles_in") <= task, 1.5).otherwise(3.0) * F.col("members")
-        stuck = written(large.join(after, "region").filter(F.col("after") > most), "stuck")
+        still = large.join(after, "region").filter(F.col("after") > most).select("region")
+        stuck = written(large.join(still.unionAll(crowded), "region", "left_semi"), "stuck")
         if stuck.head(1):
             blocks = in_blocks(rows.join(stuck.select("region"), "region", "left_semi"), stuck, task)
             out.append(written(small_links(blocks, percent, task), "region-links"))

@@ -601,7 +601,10 @@ def test_near_copies_are_not_copied_to_every_pivot(spark):
     data = [(7, i, len(s), sorted(s)) for i, s in enumerate(sets)]
     rows = spark.createDataFrame(data, "region long, cls long, n long, shingles array<long>")
     sizes = spark.createDataFrame([(7, len(sets), sum(map(len, sets)), 0)], "region long, members long, shingles_in long, least long")
-    links, inside = jaccard_join.split(rows, sizes, 85, 0)
+    links, inside, crowded = jaccard_join.split(rows, sizes, 85, 0, 3 * F.col("members"))
+    assert crowded.count() == 0
+    _, none, crowded = jaccard_join.split(rows, sizes, 85, 0, F.lit(0))  # counted before any row is made
+    assert none.count() == 0 and [r.region for r in crowded.collect()] == [7]
     met = {(r.new, r.cls) for r in inside.collect()}
     to_pivots = {(r.a, r.b) for r in links.collect()}
     assert 0 < len(met) < 2 * len(sets)
